@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .once import once
 from .text import col
 from .topics import sanitize
 
@@ -86,13 +87,15 @@ ROUTING = {"schema_type": SCHEMA_KEYS, "org_name": ORG_KEYS, "product_type": PRO
 
 
 def with_routing_fields(messages: DataFrame) -> DataFrame:
-    """Add the sanitised schema, organisation and product of each message."""
-    return (
-        messages.withColumn("__folded", folded_headers("headers"))
-        .withColumns({n: folded_value("__folded", *keys) for n, keys in ROUTING.items()})
-        .withColumns({n: sanitize(n) for n in ROUTING})
-        .drop("__folded")
+    """Add the sanitised schema, organisation and product of each message.
+
+    ``headers_ok`` tells whether all header values are text.
+    """
+    looked_up = messages.withColumn("__folded", folded_headers("headers")).withColumns(
+        {n: folded_value("__folded", *keys) for n, keys in ROUTING.items()}
     )
+    fields = {n: sanitize(n) for n in ROUTING}
+    return once(looked_up.drop("__folded"), headers_ok=headers_decodable("headers"), **fields)
 
 
 def strict_fields(headers: Column | str) -> dict[str, Column]:

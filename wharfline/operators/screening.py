@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.events import EVENT_SCHEMA, decode_json, decode_problem
-from ..functions.headers import ROUTING, headers_decodable, with_routing_fields
+from ..functions.headers import ROUTING, with_routing_fields
+from ..functions.once import once
 from ..functions.topics import UNKNOWN
 
 REASON = "reject_reason"
@@ -14,9 +17,8 @@ REASON = "reject_reason"
 
 def decode_events(messages: DataFrame, schema: str = EVENT_SCHEMA) -> DataFrame:
     """Add ``event`` and ``reject_reason`` (null for a usable event with a path)."""
-    return messages.withColumn("event", decode_json("value", schema)).withColumn(
-        REASON, decode_problem("value", F.col("event"))
-    )
+    decoded = once(messages, event=decode_json("value", schema))
+    return decoded.withColumn(REASON, decode_problem("value", F.col("event")))
 
 
 def has_path(decoded: DataFrame) -> DataFrame:
@@ -31,17 +33,16 @@ def dead_letters(checked: DataFrame) -> DataFrame:
 def metadata_problem(fields: dict[str, Column]) -> Column:
     """Why a message cannot be routed: its headers lack a usable part."""
     missing = [F.when(c == UNKNOWN, F.lit(n)) for n, c in fields.items()]
-    return F.concat(F.lit("unknown metadata: "), F.nullif(F.concat_ws(",", *missing), F.lit("")))
+    any_missing = reduce(Column.__or__, [c == UNKNOWN for c in fields.values()])
+    return F.when(any_missing, F.concat(F.lit("unknown metadata: "), F.concat_ws(",", *missing)))
 
 
 def check_metadata(messages: DataFrame) -> DataFrame:
     """Add the routing columns and ``reject_reason``."""
-    return with_routing_fields(messages).withColumn(
-        REASON,
-        F.when(~headers_decodable("headers"), "header not utf-8").otherwise(
-            metadata_problem({n: F.col(n) for n in ROUTING})
-        ),
+    reason = F.when(~F.col("headers_ok"), "header not utf-8").otherwise(
+        metadata_problem({n: F.col(n) for n in ROUTING})
     )
+    return with_routing_fields(messages).withColumn(REASON, reason).drop("headers_ok")
 
 
 def valid_metadata(checked: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.once import once
 from ..functions.text import col, strip
 
 # Settings each check asks for, in reporting order.
@@ -199,34 +200,32 @@ def consumer_errors(kind: str) -> Column:
 
 
 def validate_cloud(df: DataFrame, fields: Sequence[str] = AZURE_FIELDS) -> DataFrame:
-    return df.withColumn(
-        "errors", cloud_errors(F.try_element_at("config", F.lit("cloudProviderType")), fields)
-    )
+    return once(df, errors=cloud_errors(F.try_element_at("config", F.lit("cloudProviderType")), fields))
 
 
 def validate_kafka(df: DataFrame) -> DataFrame:
-    return df.withColumn("errors", kafka_errors())
+    return once(df, errors=kafka_errors())
 
 
 def validate_adaptor(df: DataFrame) -> DataFrame:
-    return df.withColumn("errors", adaptor_errors())
+    return once(df, errors=adaptor_errors())
 
 
 def validate_mapper(df: DataFrame) -> DataFrame:
-    return df.withColumn("errors", mapper_errors())
+    return once(df, errors=mapper_errors())
 
 
 def validate_consumer(df: DataFrame, kind: str) -> DataFrame:
-    return df.withColumn("errors", consumer_errors(kind))
+    return once(df, errors=consumer_errors(kind))
 
 
 def validate_by_kind(df: DataFrame) -> DataFrame:
     """Apply to each row the check its ``kind`` names."""
     provider_name = F.try_element_at("config", F.lit("cloudProviderType"))
     kind = F.col("kind")
-    return df.withColumn(
-        "errors",
-        F.when(kind == "cloud", cloud_errors(provider_name))
+    return once(
+        df,
+        errors=F.when(kind == "cloud", cloud_errors(provider_name))
         .when(kind == "kafka", kafka_errors())
         .when(kind == "adaptor", adaptor_errors())
         .when(kind == "mapper", mapper_errors())

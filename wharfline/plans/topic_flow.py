@@ -13,7 +13,7 @@ from ..functions.headers import (
     traceparent_entry,
     with_trace,
 )
-from ..functions.topics import resolve_topic, sanitize, target_topic
+from ..functions.topics import sanitize, target_topic
 from ..operators.screening import check_metadata, valid_metadata
 
 
@@ -51,27 +51,21 @@ def enrich_static(
     )
 
 
-def check_route(messages: DataFrame, source_topic: str = "mapper-topic") -> DataFrame:
-    """Consumer side: routing columns, target ``topic`` and, for bad metadata, a reason."""
-    checked = check_metadata(messages)
+def check_route(messages: DataFrame) -> DataFrame:
+    """Consumer side: routing columns, ``target`` topic and, for bad metadata, a reason.
+
+    The name is made of sanitised parts, so it needs no fallback of its own.
+    """
     named = target_topic("consumer", F.col("org_name"), F.col("schema_type"), F.col("product_type"))
-    return checked.withColumn(
-        "target",
-        F.when(F.col("reject_reason").isNull(), resolve_topic(named, F.lit(source_topic), "target")),
+    return check_metadata(messages).withColumn(
+        "target", F.when(F.col("reject_reason").isNull(), named)
     )
 
 
-def route(
-    messages: DataFrame, processed_at: Column, *, strict_stamp: bool = False, source_topic: str = "mapper-topic"
-) -> DataFrame:
-    """Consumer side: send each message to the topic its headers name.
-
-    The stamped values are those used for routing; ``strict_stamp`` reads them
-    by exact header spelling instead.
-    """
-    good = valid_metadata(check_route(messages, source_topic))
+def stamp_route(checked: DataFrame, processed_at: Column, *, strict_stamp: bool = False) -> DataFrame:
+    """The outgoing messages of checked rows that have a target."""
     stamp = strict_fields("headers") if strict_stamp else {n: F.col(n) for n in ROUTING}
-    return with_trace(good, new_root=False).select(
+    return with_trace(valid_metadata(checked), new_root=False).select(
         "key",
         "value",
         F.col("target").alias("topic"),
@@ -83,3 +77,12 @@ def route(
         "timestamp",
         "trace",
     )
+
+
+def route(messages: DataFrame, processed_at: Column, *, strict_stamp: bool = False) -> DataFrame:
+    """Consumer side: send each message to the topic its headers name.
+
+    The stamped values are those used for routing; ``strict_stamp`` reads them
+    by exact header spelling instead.
+    """
+    return stamp_route(check_route(messages), processed_at, strict_stamp=strict_stamp)

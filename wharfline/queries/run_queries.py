@@ -170,7 +170,7 @@ def overlap_flags(spark: SparkSession, sf: str) -> DataFrame:
     runs = t.triggers(spark, sf).select(
         "product", "stage", "offset", "start_us", (F.col("start_us") + F.col("duration_us")).alias("end_us")
     )
-    return op.overlap_flags(runs, chunk_secs=86_400).select("product", "stage", "offset", "accepted")
+    return op.overlap_flags(runs, chunk_secs=30 * 86_400).select("product", "stage", "offset", "accepted")
 
 
 _CONTEXT_SQL = f"""SELECT "offset", '{{' || '"component.name":"producer-file-adaptor","pipeline.dag_id":"' || coalesce(dag_id, '')

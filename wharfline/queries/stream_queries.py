@@ -52,7 +52,7 @@ def stream_route(spark: SparkSession, sf: str) -> DataFrame:
     """Routed messages and dead letters of one stream."""
     folder = run_folder(spark, "route")
     stream = t.messages(spark, sf, streaming=True)
-    run_drain(route_stream(stream, F.lit(PROCESSED_AT), f"{folder}/out", f"{folder}/dead", f"{folder}/checkpoint"))
+    run_drain(route_stream(stream, F.lit(PROCESSED_AT), f"{folder}/out", f"{folder}/dead", f"{folder}/checkpoint", 2))
     good = spark.read.parquet(f"{folder}/out").select("topic", "offset")
     dead = spark.read.parquet(f"{folder}/dead").select(
         F.concat(F.lit("dead letter: "), "reject_reason").alias("topic"), "offset"

@@ -21,6 +21,9 @@ RUNTIME_CONF = {
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings to a session and return it."""
     for key, value in RUNTIME_CONF.items():
@@ -37,6 +40,8 @@ def local_session(cores: str = "*", app: str = "wharfline", **extra: str) -> Spa
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # recording the call site of every column expression slows plan building down
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in extra.items():
         builder = builder.config(key, value)
@@ -48,17 +53,17 @@ def local_session(cores: str = "*", app: str = "wharfline", **extra: str) -> Spa
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder.
+    Only where that is unset and the master is local is it a temporary folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="wharfline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="wharfline-")
+    return _LOCAL_FOLDERS[app]
 
 
 def run_folder(spark: SparkSession, label: str) -> str:

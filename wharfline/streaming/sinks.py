@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.screening import dead_letters
-from ..plans.topic_flow import check_route, route
+from ..plans.topic_flow import check_route, stamp_route
 
 
 def split_stream(
@@ -18,18 +18,20 @@ def split_stream(
     out: str,
     dead: str,
     checkpoint: str,
+    spread: int = 8,
 ) -> DataStreamWriter:
-    """Write accepted rows below ``out`` and rejected ones below ``dead``.
+    """Write accepted rows below ``out``, a folder per topic, and rejected ones below ``dead``.
 
-    The batch is cached, as both writes read it.
+    The batch is cached, as both writes read it. Before the write, rows meet by
+    topic and a part of their offset: a topic gets at most ``spread`` files per
+    batch however many tasks there are, and a hot topic is still shared out.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            good(batch.where(F.col("reject_reason").isNull())).write.mode("overwrite").partitionBy(
-                "topic"
-            ).parquet(f"{out}/batch={batch_id}")
+            accepted = good(batch).repartition("topic", F.pmod("offset", F.lit(spread)))
+            accepted.write.mode("overwrite").partitionBy("topic").parquet(f"{out}/batch={batch_id}")
             dead_letters(batch).write.mode("overwrite").parquet(f"{dead}/batch={batch_id}")
         finally:
             batch.unpersist()
@@ -38,11 +40,11 @@ def split_stream(
 
 
 def route_stream(
-    messages: DataFrame, processed_at: Column, out: str, dead: str, checkpoint: str
+    messages: DataFrame, processed_at: Column, out: str, dead: str, checkpoint: str, spread: int = 8
 ) -> DataStreamWriter:
     """Route each message to the topic its headers name; the rest are dead letters."""
 
     def good(batch: DataFrame) -> DataFrame:
-        return route(batch.select(messages.columns), processed_at)
+        return stamp_route(batch, processed_at)
 
-    return split_stream(check_route(messages), good, out, dead, checkpoint)
+    return split_stream(check_route(messages), good, out, dead, checkpoint, spread)
