@@ -18,8 +18,8 @@ from ..sources.objects import (
     execute_copy as run_copy,
     execute_move as run_move,
     fetch_objects,
-    list_objects as listing_of,
-    list_objects_by_prefix,
+    list_data_files,
+    list_objects as list_all,
 )
 from . import tables as t
 from .registry import query
@@ -145,8 +145,12 @@ def _container(spark: SparkSession, sf: str, label: str) -> str:
     return root
 
 
+def listing_of(spark: SparkSession, root: str, *, may_be_absent: bool = False) -> DataFrame:
+    return list_all(spark, root, tasks=16, may_be_absent=may_be_absent)
+
+
 def _objects(listing: DataFrame) -> DataFrame:
-    """Leaves out the marker that closes a written folder."""
+    """Leaves out the marker that closes a written folder and the check sums beside its files."""
     return listing.where(~F.col("object_key").rlike("(^|/)[_.][^/]*$"))
 
 
@@ -154,15 +158,15 @@ _BYTES = "(SELECT sum(strlen(text) + 1)::BIGINT AS bytes FROM documents)"
 
 
 @query(
-    f"""SELECT label, bytes, true AS keys_safe, true AS has_times FROM {_BYTES}, (VALUES ('driver'), ('executors')) v(label)"""
+    f"""SELECT label, bytes, true AS keys_safe, true AS has_times FROM {_BYTES}, (VALUES ('file index'), ('executors')) v(label)"""
 )
 def list_objects(spark: SparkSession, sf: str) -> DataFrame:
     root = _container(spark, sf, "list")
     both = [
         _objects(found).select(F.lit(label).alias("label"), "object_key", "modified", "length")
         for label, found in (
-            ("driver", listing_of(spark, f"{root}/source")),
-            ("executors", list_objects_by_prefix(spark, f"{root}/source", 8)),
+            ("file index", list_data_files(spark, f"{root}/source")),
+            ("executors", listing_of(spark, f"{root}/source")),
         )
     ]
     return both[0].unionByName(both[1]).groupBy("label").agg(

@@ -175,7 +175,8 @@ def stream_file_ready(spark: SparkSession, sf: str) -> DataFrame:
         spark, f"{root}/source", f"{root}/target", f"{root}/out", f"{root}/checkpoint", container="target", tasks=16
     )
     run_drain(writer)
-    results = spark.read.parquet(f"{root}/out/results")
+    # the containers hold the markers of the written folder too; only the objects count here
+    results = spark.read.parquet(f"{root}/out/results").where(~F.col("object_key").rlike("(^|/)[_.][^/]*$"))
     events = spark.read.parquet(f"{root}/out/events").select(
         F.from_json(F.col("value").cast("string"), "path string")["path"].alias("dest_key")
     )

@@ -1,8 +1,8 @@
 """Object containers: listing, reading, copying and moving.
 
-Listing and reading use the ``binaryFile`` source. Copying runs in the
-executors: each task moves the bytes of its share of the plan through the
-file-system layer of Arrow, which also covers S3, GCS, ABFS and HDFS.
+Listing, fetching and copying run in the executors: each task works on its share
+of the prefixes, keys or plan through the file-system layer of Arrow, which also
+covers S3, GCS, ABFS and HDFS. Scans of whole containers use ``binaryFile``.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyarrow import fs as pafs
@@ -35,9 +36,6 @@ def container(root: str, provider: str | None = None) -> str | None:
     return root if known else None
 
 
-LISTING = "object_key string, modified timestamp, length bigint"
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, by the file system the session uses for it."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
@@ -45,59 +43,73 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(conf).exists(where)
 
 
-def list_objects(spark: SparkSession, root: str, *, may_be_absent: bool = False) -> DataFrame:
-    """All objects of a container with time and length; contents are not read.
+LANDING = r"\.[0-9a-f]{32}\.part$"  # a copy that is still under way
 
-    A target that nothing was copied to yet may be absent and is then empty.
-    """
-    if may_be_absent and not exists(spark, root):
-        return spark.createDataFrame([], LISTING)
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select(object_key(root).alias("object_key"), F.col("modificationTime").alias("modified"), "length")
-    )
 
+def _walk(root: str, recursive: bool, may_be_absent: bool):
+    """Task function: the objects (and, one level deep, the prefixes) below given prefixes."""
 
-def list_objects_by_prefix(spark: SparkSession, root: str, tasks: int = 200) -> DataFrame:
-    """The same listing made by the executors, one task per group of first-level prefixes.
+    def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = _open(root)
+        for pdf in parts:
+            for prefix in pdf["object_key"]:
+                where = f"{base}/{prefix}".rstrip("/")
+                found = store.get_file_info(
+                    pafs.FileSelector(where, allow_not_found=may_be_absent, recursive=recursive)
+                )
+                for start in range(0, len(found), 10_000):
+                    some = found[start : start + 10_000]
+                    if recursive:
+                        some = [i for i in some if i.type == pafs.FileType.File]
+                    yield pd.DataFrame(
+                        {
+                            "object_key": [i.path[len(base) + 1 :] for i in some],
+                            "modified": pd.to_datetime([i.mtime_ns // 1000 if i.mtime_ns else None for i in some], unit="us", utc=True),
+                            "length": pd.array([i.size for i in some], dtype="Int64"),
+                            "is_prefix": [i.type == pafs.FileType.Directory for i in some],
+                        }
+                    )
+
+    return rows
+
+
+def list_objects(
+    spark: SparkSession, root: str, *, levels: int = 1, tasks: int = 200, may_be_absent: bool = False
+) -> DataFrame:
+    """All objects of a container with time and length, empty ones included.
 
-    For containers whose listing is too long for the driver.
+    The executors list: the first ``levels`` levels of prefixes are opened one by
+    one, and everything below them is shared out over ``tasks`` tasks, so a long
+    listing never passes through the driver. A target that nothing was copied to
+    yet may be absent and is then empty.
     """
     schema = "object_key string, modified timestamp, length bigint, is_prefix boolean"
+    prefixes = spark.range(1).select(F.lit("").alias("object_key"))
+    found = []
+    for _ in range(levels):
+        level = prefixes.mapInPandas(_walk(root, False, may_be_absent), schema)
+        found.append(level.where(~F.col("is_prefix")))
+        prefixes = level.where("is_prefix").select("object_key").repartition(tasks)
+    found.append(prefixes.mapInPandas(_walk(root, True, may_be_absent), schema))
+    listed = reduce(DataFrame.unionByName, found).drop("is_prefix")
+    return listed.where(~F.col("object_key").rlike(LANDING))
+
 
-    def walk(recursive: bool):
-        def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            store, base = _open(root)
-            for pdf in parts:
-                for prefix in pdf["object_key"]:
-                    where = f"{base}/{prefix}".rstrip("/")
-                    found = store.get_file_info(pafs.FileSelector(where, recursive=recursive))
-                    for start in range(0, len(found), 10_000):
-                        some = found[start : start + 10_000]
-                        if recursive:
-                            some = [i for i in some if i.type == pafs.FileType.File]
-                        yield pd.DataFrame(
-                            {
-                                "object_key": [i.path[len(base) + 1 :] for i in some],
-                                "modified": pd.to_datetime([i.mtime_ns // 1000 for i in some], unit="us", utc=True),
-                                "length": pd.array([i.size for i in some], dtype="Int64"),
-                                "is_prefix": [i.type == pafs.FileType.Directory for i in some],
-                            }
-                        )
-
-        return rows
-
-    top = spark.createDataFrame([("",)], "object_key string").mapInPandas(walk(False), schema)
-    below = (
-        top.where("is_prefix").select("object_key").repartition(tasks).mapInPandas(walk(True), schema)
+def list_data_files(spark: SparkSession, root: str) -> DataFrame:
+    """The same by Spark's file index: quick for small containers.
+
+    That index leaves out empty files and names that begin with a dot or underscore.
+    """
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .load(root)
+        .select(object_key(root).alias("object_key"), F.col("modificationTime").alias("modified"), "length")
     )
-    return top.where(~F.col("is_prefix")).unionByName(below).drop("is_prefix")
 
 
 def stream_objects(spark: SparkSession, root: str, files_per_batch: int = 100_000) -> DataFrame:
-    """The listing as a stream: every object comes once, in the batch it is noticed in."""
+    """New data files as a stream: each comes once, in the batch it is noticed in."""
     return (
         spark.readStream.format("binaryFile")
         .schema(FILES)
@@ -111,7 +123,8 @@ def stream_objects(spark: SparkSession, root: str, files_per_batch: int = 100_00
 def read_objects(spark: SparkSession, root: str, keys: DataFrame | None = None) -> DataFrame:
     """Objects with their bytes; with ``keys`` only the requested ones.
 
-    The whole container is scanned; for a small share of it use :func:`fetch_objects`.
+    The whole container is scanned, without empty and hidden files; for a small
+    share of it, or for every kind of object, use :func:`fetch_objects`.
     """
     every = (
         spark.read.format("binaryFile")

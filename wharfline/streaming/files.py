@@ -1,4 +1,4 @@
-"""File-ready stream: new objects of a container are copied and announced."""
+"""File cycles: what is new or changed in a container is copied and announced."""
 
 from __future__ import annotations
 
@@ -11,6 +11,34 @@ from ..sources.objects import execute_copy, exists, list_objects, stream_objects
 from ..sources.topics import event_messages
 
 
+def file_cycle(
+    spark: SparkSession,
+    src_root: str,
+    dst_root: str,
+    out: str,
+    cycle: str,
+    *,
+    container: str,
+    provider: str = "aws",
+    tasks: int = 200,
+) -> DataFrame:
+    """One cycle: list both sides, plan, copy, write the events; returns the results.
+
+    A cycle that is run again under the same name must not find its own copies,
+    so its first plan is kept and used again.
+    """
+    planned = f"{out}/plan/cycle={cycle}"
+    if not exists(spark, f"{planned}/_SUCCESS"):
+        source = list_objects(spark, src_root, tasks=tasks)
+        target = list_objects(spark, dst_root, tasks=tasks, may_be_absent=True)
+        copy_plan_of_listing(source, target, provider).write.mode("overwrite").parquet(planned)
+    plan = spark.read.parquet(planned)
+    results = execute_copy(plan, src_root, dst_root, f"{out}/results/cycle={cycle}", tasks)
+    events = event_messages(announce(results, container, provider), "mapper-topic")
+    events.write.mode("overwrite").parquet(f"{out}/events/cycle={cycle}")
+    return results
+
+
 def file_ready_stream(
     spark: SparkSession,
     src_root: str,
@@ -23,24 +51,17 @@ def file_ready_stream(
     tasks: int = 200,
     files_per_batch: int = 100_000,
 ) -> DataStreamWriter:
-    """Each micro-batch lists new objects, copies those the target lacks and writes their events.
+    """A cycle whenever new files are noticed.
 
-    A stream notices an object once; objects that are overwritten in place are
-    found by the batch form of the plan.
+    The stream only says when; the cycle compares the whole containers, so it
+    also finds objects that were changed in place or that the stream overlooks.
     """
-    listing = stream_objects(spark, src_root, files_per_batch)
-
-    def copy(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        # A batch that is run again must not find its own copies: keep its first plan.
-        planned = f"{out}/plan/batch={batch_id}"
-        if not exists(session, f"{planned}/_SUCCESS"):
-            target = list_objects(session, dst_root, may_be_absent=True)
-            copy_plan_of_listing(batch, target, provider).write.mode("overwrite").parquet(planned)
-        plan = session.read.parquet(planned)
-        results = execute_copy(plan, src_root, dst_root, f"{out}/results/batch={batch_id}", tasks)
-        event_messages(announce(results, container, provider), "mapper-topic").write.mode(
-            "overwrite"
-        ).parquet(f"{out}/events/batch={batch_id}")
-
-    return listing.writeStream.foreachBatch(copy).option("checkpointLocation", checkpoint)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        file_cycle(
+            batch.sparkSession, src_root, dst_root, out, str(batch_id),
+            container=container, provider=provider, tasks=tasks,
+        )
+
+    noticed = stream_objects(spark, src_root, files_per_batch)
+    return noticed.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
