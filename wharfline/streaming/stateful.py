@@ -165,7 +165,8 @@ class HeartbeatWatch(StatefulProcessor):
         for timer in list(self._handle.listTimers()):
             self._handle.deleteTimer(timer)
         self._handle.registerTimer((last + self._allowed) // 1000 + 1)
-        yield self._alarms(key, gaps)
+        if gaps:
+            yield self._alarms(key, gaps)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         last = self._last.get()[0]
