@@ -188,5 +188,5 @@ def test_file_cycle_can_be_repeated(spark, tmp_path):
     for cycle in ("0", "0"):  # the same cycle again gives the same events
         got = file_cycle(*args, cycle, container="t", tasks=2)
         assert {r.object_key: r.copied for r in got.collect()} == {"a.txt": True, "empty": True}
-        assert spark.read.parquet(str(tmp_path / "out/events/cycle=0")).count() == 2
+        assert spark.read.parquet(str(tmp_path / "out/cycle=0/events")).count() == 2
     assert {r.skipped for r in file_cycle(*args, "1", container="t", tasks=2).collect()} == {True}

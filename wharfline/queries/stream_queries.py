@@ -176,8 +176,8 @@ def stream_file_ready(spark: SparkSession, sf: str) -> DataFrame:
     )
     run_drain(writer)
     # the containers hold the markers of the written folder too; only the objects count here
-    results = spark.read.parquet(f"{root}/out/results").where(~F.col("object_key").rlike("(^|/)[_.][^/]*$"))
-    events = spark.read.parquet(f"{root}/out/events").select(
+    results = spark.read.parquet(f"{root}/out/cycle=*/results").where(~F.col("object_key").rlike("(^|/)[_.][^/]*$"))
+    events = spark.read.parquet(f"{root}/out/cycle=*/events").select(
         F.from_json(F.col("value").cast("string"), "path string")["path"].alias("dest_key")
     )
     met = results.join(events.withColumn("announced", F.lit(True)), "dest_key", "left")

@@ -198,24 +198,21 @@ def _run(work: DataFrame, src_root: str, dst_root: str, delete_source: bool) ->
         dst, dst_base = _open(dst_root)
         for pdf in parts:
             copied, kinds, texts = [], [], []
-            for key, dest, length, todo in zip(
-                pdf["object_key"], pdf["dest_key"], pdf["length"], pdf["copied"]
-            ):
+            for key, dest, length in zip(pdf["object_key"], pdf["dest_key"], pdf["length"]):
                 kind = text = None
-                if todo:
-                    size = None if pd.isna(length) else int(length)
-                    from_path, to_path = f"{src_base}/{key}", f"{dst_base}/{dest}"
-                    try:
-                        gone = delete_source and src.get_file_info(from_path).type == pafs.FileType.NotFound
-                        if gone and dst.get_file_info(to_path).size == size:
-                            pass  # an earlier attempt of this task finished the move
-                        else:
-                            _copy_one(src, from_path, dst, to_path, size)
-                            if delete_source:
-                                src.delete_file(from_path)
-                    except Exception as exc:  # noqa: BLE001 - one object never stops the rest
-                        todo, kind, text = False, type(exc).__name__, str(exc)
-                copied.append(bool(todo))
+                size = None if pd.isna(length) else int(length)
+                from_path, to_path = f"{src_base}/{key}", f"{dst_base}/{dest}"
+                try:
+                    gone = delete_source and src.get_file_info(from_path).type == pafs.FileType.NotFound
+                    if gone and dst.get_file_info(to_path).size == size:
+                        pass  # an earlier attempt of this task finished the move
+                    else:
+                        _copy_one(src, from_path, dst, to_path, size)
+                        if delete_source:
+                            src.delete_file(from_path)
+                except Exception as exc:  # noqa: BLE001 - one object never stops the rest
+                    kind, text = type(exc).__name__, str(exc)
+                copied.append(kind is None)
                 kinds.append(kind)
                 texts.append(text)
             reason = [r if k is None else "failed" for r, k in zip(pdf["reason"], kinds)]
@@ -230,15 +227,35 @@ def _columns(plan: DataFrame) -> DataFrame:
     )
 
 
+def _fix(work: DataFrame, out: str) -> DataFrame:
+    """Write what is to be done before anything is done, and work from that.
+
+    Bytes that move change the listings the work was derived from. A task that is
+    repeated, or a run that is resumed in the same folder, must not see that.
+    """
+    spark, planned = work.sparkSession, f"{out}/plan"
+    if not exists(spark, f"{planned}/_SUCCESS"):
+        work.write.mode("overwrite").parquet(planned)
+    return spark.read.parquet(planned)
+
+
+def _finish(work: DataFrame, src_root: str, dst_root: str, out: str, tasks: int, delete_source: bool) -> DataFrame:
+    fixed = _fix(work, out)
+    moved = _run(fixed.where("copied").repartition(tasks), src_root, dst_root, delete_source)
+    none = F.lit(None).cast("string")
+    left = fixed.where("not copied").withColumns({"error_type": none, "error_message": none})
+    moved.unionByName(left).write.mode("overwrite").parquet(f"{out}/results")
+    return work.sparkSession.read.parquet(f"{out}/results")
+
+
 def execute_copy(plan: DataFrame, src_root: str, dst_root: str, out: str, tasks: int = 200) -> DataFrame:
-    """Carry out a copy plan and return its results, which are written to ``out``.
+    """Carry out a copy plan and return its results.
 
-    Only rows to be copied visit a task that moves bytes. Every object is decided
-    in the plan, so a task that runs twice writes the same bytes again.
+    ``out`` is a folder of this run's own: the plan is written there first, the
+    results after it. The same folder again resumes the same plan. Only rows to
+    be copied visit the tasks that move bytes.
     """
-    results = _columns(plan).repartition(tasks)
-    _run(results, src_root, dst_root, delete_source=False).write.mode("overwrite").parquet(out)
-    return plan.sparkSession.read.parquet(out)
+    return _finish(_columns(plan), src_root, dst_root, out, tasks, delete_source=False)
 
 
 def execute_move(
@@ -246,7 +263,8 @@ def execute_move(
 ) -> DataFrame:
     """Copy each requested object, then delete its source; times do not matter.
 
-    The source goes only after the copy's length was checked.
+    The source goes only after the copy's length was checked. ``out`` is as in
+    :func:`execute_copy`.
     """
     asked = requested.groupBy("object_key").agg(F.count(F.lit(1)).alias("requests"))
     found = F.col("length").isNotNull()
@@ -260,5 +278,4 @@ def execute_move(
         F.lit(False).alias("skipped"),
         F.when(~safe, "unsafe object key").when(~found, "source object not found").otherwise("moved").alias("reason"),
     )
-    _run(work.repartition(tasks), src_root, dst_root, delete_source=True).write.mode("overwrite").parquet(out)
-    return requested.sparkSession.read.parquet(out)
+    return _finish(work, src_root, dst_root, out, tasks, delete_source=True)

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.copies import copy_plan_of_listing
 from ..plans.file_flow import announce
-from ..sources.objects import execute_copy, exists, list_objects, stream_objects
+from ..sources.objects import execute_copy, list_objects, stream_objects
 from ..sources.topics import event_messages
 
 
@@ -24,18 +24,15 @@ def file_cycle(
 ) -> DataFrame:
     """One cycle: list both sides, plan, copy, write the events; returns the results.
 
-    A cycle that is run again under the same name must not find its own copies,
-    so its first plan is kept and used again.
+    A cycle that is run again under the same name goes on with its first plan,
+    so it does not find its own copies.
     """
-    planned = f"{out}/plan/cycle={cycle}"
-    if not exists(spark, f"{planned}/_SUCCESS"):
-        source = list_objects(spark, src_root, tasks=tasks)
-        target = list_objects(spark, dst_root, tasks=tasks, may_be_absent=True)
-        copy_plan_of_listing(source, target, provider).write.mode("overwrite").parquet(planned)
-    plan = spark.read.parquet(planned)
-    results = execute_copy(plan, src_root, dst_root, f"{out}/results/cycle={cycle}", tasks)
+    source = list_objects(spark, src_root, tasks=tasks)
+    target = list_objects(spark, dst_root, tasks=tasks, may_be_absent=True)
+    plan = copy_plan_of_listing(source, target, provider)
+    results = execute_copy(plan, src_root, dst_root, f"{out}/cycle={cycle}", tasks)
     events = event_messages(announce(results, container, provider), "mapper-topic")
-    events.write.mode("overwrite").parquet(f"{out}/events/cycle={cycle}")
+    events.write.mode("overwrite").parquet(f"{out}/cycle={cycle}/events")
     return results
 
 
