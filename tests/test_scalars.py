@@ -13,7 +13,7 @@ from wharfline.functions import events as ev
 from wharfline.functions import objects as o
 from wharfline.functions import topics as tp
 from wharfline.functions.text import iso_utc, strip
-from wharfline.operators.validation import is_base64
+from wharfline.operators.validation import decode_base64, is_base64
 
 
 def values(spark, texts, fn):
@@ -143,14 +143,15 @@ def test_base64_is_as_lenient_as_python(spark):
     texts = ["!!!!", "abc", "abcd", "ab==", "ab=", "a===", "ab=c", "abc=xyz", "é", "=", "ab=c=\nd="]
     texts += ["".join(rng.choice("aB1+/==!\n ") for _ in range(rng.randint(0, 9))) for _ in range(3000)]
 
-    def ok(t):
+    def decoded(t):
         try:
-            base64.b64decode(t)
-            return True
+            return base64.b64decode(t)
         except Exception:
-            return False
+            return None
 
-    assert values(spark, texts, is_base64) == [ok(t) for t in texts]
+    want = [decoded(t) for t in texts]
+    assert values(spark, texts, is_base64) == [w is not None for w in want]
+    assert [None if v is None else bytes(v) for v in values(spark, texts, decode_base64)] == want
 
 
 def test_version_pattern_matches_python(spark):

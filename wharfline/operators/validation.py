@@ -40,10 +40,16 @@ def is_base64(text: Column | str) -> Column:
     return ascii_only & kept.rlike(BASE64_LENIENT)
 
 
+# Fixed value: the part of an accepted text that carries data.
+BASE64_DATA = r"^((?:=*[^=]=*[^=]=?[^=][^=])*(?:=*[^=]=*[^=](?:=?[^=])?(?==))?)"
+
+
 def decode_base64(text: Column | str) -> Column:
-    """Decoded setting, null where it is not proper base64."""
+    """Decoded setting, null where the lenient reader would refuse it."""
     kept = F.regexp_replace(col(text), "[^A-Za-z0-9+/=]", "")
-    return F.try_to_binary(kept, F.lit("base64"))
+    data = F.replace(F.regexp_extract(kept, BASE64_DATA, 1), F.lit("="), F.lit(""))
+    padded = F.concat(data, F.repeat(F.lit("="), F.pmod(-F.length(data), F.lit(4))))
+    return F.when(is_base64(text), F.try_to_binary(padded, F.lit("base64")))
 
 
 def _when(condition: Column, message: Column | str) -> Column:

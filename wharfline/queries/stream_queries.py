@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ..operators import metrics as m
 from ..operators.batches import drain_batches
 from ..session import run_folder
-from ..sources.topics import MESSAGE, raw_messages, stream_message_files
+from ..sources.topics import MESSAGE, stream_message_files
 from ..streaming import stateful as st
 from ..streaming.files import file_ready_stream
 from ..streaming.runs import run_drain
