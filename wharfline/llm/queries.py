@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import exact_dedup, mixing, quality_rules
+from . import exact_dedup, mixing, ngram_join, quality_rules, substring_dedup
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,11 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query()
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
 @query(exact_dedup.SQL)
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
@@ -43,3 +48,8 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
