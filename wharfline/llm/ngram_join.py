@@ -3,23 +3,23 @@
 Every document's set of word shingles is cut along a global order of shingles into fragments; overlaps are
 counted fragment by fragment and added up per pair. The steps:
 
-1.  Texts with equal sets are one set from here on (its 128-bit signature names it).
+1.  Texts with equal sets are one set from here on (a 96-bit signature names it).
 2.  The shingles of all sets go to fragments of the hash space. A fragment counts in how many sets each of
     its shingles is found and sends back only the shared ones. A set with fewer than 75% shared shingles can't
     link with anything and is out; this leaves a few per cent of a natural corpus.
 3.  The global order is (number of sets, hash): rare shingles first. Each remaining set is cut at fixed
     pivots of this order into segments.
-4.  Links to a centre: sets with the same minimum under a few random orders are compared with the smallest of
-    them. Large groups of near copies become one component here, with one comparison per set and order.
+4.  Links to a centre: sets with the same minimum under a few random orders are compared with the most
+    central of them. Large groups of near copies become one component here, with one comparison per set and order.
 5.  The rest, without loss: two sets that link share a shingle of both their prefixes in the global order
-    (the first n - ceil(0.75 n) + 1). All pairs that do, are of fitting length and aren't yet in one component are
-    compared. A shingle whose sets are all in one component yields no pair at all.
+    (the first n - ceil(0.75 n) + 1). All pairs that do, that are of fitting length, have enough shingles left
+    from there on and aren't yet in one component are compared. A shingle whose sets are all in one component yields no pair at all.
 6.  Comparing a pair is: join the segments of both sides by fragment, count the partial overlaps, add them up.
 
 Defined results: null, empty and blank texts have an empty set and link with nothing; a text of fewer than
 ``width`` words is one shingle that equals only the same short text; repeated rows are equal sets and link;
 null ids take part but never name a component unless all its ids are null. Extra columns don't matter.
-Shingles are compared by 64-bit hashes, sets by 128-bit signatures.
+Shingles are compared by 64-bit hashes, sets by 96-bit signatures.
 """
 
 from __future__ import annotations
@@ -42,10 +42,10 @@ LEAST = 75
 #: Pivots of the global order: segment k holds shingles of fewer than 2 ** (k + 2) sets.
 SEGMENTS = 8
 #: Random orders for the links to a centre.
-CENTRES = 2
+CENTRES = 4
 
 SETS_SCHEMA = "doc_id long, n_shingles long, key binary"
-CANDIDATE_SCHEMA = "key binary, n long, centres array<long>, prefix array<long>, segments array<struct<part:int,hashes:array<long>>>"
+CANDIDATE_SCHEMA = "key binary, n long, alone long, off_centre double, centres array<long>, prefix array<long>, segments array<struct<part:int,hashes:array<long>>>"
 
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -67,11 +67,9 @@ def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
 
 
 def signature(own: np.ndarray) -> tuple[int, int]:
-    """128 bits that name a set: two independent sums over its members."""
-    n = np.uint64(len(own))
-    a = mix(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
-    b = mix(own + np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64)
-    return int(mix(np.array([a + n]))[0]), int(mix(np.array([b ^ n]))[0])
+    """96 bits that name a set: a sum over its members, and how many they are."""
+    total = mix(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
+    return int(total), len(own)
 
 
 def _keyed(sets: list[np.ndarray]) -> np.ndarray:
@@ -114,8 +112,8 @@ def _candidates(least: int, segments: int, centres: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[dict] = []
-        for key, n, flat, counts in answers(batches):
-            shared = len(flat)
+        for key, flat, counts in answers(batches):
+            n, shared = int(key["b"]), len(flat)
             if 100 * shared < least * n:
                 continue
             own = flat.view("<i8")
@@ -126,6 +124,8 @@ def _candidates(least: int, segments: int, centres: int):
                 {
                     "key": key.tobytes(),
                     "n": n,
+                    "alone": n - shared,
+                    "off_centre": -float(np.log2(counts).sum()) / n,
                     "centres": [int(mix(flat ^ m).min().view("<i8")) for m in masks],
                     "prefix": own[: max(prefix, 0)].tolist(),
                     "segments": [{"part": int(cut[i]), "hashes": own[i:j].tolist()} for i, j in zip(at[:-1], at[1:])],
@@ -142,7 +142,7 @@ def _candidates(least: int, segments: int, centres: int):
 
 _CANDIDATES = pa.schema(
     [
-        ("key", pa.binary()), ("n", pa.int64()), ("centres", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64())),
+        ("key", pa.binary()), ("n", pa.int64()), ("alone", pa.int64()), ("off_centre", pa.float64()), ("centres", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64())),
         ("segments", pa.list_(pa.struct([("part", pa.int32()), ("hashes", pa.list_(pa.int64()))]))),
     ]
 )
@@ -173,9 +173,12 @@ def links(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
 
 
 def centre_pairs(sets: DataFrame, least: int) -> DataFrame:
-    """Each set with the smallest set that has the same minimum under one of the random orders."""
-    keyed = sets.select("key", "n", F.posexplode("centres").alias("turn", "least_hash"))
-    centre = keyed.groupBy("turn", "least_hash").agg(F.min(F.struct("key", "n")).alias("c"), F.count(F.lit(1)).alias("m"))
+    """Each set with the most central one of those with the same minimum under one of the random orders.
+
+    Of near copies the text they all derive from is the most central: its shingles are found in most sets.
+    """
+    keyed = sets.select("key", "n", "off_centre", F.posexplode("centres").alias("turn", "least_hash"))
+    centre = keyed.groupBy("turn", "least_hash").agg(F.min(F.struct("off_centre", "key", "n")).alias("c"), F.count(F.lit(1)).alias("m"))
     centre = centre.filter("m > 1").select("turn", "least_hash", F.col("c.key").alias("b"), F.col("c.n").alias("n_b"))
     pairs = keyed.join(centre, ["turn", "least_hash"]).filter("key <> b")
     pairs = pairs.filter(fits(F.col("n"), F.col("n_b"), least))
@@ -183,15 +186,21 @@ def centre_pairs(sets: DataFrame, least: int) -> DataFrame:
 
 
 def prefix_pairs(sets: DataFrame, labels: DataFrame, least: int) -> DataFrame:
-    """Pairs of different components that share a shingle of both prefixes and fit in length."""
-    posted = sets.select("key", "n", "prefix").join(labels.withColumnRenamed("node", "key"), "key")
-    posted = written(posted.select("key", "n", "label", F.explode("prefix").alias("gram")), "ngram-prefixes")
+    """Pairs of different components that share a shingle of both prefixes, fit in length and have enough shingles left."""
+    posted = sets.select("key", "n", "alone", "prefix").join(labels.withColumnRenamed("node", "key"), "key")
+    posted = posted.select("key", "n", "label", "alone", F.posexplode("prefix").alias("turn", "gram"))
+    # shingles of the set from this one on, in the global order; those found in it alone come first
+    posted = posted.select("key", "n", "label", "gram", (F.col("n") - F.col("alone") - F.col("turn")).alias("left"))
+    posted = written(posted, "ngram-prefixes")
     mixed = posted.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     posted = posted.join(mixed.filter("low <> high").select("gram"), "gram", "left_semi")
-    a = posted.select("gram", F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"))
-    b = posted.select("gram", F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-    apart = (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & fits(F.col("n_a"), F.col("n_b"), least)
-    return a.join(b, "gram").filter(apart).select("a", "b", "n_a", "n_b").distinct()
+    a = posted.select("gram", *[F.col(c).alias(f"{c}_a") for c in ("key", "n", "label", "left")])
+    b = posted.select("gram", *[F.col(c).alias(f"{c}_b") for c in ("key", "n", "label", "left")])
+    apart = (F.col("key_a") < F.col("key_b")) & (F.col("label_a") != F.col("label_b")) & fits(F.col("n_a"), F.col("n_b"), least)
+    # if this is the first shingle both have, the overlap is at most what is left of either
+    enough = (100 + least) * F.least("left_a", "left_b") >= least * (F.col("n_a") + F.col("n_b"))
+    pairs = a.join(b, "gram").filter(apart & enough)
+    return pairs.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), "n_a", "n_b").distinct()
 
 
 def similar_sets(sets: DataFrame, least: int = LEAST) -> DataFrame:

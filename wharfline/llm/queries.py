@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import exact_dedup, mixing, ngram_join, quality_rules, substring_dedup
+from . import exact_dedup, mixing, ngram_join, quality_rules, substring_dedup, toxicity
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +53,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

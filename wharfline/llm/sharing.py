@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame
 
 from .tables import partitions
 
-#: A document's name: 128 bits.
-KEY = np.dtype([("a", "<u8"), ("b", "<u8")])
+#: A document's name: 96 bits.
+KEY = np.dtype([("a", "<u8"), ("b", "<u4")])
 #: Hashes a task holds before it sends them off.
-SLICE_HASHES = 1_500_000
+SLICE_HASHES = 1_000_000
 
-SENT = "part int, keys binary, sizes binary, counts binary, hashes binary"
-BACK = "part int, keys binary, sizes binary, hashes binary, counts binary"
+SENT = "part int, keys binary, runs binary, hashes binary"
+BACK = "part int, keys binary, runs binary, hashes binary, counts binary"
 
 #: Gives (name, set of hashes) of documents; one name may come again.
 Sets = Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, np.ndarray]]]
@@ -41,20 +41,19 @@ def _sender(sets: Sets, parts: int):
 
     def rows(keys: list[np.ndarray], held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         names = np.concatenate(keys)
-        sizes = np.array([len(s) for s in held])
-        flat, own = np.concatenate(held), np.repeat(np.arange(len(held)), sizes)
+        flat, own = np.concatenate(held), np.repeat(np.arange(len(held)), [len(s) for s in held])
         part = (flat // step).astype(np.int32)
         order = np.argsort(part, kind="stable")  # within a fragment document by document
         flat, own, part = flat[order], own[order], part[order]
         edges = edges_of(part)
-        out: list[list] = [[], [], [], [], []]
+        out: list[list] = [[], [], [], []]
         for a, b in zip(edges[:-1], edges[1:]):
             begins = edges_of(own[a:b])
             owners = own[a:b][begins[:-1]]
-            row = (int(part[a]), names[owners].tobytes(), sizes[owners].astype("<u4").tobytes(), np.diff(begins).astype("<u4").tobytes(), flat[a:b].tobytes())
+            row = (int(part[a]), names[owners].tobytes(), np.diff(begins).astype("<u4").tobytes(), flat[a:b].tobytes())
             for column, value in zip(out, row):
                 column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], ["part", "keys", "sizes", "counts", "hashes"])
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], ["part", "keys", "runs", "hashes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, held, n, seen = [], [], 0, set()
@@ -85,10 +84,10 @@ def joined(batches: Iterator[pa.RecordBatch], kinds: dict[str, np.dtype | str])
 
 def _judge(parts: int, verdict: Verdict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x = joined(batches, {"keys": KEY, "sizes": "<u4", "counts": "<u4", "hashes": "<u8"})
+        x = joined(batches, {"keys": KEY, "runs": "<u4", "hashes": "<u8"})
         if not len(x["hashes"]):
             return
-        flat, own = x["hashes"], np.repeat(np.arange(len(x["keys"])), x["counts"])
+        flat, own = x["hashes"], np.repeat(np.arange(len(x["keys"])), x["runs"])
         order = np.argsort(flat, kind="stable")
         flat, own = flat[order], own[order]
         new = np.concatenate(([True], flat[1:] != flat[:-1]))
@@ -99,18 +98,19 @@ def _judge(parts: int, verdict: Verdict):
         # a document that came more than once counts once
         keys = x["keys"][own]
         order = np.lexsort((keys["b"], keys["a"], flat))
-        flat, own, keys = flat[order], own[order], keys[order]
+        flat, keys = flat[order], keys[order]
         first = np.concatenate(([True], (flat[1:] != flat[:-1]) | (keys[1:] != keys[:-1])))
-        flat, own, keys = flat[first], own[first], keys[first]
+        flat, keys = flat[first], keys[first]
         back, counts = verdict(flat, keys)
-        flat, own, keys, counts = flat[back], own[back], keys[back], counts[back]
+        flat, keys, counts = flat[back], keys[back], counts[back]
         to = (mix_name(keys) % np.uint64(parts)).astype(np.int32)
-        order = np.argsort(to, kind="stable")
-        edges = edges_of(to[order])
+        order = np.lexsort((flat, keys["b"], keys["a"], to))
+        flat, keys, counts, to = flat[order], keys[order], counts[order], to[order]
+        edges = edges_of(to)
         for a, b in zip(edges[:-1], edges[1:]):
-            at = order[a:b]
-            values = (keys[at].tobytes(), x["sizes"][own[at]].astype("<u4").tobytes(), flat[at].tobytes(), counts[at].astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array([int(to[at[0]])], pa.int32()), *(pa.array([v], pa.binary()) for v in values)], ["part", "keys", "sizes", "hashes", "counts"])
+            begins = edges_of(keys[a:b])
+            values = (keys[a:b][begins[:-1]].tobytes(), np.diff(begins).astype("<u4").tobytes(), flat[a:b].tobytes(), counts[a:b].astype("<u4").tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([int(to[a])], pa.int32()), *(pa.array([v], pa.binary()) for v in values)], ["part", "keys", "runs", "hashes", "counts"])
 
     return run
 
@@ -118,7 +118,7 @@ def _judge(parts: int, verdict: Verdict):
 def mix_name(keys: np.ndarray) -> np.ndarray:
     from .words import mix
 
-    return mix(keys["a"] ^ (keys["b"] * np.uint64(0x9E3779B97F4A7C15)))
+    return mix(keys["a"] ^ (keys["b"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
 
 
 def shared(docs: DataFrame, sets: Sets, verdict: Verdict) -> DataFrame:
@@ -128,11 +128,12 @@ def shared(docs: DataFrame, sets: Sets, verdict: Verdict) -> DataFrame:
     return sent.repartition(parts, "part").mapInArrow(_judge(parts, verdict), BACK).repartition(parts, "part")
 
 
-def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.void, int, np.ndarray, np.ndarray]]:
-    """(name, size of its set, hashes, counts) of each document of a partition, by count and hash."""
-    x = joined(batches, {"keys": KEY, "sizes": "<u4", "hashes": "<u8", "counts": "<u4"})
-    order = np.lexsort((x["hashes"], x["counts"], x["keys"]["b"], x["keys"]["a"]))
-    keys, sizes, flat, counts = (x[c][order] for c in ("keys", "sizes", "hashes", "counts"))
+def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.void, np.ndarray, np.ndarray]]:
+    """(name, hashes, counts) of each document of a partition, by count and hash."""
+    x = joined(batches, {"keys": KEY, "runs": "<u4", "hashes": "<u8", "counts": "<u4"})
+    keys = np.repeat(x["keys"], x["runs"])
+    order = np.lexsort((x["hashes"], x["counts"], keys["b"], keys["a"]))
+    keys, flat, counts = keys[order], x["hashes"][order], x["counts"][order]
     edges = edges_of(keys)
     for a, b in zip(edges[:-1], edges[1:]):
-        yield keys[a], int(sizes[a]), flat[a:b], counts[a:b]
+        yield keys[a], flat[a:b], counts[a:b]

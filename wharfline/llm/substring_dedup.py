@@ -42,7 +42,8 @@ ANSWER_SCHEMA = "id long, found binary"
 JUDGED_SCHEMA = "doc_id long, id long, n_words long, kept_sha256 string, text string, spans binary"
 RESULT_SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
-_RUN, _LEFT, _RIGHT, _SIDE = (np.uint64(x) for x in factors(4, seed=5))
+_RUN, _LEFT, _RIGHT = factors(3, seed=5)
+_SIDES = factors(64, seed=6)
 
 
 def recompress(symbols: np.ndarray, doc: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -69,7 +70,7 @@ def recompress(symbols: np.ndarray, doc: np.ndarray, rounds: int) -> tuple[np.nd
         right_high[-1] = FAR
         low, high = left_low, right_high
         # pairs: left symbols take a right one that follows
-        right = (mix(symbols + _SIDE * np.uint64(turn + 1)) >> np.uint64(63)).astype(bool)
+        right = (mix(symbols + _SIDES[turn]) >> np.uint64(63)).astype(bool)
         pair = np.zeros(len(symbols), bool)
         pair[:-1] = ~right[:-1] & right[1:] & joint
         second = np.zeros(len(symbols), bool)
@@ -147,7 +148,7 @@ def after_the_first(flat: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ids, found = [], []
-    for name, _, flat, _ in answers(batches):
+    for name, flat, _ in answers(batches):
         ids.append(int(name["a"].astype("<u8").view("<i8")))
         found.append(np.sort(flat).tobytes())
         if len(ids) >= 2000:

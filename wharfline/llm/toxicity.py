@@ -3,11 +3,12 @@
 Two zstandard dictionaries are trained: one on ordinary text, one on what toxic text has and ordinary text has
 not. A text is cut into windows of a few words; each is compressed with the ordinary dictionary alone and with the
 toxic one before it. Windows of ordinary wording come out equally long, toxic wording comes out shorter by the bytes
-its dictionary saves. Window savings make four figures of a document, and a logistic curve, fitted on other labelled
+its dictionary saves. Window savings make a few figures of a document, and a logistic curve, fitted on other labelled
 rows than the dictionaries, turns them into a score.
 
-The training text for the toxic dictionary is chosen before: runs of ``GRAM`` bytes that toxic documents have far more
-often than ordinary ones mark the words that are its samples. All learning is on bounded samples of labelled rows
+The ordinary dictionary is zstandard's own training. Trained alike on toxic documents it would mostly hold ordinary wording,
+so the toxic one is a cover: runs of ``GRAM`` bytes that toxic documents have far more often than ordinary ones mark the
+words, and the most frequent ones that hold all marked runs are its content. All learning is on bounded samples of labelled rows
 that aren't held out (``TRAIN``, ``CALIBRATE``, ``SAMPLE_CHARS``); everything else is over whole texts.
 
 Defined results: a null, empty or blank text has no windows and gets the curve's lowest figures; without toxic
@@ -35,11 +36,14 @@ TRAIN = {1: 1200, 0: 2400}
 CALIBRATE = {1: 600, 0: 2400}
 SAMPLE_CHARS = 20_000
 #: Words in a window.
-WINDOW = 4
+WINDOW = 8
 #: Bytes of the dictionaries, zstandard's level and shortest match.
-ORDINARY_BYTES, TOXIC_BYTES, LEVEL, MATCH = 8192, 1024, 9, 3
+ORDINARY_BYTES, TOXIC_BYTES, LEVEL, MATCH = 8192, 2048, 9, 3
 #: A run of so many bytes marks toxic wording if so large a share of toxic documents has it, so many times the ordinary share.
-GRAM, LEAST_SHARE, TIMES = 5, 0.02, 16
+GRAM, LEAST_SHARE, TIMES = 4, 0.02, 16
+#: Savings in bytes whose windows are counted.
+STEPS = (2, 4, 6)
+FIGURES = 3 + len(STEPS)
 #: Scores from here on are predicted toxic.
 THRESHOLD = 0.7
 
@@ -61,53 +65,76 @@ def _joined_words(texts: list[str]) -> list[list[bytes]]:
 
 
 def _grams(words: list[bytes]) -> np.ndarray:
-    """The distinct runs of GRAM bytes of a text, as numbers."""
+    """The run of GRAM bytes that begins at each place of a text, as a number."""
     data = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.uint64)
-    n = len(data) - GRAM + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
+    n = max(len(data) - GRAM + 1, 0)
     out = np.zeros(n, np.uint64)
     for k in range(GRAM):
         out = (out << np.uint64(8)) | data[k : k + n]
-    return np.unique(out)
-
-
-def _dictionary(size: int, samples: list[bytes]) -> bytes:
-    """A trained dictionary, or, of too little text for that, its most frequent samples."""
+    return out
+
+
+def _marked_words(words: list[bytes], marks: np.ndarray) -> dict[bytes, set[int]]:
+    """The words of a text that hold marked runs, with these runs."""
+    grams = _grams(words)
+    if not len(marks) or not len(grams):
+        return {}
+    at = np.minimum(np.searchsorted(marks, grams), len(marks) - 1)
+    places = np.flatnonzero(marks[at] == grams)
+    ends = np.cumsum([len(w) + 1 for w in words])  # a word with the blank before it ends here
+    found: dict[bytes, set[int]] = {}
+    for place, word in zip(places.tolist(), np.searchsorted(ends, places, side="right").tolist()):
+        if word < len(words) and place + GRAM <= ends[word] + 1:  # inside the word and the blanks around it
+            found.setdefault(words[word], set()).add(int(grams[place]))
+    return found
+
+
+def _ordinary_dictionary(samples: list[bytes]) -> bytes:
+    """zstandard's own training, or, of too little text for that, the text itself."""
     try:
-        return zstandard.train_dictionary(size, samples).as_bytes()
+        return zstandard.train_dictionary(ORDINARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
-        seen: dict[bytes, int] = {}
-        for s in samples:
-            seen[s] = seen.get(s, 0) + 1
-        held = b""
-        for s in sorted(seen, key=lambda s: (-seen[s], s)):
-            if len(held) + len(s) > size:
+        return b" ".join(samples)[:ORDINARY_BYTES].ljust(8)
+
+
+def _cover(found: list[dict[bytes, set[int]]]) -> bytes:
+    """Words in the order of how many documents have them, each if it adds a run no word before it had.
+
+    Matches are cheapest near the end, so the most frequent words stand there.
+    """
+    count: dict[bytes, int] = {}
+    runs: dict[bytes, set[int]] = {}
+    for words in found:
+        for word, own in words.items():
+            count[word] = count.get(word, 0) + 1
+            runs.setdefault(word, set()).update(own)
+    held, covered = b"", set()
+    for word in sorted(count, key=lambda w: (-count[w], w)):
+        if runs[word] - covered:
+            if len(held) + len(word) + 2 > TOXIC_BYTES:
                 break
-            held = s + held
-        return held or b"        "
+            held = b" " + word + b" " + held
+            covered |= runs[word]
+    return held.ljust(8)
 
 
 def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
+    """The ordinary and the toxic dictionary."""
     bad, good = _joined_words(toxic), _joined_words(ordinary)
     counts = []
     for texts in (bad, good):
-        grams = [_grams(w) for w in texts]
+        grams = [np.unique(_grams(w)) for w in texts]
         counts.append(np.unique(np.concatenate(grams or [np.zeros(0, np.uint64)]), return_counts=True))
     (grams, n), (other, m) = counts
-    at = np.minimum(np.searchsorted(other, grams), max(len(other) - 1, 0))
-    there = np.where(other[at] == grams, m[at], 0) if len(other) else np.zeros(len(grams))
+    there = np.zeros(len(grams))
+    if len(other):
+        at = np.minimum(np.searchsorted(other, grams), len(other) - 1)
+        there = np.where(other[at] == grams, m[at], 0)
     share = n / max(len(bad), 1)
     marks = grams[(n >= 3) & (share >= LEAST_SHARE) & (share >= TIMES * (there + 0.5) / max(len(good), 1))]
-    samples: list[bytes] = []
-    for words in bad:
-        for word in words:
-            found = _grams([word])
-            if len(found) and np.isin(found, marks).any():
-                samples.append(b" " + word + b" ")
-    pieces = [b"".join(samples[i : i + 4]) for i in range(0, len(samples), 4)]
     spans = [b" ".join(w[i : i + 8]) for w in good for i in range(0, len(w), 8)]
-    return _dictionary(ORDINARY_BYTES, spans[:: max(1, len(spans) // 40_000)]), _dictionary(TOXIC_BYTES, pieces)
+    ordinary_dictionary = _ordinary_dictionary(spans[:: max(1, len(spans) // 20_000)])
+    return ordinary_dictionary, _cover([_marked_words(w, marks) for w in bad])
 
 
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
@@ -122,15 +149,12 @@ def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
 def _lengths(compressor: zstandard.ZstdCompressor, data: bytes, spans: np.ndarray) -> np.ndarray:
     packed = zstandard.BufferWithSegments(data, spans.astype("<u8").tobytes())
     out = compressor.multi_compress_to_buffer(packed, threads=1)
-    return np.array([len(x) for x in out]) if not hasattr(out, "buffer_count") else _sizes(out)
-
-
-def _sizes(out) -> np.ndarray:
     return np.fromiter(map(len, out), np.int64, len(out))
 
 
 def figures(texts: pa.Array, ordinary: zstandard.ZstdCompressor, toxic: zstandard.ZstdCompressor) -> Iterator[np.ndarray]:
-    """Of each text: the largest saving, the mean of the three largest, and logs of the windows saving 3 and 5 bytes."""
+    """Of each text: the largest saving, the mean of the three largest, logs of the number of windows that save so
+    much, and the mean saving."""
     for begin, end in slices(texts, 1 << 20):
         words = words_of(texts.slice(begin, end - begin), lower=True)
         data = words.data.tobytes()
@@ -148,9 +172,9 @@ def figures(texts: pa.Array, ordinary: zstandard.ZstdCompressor, toxic: zstandar
         for a, b in zip(edges[:-1], edges[1:]):
             own = np.sort(saved[a:b])[::-1]
             if len(own):
-                yield np.array([own[0], own[:3].mean(), np.log1p((own >= 3).sum()), np.log1p((own >= 5).sum())], float)
+                yield np.array([own[0], own[:3].mean(), *[np.log1p((own >= k).sum()) for k in STEPS], np.maximum(own, 0).sum() / len(own)], float)
             else:
-                yield np.zeros(4)
+                yield np.zeros(FIGURES)
 
 
 def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[float]:
@@ -196,7 +220,7 @@ def _score(model: Model):
         pair = _compressor(model.ordinary), _compressor(model.toxic + model.ordinary)
         weights = np.array(model.weights)
         for batch in batches:
-            x = np.array(list(figures(batch.column("text"), *pair))).reshape(-1, 4)
+            x = np.array(list(figures(batch.column("text"), *pair))).reshape(-1, FIGURES)
             score = 1 / (1 + np.exp(-np.clip(weights[0] + x @ weights[1:], -30, 30)))
             kept = [batch.column(c) for c in batch.schema.names if c != "text"]
             names = [c for c in batch.schema.names if c != "text"]
@@ -226,7 +250,7 @@ def _clean(model: Model):
         weights = np.array(model.weights)
         for batch in batches:
             texts = batch.column("row").field("text")
-            x = np.array(list(figures(texts, *pair))).reshape(-1, 4)
+            x = np.array(list(figures(texts, *pair))).reshape(-1, FIGURES)
             score = 1 / (1 + np.exp(-np.clip(weights[0] + x @ weights[1:], -30, 30)))
             yield batch.filter(pa.array(score < THRESHOLD))
 
