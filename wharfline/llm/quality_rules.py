@@ -2,10 +2,10 @@
 
 Each rule rejects a document whose measure lies above a cutoff. Cutoffs are chosen for each stratum
 (language) from labelled documents: a cutoff is allowed if, by the exact binomial tail, the share of good
-documents it rejects stays below ``limit``. A rule's cutoffs are tested from the loosest to the tightest and
+documents it rejects stays below ``limit`` divided by the number of rules. A rule's cutoffs are tested from the loosest to the tightest and
 the tests end at the first one that fails, so within a rule no correction is due; over rules and strata the
-level is divided by their number (Bonferroni). With probability 1 - ``level`` no rule of no stratum
-rejects more than ``limit`` of the good documents. Where too few good documents are labelled to prove it,
+level is divided by their number (Bonferroni). With probability 1 - ``level`` in no stratum all
+rules together reject more than ``limit`` of the good documents. Where too few good documents are labelled to prove it,
 the rule rejects nothing there.
 
 All of it is DataFrame expressions. The costly arrays of a document are built once, in a generator row.
@@ -32,14 +32,11 @@ MEASURES = {
     "symbol_share": "n_symbols / greatest(word_chars, 1)",
     "dup_line_share": "n_dup_lines / greatest(n_lines, 1)",
     "repeat_share": "n_repeat_words / greatest(n_words, 1)",
-    "upper_share": "n_upper / greatest(word_chars, 1)",
     "same_word_share": "1 - n_distinct / greatest(n_words, 1)",
     "mark_share": "n_marks / greatest(word_chars, 1)",
-    "mean_word": "word_chars / greatest(n_words, 1)",
-    "short_word": "- word_chars / greatest(n_words, 1)",
 }
 #: Cutoffs tried for each rule and stratum: these quantiles of its own good documents' measures, loosest first.
-TRIED = (1.0, 0.9995, 0.999, 0.998, 0.997, 0.996, 0.995, 0.994, 0.992, 0.99)
+TRIED = (1.0, 0.9999, 0.9998, 0.9996, 0.9994, 0.9992, 0.999, 0.9985, 0.998)
 
 
 def _lost(text: Column, chars: str) -> Column:
@@ -67,7 +64,6 @@ def base_columns(docs: DataFrame, *keep: str) -> DataFrame:
         rows.drop("_words"),
         word_chars=F.length(F.translate(text, BLANKS, "")).cast("long"),
         n_symbols=_lost(text, SYMBOLS),
-        n_upper=_lost(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
         n_marks=_lost(text, "!?"),
         n_lines=F.size("_lines").cast("long"),
         n_dup_lines=(F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
@@ -98,11 +94,7 @@ def base_failed() -> Column:
 
 
 def log_tail(k: Column, n: Column, p: float) -> Column:
-    """log P(X <= k) for X binomial(n, p), added up term by term from its exact ratios, in logs.
-
-    Past 20 deviations below the mean the tail is 0 for any level in use; the sum then need not run, and it
-    never runs for more than the k + 1 terms there are.
-    """
+    """log P(X <= k) for X binomial(n, p), added up term by term from its exact ratios, in logs."""
     from math import log
 
     first = n.cast("double") * F.lit(log(1 - p))
@@ -153,7 +145,7 @@ def cutoffs(labelled: DataFrame, limit: float = LIMIT, level: float = LEVEL) ->
     )
     strata = counted.select("stratum").distinct().agg(F.count(F.lit(1)).alias("strata"))
     tested = counted.join(strata, F.lit(True))
-    allowed = log_tail(F.col("k"), F.col("n"), limit) <= F.log(F.lit(level) / (F.col("strata") * len(MEASURES)))
+    allowed = log_tail(F.col("k"), F.col("n"), limit / len(MEASURES)) <= F.log(F.lit(level) / (F.col("strata") * len(MEASURES)))
     tested = tested.withColumn("allowed", allowed)
     # tests run from the loosest cutoff; everything past the first failure is out
     failed = F.max(F.when(~F.col("allowed"), F.col("cutoff")))

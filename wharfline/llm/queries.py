@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import exact_dedup, mixing, ngram_join, quality_rules, substring_dedup, toxicity
+from . import exact_dedup, license_scan, mixing, ngram_join, packing, quality_model, quality_rules, substring_dedup, toxicity
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,18 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_model(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
