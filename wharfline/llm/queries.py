@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import exact_dedup, license_scan, mixing, ngram_join, packing, quality_model, quality_rules, substring_dedup, toxicity
+from . import exact_dedup, html_text, license_scan, mixing, ngram_join, packing, quality_model, quality_rules, substring_dedup, toxicity
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,8 @@ def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
+
+
+@query()
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.html_text(table(spark, sf_dir, "pages"))
