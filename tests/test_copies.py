@@ -92,8 +92,8 @@ def test_two_stage_flows(spark):
     staging = listing(spark, [("old.csv", D2)])
     none = listing(spark, [("z", D1)])
     kw = dict(staging_container="m", target_container="t", provider="azure", copied_at=F.lit(D2))
-    made = producer_flow(src, staging, none, schema="NaturalGas", org="BP", **kw).collect()
-    assert [r.event.path for r in made] == ["naturalgas-bp-data/my_file.csv"] and made[0].event.sourceType == "AZURE"
+    made = producer_flow(src, staging, none, schema="NaturalGas", org="Mole", **kw).collect()
+    assert [r.event.path for r in made] == ["naturalgas-mole-data/my_file.csv"] and made[0].event.sourceType == "AZURE"
     kept = consumer_flow(src, staging, none, **kw).collect()
     assert [r.event.path for r in kept] == ["Data/My-File.csv"]
     messages = first_stage(src, staging, "m", "azure")
@@ -113,8 +113,8 @@ def container(tmp_path):
 def test_listings_agree(spark, container):
     root = str(container / "src")
     a = ob.list_data_files(spark, root).orderBy("object_key").collect()
-    b = ob.list_objects(spark, f"file:{root}", tasks=2).orderBy("object_key").collect()
-    c = ob.list_objects(spark, root, levels=3, tasks=2).orderBy("object_key").collect()
+    b = ob.list_objects(spark, f"file:{root}").orderBy("object_key").collect()
+    c = ob.list_objects(spark, root).orderBy("object_key").collect()
     assert [r.object_key for r in b] == ["c.txt", "d/a.txt", "d/b.txt"] and b == c
     assert [tuple(r) for r in a] == [tuple(r) for r in b if r.length]
     assert ob.list_objects(spark, str(container / "none"), may_be_absent=True).count() == 0
@@ -145,7 +145,7 @@ def test_copy_then_skip_then_overwrite(spark, container):
     (container / "src/d/a.txt").write_bytes(b"newer")
     os.utime(container / "src/d/a.txt", (4_000_000_000, 4_000_000_000))
     assert cycle(3)["d/a.txt"] == "overwritten" and (container / "dst/d/a.txt").read_bytes() == b"newer"
-    assert not [p for p in (container / "dst").rglob("*.part")]
+    assert not list(container.glob("dst.landing*"))
 
 
 def test_a_failing_object_does_not_stop_the_others(spark, container):
@@ -169,3 +169,39 @@ def test_move_and_repeat(spark, container):
                        "no.txt": "source object not found", "bad key": "unsafe object key"}
     assert not [p for p in (container / "src").rglob("*") if p.is_file()]
     assert (container / "dst/d/a.txt").read_bytes() == b"alpha"
+
+
+def test_listing_leaves_nothing_out(spark, tmp_path):
+    root = tmp_path / "odd"
+    (root / "p/q").mkdir(parents=True)
+    (root / "a/b/c").mkdir(parents=True)
+    names = [".hidden", "_under", "empty", "a/b/c/deep", f"x.{'0' * 32}.part"]
+    for name in names:
+        (root / name).write_bytes(b"" if name == "empty" else b"x")
+    assert {r.object_key: r.length for r in ob.list_objects(spark, str(root)).collect()} == {n: int(n != "empty") for n in names}
+    bare = tmp_path / "bare/only/folders"
+    bare.mkdir(parents=True)
+    assert ob.list_objects(spark, str(tmp_path / "bare")).count() == 0
+    assert ob.list_objects(spark, str(root), provider="gcp").count() == 0
+    with pytest.raises(Exception, match="none"):
+        ob.list_objects(spark, str(tmp_path / "none")).count()
+
+
+def test_providers_are_spelled_freely(spark, container):
+    listed = ob.list_objects(spark, str(container / "src"))
+    for vendor, copied in (("AWS", 3), (" aws ", 3), ("Azure", 3), ("gcp", 0)):
+        plan = cp.copy_plan_of_listing(listed, listed.limit(0), vendor)
+        assert plan.where("copied").count() == copied
+        assert plan.where(f"reason = '{cp.UNSUPPORTED}'").count() == 3 - copied
+
+
+def test_moves_take_a_destination(spark, container):
+    src, dst = str(container / "src"), str(container / "dst")
+    listed = spark.createDataFrame(ob.list_objects(spark, src).collect(), LISTING)
+    to = F.lit("one.txt")
+    done = ob.execute_move(listed.select("object_key"), listed, src, dst, str(container / "o"), dest=to, vendor=" AZURE ")
+    assert sorted(r.reason for r in done.collect())[-1] == "moved"
+    assert [r.object_key for r in ob.list_objects(spark, dst).collect()] == ["one.txt"]
+    assert ob.list_objects(spark, src).count() == 2  # what lost its destination stays
+    done = ob.execute_move(listed.select("object_key"), listed, src, dst, str(container / "o2"), vendor="gcp")
+    assert {r.reason for r in done.collect()} == {cp.UNSUPPORTED}

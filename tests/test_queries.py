@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from wharfline.queries.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -30,13 +31,13 @@ def plain(value):
 
 
 @pytest.mark.skipif(not Path(SF).exists(), reason="shared tables are not there")
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    frame = entry_points.queries()[name](spark, SF)
+    frame = QUERIES[name](spark, SF)
     order = sorted(frame.columns)
     got = sorted(tuple(plain(r[c]) for c in order) for r in frame.collect())
-    assert name in entry_points.oracle_sql()
-    answer = con.execute(entry_points.oracle_sql()[name])
+    assert name in ORACLES
+    answer = con.execute(ORACLES[name])
     names = [d[0] for d in answer.description]
     assert sorted(names) == order
     want = sorted(tuple(plain(r[names.index(c)]) for c in order) for r in answer.fetchall())

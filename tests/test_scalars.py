@@ -30,8 +30,8 @@ def test_safe_keys(spark):
 
 
 def test_mapped_name(spark):
-    got = values(spark, ["My-File Name.csv"], lambda x: o.mapped_name(F.lit("NaturalGas"), F.lit("BP"), x))
-    assert got == ["naturalgas-bp-my_file_name.csv"]
+    got = values(spark, ["My-File Name.csv"], lambda x: o.mapped_name(F.lit("NaturalGas"), F.lit("Mole"), x))
+    assert got == ["naturalgas-mole-my_file_name.csv"]
 
 
 def test_source_type_and_provider(spark):
@@ -41,10 +41,10 @@ def test_source_type_and_provider(spark):
 
 def test_file_ready_json(spark):
     got = values(
-        spark, ["naturalgas-bp-file.csv"],
+        spark, ["naturalgas-mole-file.csv"],
         lambda x: F.to_json(o.file_ready(F.lit("target-container"), x, F.lit("azure"))),
     )
-    assert got == ['{"sourceType":"AZURE","storageContainer":"target-container","path":"naturalgas-bp-file.csv"}']
+    assert got == ['{"sourceType":"AZURE","storageContainer":"target-container","path":"naturalgas-mole-file.csv"}']
 
 
 def test_provider_label_and_error_record(spark):
@@ -68,8 +68,8 @@ def test_resolve_topic(spark):
 def test_target_topic_and_groups(spark):
     one = spark.range(1)
     lit = F.lit
-    assert one.select(tp.target_topic("consumer", lit("neso"), lit("eqbd"), lit("eqbdpggas"))).first()[0] == (
-        "dpn-consumer-neso-eqbd-eqbdpggas-target"
+    assert one.select(tp.target_topic("consumer", lit("quay"), lit("eqbd"), lit("eqbdpggas"))).first()[0] == (
+        "dpn-consumer-quay-eqbd-eqbdpggas-target"
     )
     assert one.select(tp.control_group(lit("dl"), lit("adaptor"))).first()[0] == "dl-adaptor-control"
     run = "scheduled__2026-05-26T08:00:00+00:00" * 2

@@ -23,15 +23,15 @@ def messages(spark, *header_lists, value=b"value", key=b"key"):
     return spark.createDataFrame(rows, MESSAGE)
 
 
-SNAKE = [("schema_type", b"EQBD"), ("org_name", b"NESO"), ("product_type", b"EQBD PG Gas")]
-CAMEL = [("schemaType", b"EQBD"), ("orgName", b"NESO"), ("productType", b"EQBD PG Gas")]
+SNAKE = [("schema_type", b"EQBD"), ("org_name", b"QUAY"), ("product_type", b"EQBD PG Gas")]
+CAMEL = [("schemaType", b"EQBD"), ("orgName", b"QUAY"), ("productType", b"EQBD PG Gas")]
 UPPER = [(k.upper(), v) for k, v in CAMEL]
 
 
 def test_routing_by_snake_camel_and_upper(spark):
     df = messages(spark, [*SNAKE, ("traceparent", TRACE.encode())], CAMEL, UPPER, None, [("schema_type", b""), *SNAKE[1:]])
     got = check_route(df).orderBy("offset").collect()
-    topic = "dpn-consumer-neso-eqbd-eqbdpggas-target"
+    topic = "dpn-consumer-quay-eqbd-eqbdpggas-target"
     assert [r.target for r in got] == [topic, topic, topic, None, None]
     assert got[3].reject_reason == "unknown metadata: schema_type,org_name,product_type"
     assert got[4].reject_reason == "unknown metadata: schema_type"
@@ -41,7 +41,7 @@ def test_stamped_headers(spark):
     df = messages(spark, [*SNAKE, ("traceparent", TRACE.encode())])
     row = route(df, F.lit("now")).first()
     assert [(h.key, bytes(h.value)) for h in row.headers] == [
-        ("schemaType", b"eqbd"), ("orgName", b"neso"), ("productType", b"eqbdpggas"), ("processedAt", b"now"), ("offset", b"42"),
+        ("schemaType", b"eqbd"), ("orgName", b"quay"), ("productType", b"eqbdpggas"), ("processedAt", b"now"), ("offset", b"42"),
     ]
     assert (row.trace.trace_id, row.trace.parent_id) == tuple(TRACE.split("-")[1:3])
 
@@ -95,8 +95,8 @@ def test_malformed_trace_starts_anew(spark):
 
 
 def test_static_enrich(spark):
-    row = enrich_static(messages(spark, SNAKE), "NESO", "", "EQBD PG Gas", F.lit("t")).first()
-    assert row.topic == "dpn-producer-neso-unknown-eqbdpggas-target"
+    row = enrich_static(messages(spark, SNAKE), "QUAY", "", "EQBD PG Gas", F.lit("t")).first()
+    assert row.topic == "dpn-producer-quay-unknown-eqbdpggas-target"
 
 
 def test_handler_isolates_errors(spark):

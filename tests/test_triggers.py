@@ -5,6 +5,8 @@ import random
 from datetime import datetime, timedelta
 
 
+from pyspark.sql import functions as F
+
 from wharfline.functions.context import Identity
 from wharfline.operators import triggers as op
 from wharfline.operators.ordered import chunk_by_offset
@@ -33,7 +35,7 @@ def decide(rows):
 def test_known_sequence(spark):
     rows = [(i, "p", "adaptor", r, m, False) for i, (r, m) in enumerate(
         [("a", "automatic"), ("a", "automatic"), ("b", " MANUAL "), ("b", None), ("b", "manual")])]
-    got = op.decide_triggers(spark.createDataFrame(rows, SCHEMA)).orderBy("offset").collect()
+    got = op.decide_triggers(spark.createDataFrame(rows, SCHEMA).withColumn("partition", F.lit(0))).orderBy("offset").collect()
     assert [r.decision for r in got] == ["execute", "completed", "skipped", "execute", "completed"]
 
 
@@ -44,7 +46,7 @@ def test_random_triggers_match_the_loop(spark):
          f"r{rng.randint(0, 2)}", rng.choice(["manual", "automatic", "x", None]), rng.random() < 0.2)
         for i in range(3000)
     ]
-    df = spark.createDataFrame(rows, SCHEMA).repartition(8)
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("partition", F.lit(0)).repartition(8)
     for size in (1, 50, 10**6):
         got = op.decide_triggers(df, chunk=chunk_by_offset("offset", size)).collect()
         assert {r.offset: r.decision for r in got} == decide(rows)
@@ -52,7 +54,7 @@ def test_random_triggers_match_the_loop(spark):
 
 def test_failed_runs_may_be_forgotten(spark):
     rows = [(0, "p", "s", "a", None, True), (1, "p", "s", "a", None, False), (2, "p", "s", "a", None, False)]
-    df = spark.createDataFrame(rows, SCHEMA)
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("partition", F.lit(0))
     kept = [r.decision for r in op.decide_triggers(df).orderBy("offset").collect()]
     free = [r.decision for r in op.decide_triggers(df, remember_failures=False).orderBy("offset").collect()]
     assert kept == ["execute", "completed", "completed"] and free == ["execute", "execute", "completed"]
@@ -118,6 +120,9 @@ def test_await_status_matches_a_scan(spark):
             want[n] = (None, "timeout")
         else:
             want[n] = (hits[0][0], "error" if hits[0][1] == "failed" else "success")
+    # the other partition's offsets count something else
+    other = statuses.select(F.lit(1).alias("partition"), "*").withColumn("status", F.lit("failed"))
+    statuses = statuses.select(F.lit(0).alias("partition"), "*").unionByName(other)
     for size in (10, 10**6):
         got = op.await_status(triggers, statuses, 30, size).collect()
         assert {r.offset: (r.status_offset, r.outcome) for r in got} == want
@@ -165,9 +170,25 @@ def test_published_statuses(spark):
          (2, "p", "s", "file", "producer", "b", "manual", T0), (3, "p", "s", "file", "producer", "c", "x", T0)],
         "offset bigint, product string, stage string, pipeline_type string, pipeline_role string, run_id string, "
         "execution_mode string, timestamp timestamp",
-    )
+    ).withColumn("partition", F.lit(0))
     results = spark.createDataFrame(
-        [(0, "failed", "E: x", 1500)], "offset bigint, run_status string, run_error string, duration_us bigint"
+        [(0, 0, "failed", "E: x", 1500), (1, 0, "completed", None, 9)],
+        "partition int, offset bigint, run_status string, run_error string, duration_us bigint",
     )
     got = {r.offset: (r.status, r.error, r.duration_ms) for r in published_statuses(triggers, results).collect()}
     assert got == {0: ("failed", "E: x", 1.5), 1: ("completed", None, 0.0), 2: ("skipped", None, 0.0)}
+
+
+def test_partitions_are_told_apart(spark):
+    rows = [(p, o, "p", "s", r, "x", T0) for p, o, r in ((0, 0, "a"), (1, 0, "b"), (0, 1, "a"), (1, 1, "b"))]
+    df = spark.createDataFrame(
+        rows, "partition int, offset bigint, product string, stage string, run_id string, execution_mode string, timestamp timestamp"
+    )
+    want = {(0, 0): "execute", (0, 1): "completed", (1, 0): "execute", (1, 1): "completed"}
+    for chunk in (None, op.chunk_by_place(1)):
+        assert {(r.partition, r.offset): r.decision for r in op.decide_triggers(df, chunk=chunk).collect()} == want
+
+
+def test_triggers_without_run_are_dead_letters(spark):
+    df = spark.createDataFrame([("a",), (None,)], "run_id string")
+    assert [(r.run_id, r.reject_reason) for r in op.trigger_dead_letters(df).collect()] == [(None, op.NO_RUN_ID)]

@@ -6,7 +6,7 @@ from wharfline.operators import validation as v
 
 GOOD = {
     "bootstrapServer": "kafka:9092", "srcTopicName": "eq-src", "mapperTopicName": "eq-mapper-events",
-    "targetTopicName": "eq-target-events", "orgName": "neso", "schemaType": "eq", "productType": "gas",
+    "targetTopicName": "eq-target-events", "orgName": "quay", "schemaType": "eq", "productType": "gas",
     "SERVICE_NAME": "svc", "SERVICE_VERSION": "0.0.1",
 }
 
@@ -58,7 +58,7 @@ def test_adaptor(spark):
         "[adaptor] 'SERVICE_VERSION' must follow format X.Y.Z"
     ]
     assert errors(spark, v.validate_adaptor, bootstrapServer="") == ["[adaptor] 'bootstrapServer' is required but empty"] * 2
-    assert errors(spark, v.validate_adaptor, orgName=" neso", srcTopicName=" a b", mapperTopicName="") == [
+    assert errors(spark, v.validate_adaptor, orgName=" quay", srcTopicName=" a b", mapperTopicName="") == [
         "[adaptor] 'orgName' must not have leading/trailing spaces",
         "[adaptor] 'srcTopicName' must not have leading/trailing spaces",
         "[adaptor] 'srcTopicName' must not contain spaces",

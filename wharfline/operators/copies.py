@@ -15,11 +15,6 @@ UNSUPPORTED = "unsupported vendor"
 REJECTED = "schema rule not met"
 
 
-def requests_from_listing(source: DataFrame) -> DataFrame:
-    """Request every object of a listing once."""
-    return source.select("object_key")
-
-
 def copy_plan(
     requested: DataFrame,
     source: DataFrame,
@@ -79,6 +74,7 @@ def copy_plan_of_listing(source: DataFrame, target: DataFrame, vendor: str = "aw
 
 
 def _decide(met: DataFrame, renames: bool, vendor: str) -> DataFrame:
+    vendor = (vendor or "").strip().lower()
     supported = vendor in NOT_FOUND
     found = F.col("src_modified").isNotNull()
     needs = (

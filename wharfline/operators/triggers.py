@@ -84,19 +84,32 @@ def skip_manual(mode: Column | str = "execution_mode") -> Column:
     return execution_mode(mode) == "manual"
 
 
+NO_RUN_ID = "trigger without run id"
+
+
+def trigger_dead_letters(triggers: DataFrame) -> DataFrame:
+    """The triggers that no run can be decided for, with the reason; the rest is decided."""
+    return triggers.where(F.col("run_id").isNull()).withColumn("reject_reason", F.lit(NO_RUN_ID))
+
+
+def chunk_by_place(size: int = 1_000_000) -> Column:
+    """Chunk number of a message that grows with partition, then offset (offsets below 2 ** 40 chunks)."""
+    return F.col("partition").cast("bigint") * F.lit(1 << 40) + chunk_by_offset("offset", size)
+
+
 def decide_triggers(
     triggers: DataFrame,
     keys: Sequence[str] = ("product", "stage"),
-    order: Sequence[str] = ("offset",),
+    order: Sequence[str] = ("partition", "offset"),
     chunk: Column | None = None,
     remember_failures: bool = True,
 ) -> DataFrame:
-    """Add the normalised mode and the decision for each trigger.
+    """Add the normalised mode and the decision for each trigger, taken by partition, then offset.
 
     ``completed`` for the run that was executed last (a repeat, checked first),
     ``skipped`` for manual runs, else ``execute``. With ``remember_failures``
     off, runs flagged in the column ``run_failed`` are not remembered. Triggers
-    without a run id belong to the dead letters and are left out.
+    without a run id are no runs: :func:`trigger_dead_letters` has them.
     """
     mode = execution_mode("execution_mode")
     runs = triggers.where(F.col("run_id").isNotNull()).withColumn("mode", mode)
@@ -109,7 +122,7 @@ def decide_triggers(
         order,
         F.when(remembered, F.col("run_id")),
         "last_run_id",
-        chunk_by_offset("offset") if chunk is None else chunk,
+        chunk_by_place() if chunk is None else chunk,
     )
     return seen.withColumn(
         "decision",
@@ -125,9 +138,13 @@ def await_status(
     timeout_secs: int = 600,
     chunk_size: int = 1_000_000,
     keys: Sequence[str] = ("run_id", "stage", "product"),
+    partition: int = 0,
 ) -> DataFrame:
     """The first status at or after each trigger's start offset.
 
+    The start offset is one of the watched ``partition`` of the status topic, so only its statuses can answer;
+    offsets of other partitions count something else.
+
     Both sides are laid on the offset axis of the status topic, then each trigger
     takes the next status of its key. No pair of rows is formed, so a run with
     very many triggers and statuses stays linear. ``triggers`` needs
@@ -146,7 +163,7 @@ def await_status(
         F.col("status"),
         F.col("timestamp").alias("status_at"),
     )
-    replies = statuses.select(
+    replies = statuses.where(F.col("partition") == partition).select(
         *keys, F.col("offset").alias("__pos"), F.lit(1).alias("__side"), reply.alias("__reply")
     )
     both = asks.unionByName(replies, allowMissingColumns=True)

@@ -12,16 +12,16 @@ def published_statuses(triggers: DataFrame, results: DataFrame, chunk: Column |
     """The status each trigger is answered with.
 
     Repeats and manual runs are answered at once; executed ones by the result of
-    their run. ``results`` holds one row per executed trigger offset, with
+    their run. ``results`` holds one row per executed trigger, named by partition and offset, with
     ``run_status``, ``run_error``, ``duration_us``. A run without a result is
     still going and gets no status.
     """
     decided = decide_triggers(triggers, chunk=chunk)
-    done = results.select("offset", "run_status", "run_error", "duration_us")
+    done = results.select("partition", "offset", "run_status", "run_error", "duration_us")
     ran = F.col("decision") == "execute"
-    met = decided.join(done, "offset", "left").withColumn("took", F.when(ran, F.col("duration_us")).otherwise(0))
+    met = decided.join(done, ["partition", "offset"], "left").withColumn("took", F.when(ran, F.col("duration_us")).otherwise(0))
     return met.where(~ran | F.col("run_status").isNotNull()).select(
-        "offset", "product", "stage", "pipeline_type", "pipeline_role", "run_id",
+        "partition", "offset", "product", "stage", "pipeline_type", "pipeline_role", "run_id",
         "decision",
         F.when(ran, F.col("run_status")).otherwise(F.col("decision")).alias("status"),
         F.when(ran, F.col("run_error")).alias("error"),

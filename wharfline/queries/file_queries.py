@@ -18,8 +18,10 @@ from ..sources.objects import (
     execute_copy as run_copy,
     execute_move as run_move,
     fetch_objects,
-    list_data_files,
+    make_folder,
+    write_objects,
     list_objects as list_all,
+    read_objects as scan,
 )
 from . import tables as t
 from .registry import query
@@ -52,7 +54,7 @@ def object_key_check(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     with_("keyed")
-    + """SELECT p AS page_id, 'naturalgas-bp-' || lower(replace(replace(object_key, ' ', '_'), '-', '_')) AS producer_name,
+    + """SELECT p AS page_id, 'naturalgas-mole-' || lower(replace(replace(object_key, ' ', '_'), '-', '_')) AS producer_name,
   object_key AS consumer_name, CASE WHEN vendor = 'aws' THEN 'S3' ELSE upper(vendor) END AS source_type,
   CASE WHEN lower(vendor) IN ('aws', 'azure') THEN lower(vendor) ELSE 'unsupported' END AS provider,
   '{"sourceType":"' || CASE WHEN vendor = 'aws' THEN 'S3' ELSE upper(vendor) END || '","storageContainer":"target-container","path":"' || object_key || '"}' AS event
@@ -62,7 +64,7 @@ def mapped_names(spark: SparkSession, sf: str) -> DataFrame:
     vendor = t.pick(F.col("page_id") % 3, "aws", "Azure", "gcp")
     return t.keyed_pages(spark, sf).select(
         "page_id",
-        mapped_name(F.lit("NaturalGas"), F.lit("BP"), "object_key").alias("producer_name"),
+        mapped_name(F.lit("NaturalGas"), F.lit("Mole"), "object_key").alias("producer_name"),
         F.col("object_key").alias("consumer_name"),
         source_type(vendor).alias("source_type"),
         provider(vendor).alias("provider"),
@@ -135,100 +137,98 @@ def schema_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- containers with real objects --------------------------------------------
 #
-# The documents are written as text objects, so the bytes that move grow with
-# the table. A text object holds one document and a line feed after another.
+# Each document is an object of its own, nested by source and language. Some are
+# empty, some have hidden names, and one folder holds no file at all.
 
+_OBJECTS = """(SELECT source || '/' || lang || '/' || CASE doc_id % 50 WHEN 0 THEN '_' WHEN 1 THEN '.' ELSE 'd' END || doc_id || '.txt' AS object_key,
+  CASE WHEN doc_id % 97 = 5 THEN '' ELSE text END AS body, doc_id FROM documents)"""
 
-def _container(spark: SparkSession, sf: str, label: str) -> str:
-    root = f"{run_folder(spark, label)}"
-    t.table(spark, sf, "documents").select(F.col("text").alias("value")).write.text(f"{root}/source/batch-1")
-    return root
 
-
-def listing_of(spark: SparkSession, root: str, *, may_be_absent: bool = False) -> DataFrame:
-    return list_all(spark, root, tasks=16, may_be_absent=may_be_absent)
+def document_objects(spark: SparkSession, sf: str) -> DataFrame:
+    """object_key and content of one object per document."""
+    i = F.col("doc_id")
+    name = F.concat(F.when(i % 50 == 0, "_").when(i % 50 == 1, ".").otherwise("d"), i.cast("string"), F.lit(".txt"))
+    body = F.when(i % 97 == 5, "").otherwise(F.col("text")).cast("binary")
+    return t.table(spark, sf, "documents").select(
+        F.concat_ws("/", "source", "lang", name).alias("object_key"), body.alias("content"), "doc_id"
+    )
 
 
-def _objects(listing: DataFrame) -> DataFrame:
-    """Leaves out the marker that closes a written folder and the check sums beside its files."""
-    return listing.where(~F.col("object_key").rlike("(^|/)[_.][^/]*$"))
+def _container(spark: SparkSession, sf: str, label: str) -> str:
+    root = run_folder(spark, label)
+    make_folder(spark, f"{root}/source/no/files/here")
+    write_objects(document_objects(spark, sf), f"{root}/source").write.parquet(f"{root}/written")
+    return root
 
 
-_BYTES = "(SELECT sum(strlen(text) + 1)::BIGINT AS bytes FROM documents)"
+def _hashes(spark: SparkSession, root: str) -> DataFrame:
+    """Key, length and hash of every object below a root, read back from it."""
+    listed = list_all(spark, root).select("object_key", "length")
+    got = fetch_objects(listed, root).select("object_key", F.md5("content").alias("hash"))
+    return listed.join(got, "object_key")
 
 
-@query(
-    f"""SELECT label, bytes, true AS keys_safe, true AS has_times FROM {_BYTES}, (VALUES ('file index'), ('executors')) v(label)"""
-)
+@query(f"SELECT object_key, strlen(body)::BIGINT AS length, true AS has_time FROM {_OBJECTS}")
 def list_objects(spark: SparkSession, sf: str) -> DataFrame:
     root = _container(spark, sf, "list")
-    both = [
-        _objects(found).select(F.lit(label).alias("label"), "object_key", "modified", "length")
-        for label, found in (
-            ("file index", list_data_files(spark, f"{root}/source")),
-            ("executors", listing_of(spark, f"{root}/source")),
-        )
-    ]
-    return both[0].unionByName(both[1]).groupBy("label").agg(
-        F.sum("length").alias("bytes"),
-        F.bool_and(is_safe_key("object_key")).alias("keys_safe"),
-        F.bool_and(F.col("modified").isNotNull()).alias("has_times"),
-    )
+    listed = list_all(spark, f"{root}/source").unionByName(list_all(spark, f"{root}/source", provider="gcp"))
+    return listed.select("object_key", "length", F.col("modified").isNotNull().alias("has_time"))
 
 
-@query(f"SELECT bytes, 1::BIGINT AS absent FROM {_BYTES}")
+@query(f"SELECT object_key, md5(body) AS hash FROM {_OBJECTS} UNION ALL SELECT 'gone.txt', 'absent'")
 def read_objects(spark: SparkSession, sf: str) -> DataFrame:
-    root = _container(spark, sf, "read")
-    keys = _objects(listing_of(spark, f"{root}/source")).select("object_key")
-    gone = spark.range(1).select(F.lit("batch-1/gone.txt").alias("object_key"))
-    got = fetch_objects(keys.unionByName(gone), f"{root}/source")
-    return got.agg(
-        F.sum(F.octet_length("content").cast("bigint")).alias("bytes"),
-        F.count_if(F.col("content").isNull()).alias("absent"),
-    )
+    """Every object, and one that isn't there; tasks follow the listed bytes."""
+    root = f"{_container(spark, sf, 'read')}/source"
+    gone = spark.range(1).select(F.lit("gone.txt").alias("object_key"), F.lit(0).cast("bigint").alias("length"))
+    keys = list_all(spark, root).select("object_key", "length").unionByName(gone)
+    return fetch_objects(keys, root).select("object_key", F.coalesce(F.md5("content"), F.lit("absent")).alias("hash"))
+
+
+@query(f"SELECT object_key, md5(body) AS hash FROM {_OBJECTS} WHERE body <> '' AND doc_id % 50 > 1 AND doc_id % 3 = 0")
+def scan_objects(spark: SparkSession, sf: str) -> DataFrame:
+    """A share of a container's data files by a scan of all."""
+    root = f"{_container(spark, sf, 'scan')}/source"
+    keys = document_objects(spark, sf).where("doc_id % 3 = 0 AND octet_length(content) > 0").select("object_key")
+    return scan(spark, root, keys).select("object_key", F.md5("content").alias("hash"))
 
 
 @query(
-    f"""SELECT cycle, CASE WHEN cycle = 1 THEN bytes ELSE 0 END AS bytes_copied, bytes AS bytes_in_target,
-  cycle = 1 AS all_copied, cycle = 2 AS all_skipped, 0::BIGINT AS failed FROM {_BYTES}, (VALUES (1), (2)) v(cycle)"""
+    f"""SELECT cycle, object_key, cycle = 1 AS copied, cycle = 2 AS skipped, strlen(body)::BIGINT AS length, md5(body) AS hash
+FROM {_OBJECTS}, (VALUES (1), (2)) v(cycle)"""
 )
 def execute_copy(spark: SparkSession, sf: str) -> DataFrame:
-    """Copy a container twice: the second cycle finds everything up to date."""
+    """Copy a container twice: the second cycle finds everything up to date. Hashes are those of the target."""
     root = _container(spark, sf, "copy")
-    source = _objects(listing_of(spark, f"{root}/source"))
-    target_root = f"{root}/target"
-    before = listing_of(spark, target_root, may_be_absent=True)
-    first = run_copy(copy_plan_of_listing(source, before), f"{root}/source", target_root, f"{root}/first", 16)
-    target = listing_of(spark, target_root)
-    second = run_copy(copy_plan_of_listing(source, target), f"{root}/source", target_root, f"{root}/second", 16)
-    size = target.agg(F.sum("length").alias("bytes_in_target"))
-    results = first.withColumn("cycle", F.lit(1)).unionByName(second.withColumn("cycle", F.lit(2)))
-    totals = results.groupBy("cycle").agg(
-        F.coalesce(F.sum(F.when(F.col("copied"), F.col("length"))), F.lit(0)).alias("bytes_copied"),
-        F.bool_and("copied").alias("all_copied"),
-        F.bool_and("skipped").alias("all_skipped"),
-        F.count_if(~F.col("copied") & ~F.col("skipped")).alias("failed"),
-    )
-    return totals.join(size)
+    src, dst = f"{root}/source", f"{root}/target"
+    source = list_all(spark, src)
+    results = []
+    for n in (1, 2):
+        plan = copy_plan_of_listing(source, list_all(spark, dst, may_be_absent=True), " AWS ")
+        results.append(run_copy(plan, src, dst, f"{root}/cycle-{n}").withColumn("cycle", F.lit(n)))
+    landed = _hashes(spark, dst).withColumnRenamed("object_key", "dest_key")
+    done = results[0].unionByName(results[1]).drop("length").join(landed, "dest_key", "full")
+    return done.select("cycle", "object_key", "copied", "skipped", "length", "hash")
 
 
 @query(
-    f"""SELECT bytes AS bytes_in_target, 0::BIGINT AS left_in_source, true AS all_moved, 1::BIGINT AS not_found FROM {_BYTES}"""
+    f"""SELECT object_key, 'moved/' || object_key AS dest_key, 'moved' AS reason, md5(body) AS hash, false AS still_there FROM {_OBJECTS}
+UNION ALL SELECT 'gone.txt', 'moved/gone.txt', 'source blob not found', 'absent', false"""
 )
 def execute_move(spark: SparkSession, sf: str) -> DataFrame:
-    """Move a container: afterwards the source is empty."""
+    """Move a container below another name: afterwards the source is empty."""
     root = _container(spark, sf, "move")
-    source = _objects(listing_of(spark, f"{root}/source"))
-    gone = spark.range(1).select(F.lit("batch-1/gone.txt").alias("object_key"))
+    src, dst = f"{root}/source", f"{root}/target"
+    source = list_all(spark, src)
+    gone = spark.range(1).select(F.lit("gone.txt").alias("object_key"))
     asked = source.select("object_key").unionByName(gone)
-    moved = run_move(asked, source, f"{root}/source", f"{root}/target", f"{root}/moved", 16)
-    left = _objects(listing_of(spark, f"{root}/source")).agg(F.count(F.lit(1)).alias("left_in_source"))
-    size = listing_of(spark, f"{root}/target").agg(F.sum("length").alias("bytes_in_target"))
-    missing = F.col("reason") == "source object not found"
-    totals = moved.agg(
-        F.bool_and(F.col("copied") | missing).alias("all_moved"), F.count_if(missing).alias("not_found")
-    )
-    return totals.join(left).join(size)
+    to = F.concat(F.lit("moved/"), "object_key")
+    moved = run_move(asked, source, src, dst, f"{root}/moved", dest=to, vendor="Azure")
+    left = list_all(spark, src).select("object_key", F.lit(True).alias("still_there"))
+    landed = _hashes(spark, dst).select(F.col("object_key").alias("dest_key"), "hash")
+    return moved.join(landed, "dest_key", "full").join(left, "object_key", "left").select(
+        "object_key", "dest_key", "reason",
+        F.coalesce("hash", F.lit("absent")).alias("hash"), F.coalesce("still_there", F.lit(False)).alias("still_there"),
+    )
 
 
 # --- whole file flows --------------------------------------------------------
@@ -258,7 +258,7 @@ FROM landed GROUP BY dest_key"""
     )
 
 
-_MAPPED = "'naturalgas-bp-' || lower(replace(replace(s.object_key, ' ', '_'), '-', '_'))"
+_MAPPED = "'naturalgas-mole-' || lower(replace(replace(s.object_key, ' ', '_'), '-', '_'))"
 
 
 def _events(flow: DataFrame) -> DataFrame:
@@ -267,7 +267,7 @@ def _events(flow: DataFrame) -> DataFrame:
 
 @query(_flow_sql(_MAPPED, "strlen(s.html) > 1200"))
 def producer_file_events(spark: SparkSession, sf: str) -> DataFrame:
-    renamed = mapped_name(F.lit("NaturalGas"), F.lit("BP"), "object_key")
+    renamed = mapped_name(F.lit("NaturalGas"), F.lit("Mole"), "object_key")
     target = t.target_listing(spark, sf, renamed).groupBy("object_key").agg(F.max("modified").alias("modified"))
     return _events(
         producer_flow(
@@ -275,7 +275,7 @@ def producer_file_events(spark: SparkSession, sf: str) -> DataFrame:
             _staging(spark, sf),
             target,
             schema="NaturalGas",
-            org="BP",
+            org="Mole",
             staging_container="staging",
             target_container="target",
             provider="aws",

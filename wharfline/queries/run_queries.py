@@ -27,6 +27,19 @@ def trigger_match(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    with_("triggers")
+    + """SELECT decision, count(*) AS triggers FROM (
+  SELECT CASE WHEN run_id IS NULL THEN 'dead letter: trigger without run id' ELSE 'decided' END AS decision FROM triggers) GROUP BY 1"""
+)
+def trigger_accounts(spark: SparkSession, sf: str) -> DataFrame:
+    """Every trigger is either decided or a dead letter."""
+    rows = t.triggers(spark, sf)
+    decided = op.decide_triggers(rows, chunk=chunk_by_offset("offset", CHUNK)).select(F.lit("decided").alias("decision"))
+    dead = op.trigger_dead_letters(rows).select(F.concat(F.lit("dead letter: "), "reject_reason").alias("decision"))
+    return decided.unionByName(dead).groupBy("decision").agg(F.count(F.lit(1)).alias("triggers"))
+
+
 DECISION_SQL = with_("decided") + 'SELECT product, stage, "offset", run_id, mode, decision FROM decided'
 
 
@@ -205,6 +218,7 @@ def controlled_runs(spark: SparkSession, sf: str) -> DataFrame:
     """Trigger, decide, run, answer: totals per runner."""
     c = F.col("o_custkey")
     results = t.table(spark, sf, "orders").where(c % 9 != 0).select(
+        F.lit(0).alias("partition"),
         F.col("o_orderkey").alias("offset"),
         F.when(c % 11 == 0, "failed").otherwise("completed").alias("run_status"),
         F.when(c % 11 == 0, "ValueError: bad input").alias("run_error"),

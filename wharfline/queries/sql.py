@@ -223,7 +223,7 @@ FROM runs""",
 _cte(
     "statuses",
     f"""SELECT CASE WHEN k % 5 = 4 THEN 1 ELSE 0 END AS partition,
-  (k * 60 + c % 40 * 20) * 100000 + k % 100000 AS "offset", stage, pipeline_type, pipeline_role, product, run_id,
+  CASE WHEN k % 5 = 4 THEN k ELSE (k * 60 + c % 40 * 20) * 100000 + k % 100000 END AS "offset", stage, pipeline_type, pipeline_role, product, run_id,
   CASE WHEN c % 11 = 0 THEN 'failed' WHEN c % 7 = 0 THEN 'skipped' ELSE 'completed' END AS status,
   CASE WHEN c % 11 = 0 THEN 'ValueError: bad input' END AS error,
   (c % 40 * 20000000 + k % 1000) / 1000.0::DOUBLE AS duration_ms,
@@ -250,6 +250,7 @@ _cte(
 FROM triggers t LEFT JOIN LATERAL (
   SELECT arg_min(x."timestamp", x."offset") AS "timestamp", min(x."offset") AS "offset", arg_min(x.status, x."offset") AS status
   FROM statuses x WHERE x.run_id = t.run_id AND x.stage = t.stage AND x.product = t.product AND x."offset" >= t.start_offset
+    AND x.partition = 0
 ) s ON true""",
     "triggers",
     "statuses",
@@ -311,7 +312,7 @@ _cte(
   coalesce(CASE WHEN c_custkey % 6 IN (3, 5) THEN ['eq-topic','',' eq','e q','eq ',NULL,'ok.topic'][q % 7 + 1]
     ELSE ['map-topic','','ma p ',NULL,'m'][q % 5 + 1] END, '') AS map_topic,
   coalesce(['map-topic','','ma p ',NULL,'m'][q % 5 + 1], '') AS tgt_topic,
-  CASE q % 10 WHEN 0 THEN ' neso' WHEN 1 THEN '' ELSE 'neso' END AS org,
+  CASE q % 10 WHEN 0 THEN ' quay' WHEN 1 THEN '' ELSE 'quay' END AS org,
   CASE WHEN q % 11 = 0 THEN 'eq ' ELSE 'eq' END AS schema_t,
   CASE WHEN q % 13 <> 0 THEN 'gas' ELSE '' END AS product,
   CASE WHEN q % 12 = 0 THEN '' ELSE 'svc' END AS svc,

@@ -18,7 +18,8 @@ from ..streaming.files import file_ready_stream
 from ..streaming.runs import run_drain
 from ..streaming.sinks import route_stream
 from . import tables as t
-from .file_queries import _BYTES, _container
+from ..sources.objects import write_objects
+from .file_queries import _OBJECTS, _hashes, document_objects
 from .metric_queries import DRAIN_GAP, DRAIN_SQL, MISSED_SECS, WINDOW_SQL, window_rows
 from .registry import query
 from .run_queries import DECISION_SQL
@@ -52,7 +53,7 @@ def stream_route(spark: SparkSession, sf: str) -> DataFrame:
     """Routed messages and dead letters of one stream."""
     folder = run_folder(spark, "route")
     stream = t.messages(spark, sf, streaming=True)
-    run_drain(route_stream(stream, F.lit(PROCESSED_AT), f"{folder}/out", f"{folder}/dead", f"{folder}/checkpoint", 2))
+    run_drain(route_stream(stream, F.lit(PROCESSED_AT), f"{folder}/out", f"{folder}/dead", f"{folder}/checkpoint"))
     good = spark.read.parquet(f"{folder}/out").select("topic", "offset")
     dead = spark.read.parquet(f"{folder}/dead").select(
         F.concat(F.lit("dead letter: "), "reject_reason").alias("topic"), "offset"
@@ -113,7 +114,7 @@ def stream_await_status(spark: SparkSession, sf: str) -> DataFrame:
     asks = t.triggers(spark, sf).where(F.col("run_id").isNotNull()).select(
         "run_id", "stage", "product", "offset", "start_offset", "timestamp"
     )
-    replies = t.statuses(spark, sf).select("run_id", "stage", "product", "offset", "status", "timestamp")
+    replies = t.statuses(spark, sf).select("partition", "run_id", "stage", "product", "offset", "status", "timestamp")
 
     def staged(rows: DataFrame, name: str) -> DataFrame:
         """The rows, then one closing row long after, as a stream of two batches."""
@@ -167,22 +168,23 @@ def stream_missed_heartbeats(spark: SparkSession, sf: str) -> DataFrame:
     return _drain(alarms, run_folder(spark, "alarms")).select("component", "last_seen_us")
 
 
-@query(f"SELECT bytes, true AS all_copied, true AS all_announced FROM {_BYTES}")
+@query(f"SELECT object_key, 1::BIGINT AS copies, 1::BIGINT AS events, md5(body) AS hash FROM {_OBJECTS}")
 def stream_file_ready(spark: SparkSession, sf: str) -> DataFrame:
-    """New objects are copied and announced as they appear."""
-    root = _container(spark, sf, "ready")
-    writer = file_ready_stream(
-        spark, f"{root}/source", f"{root}/target", f"{root}/out", f"{root}/checkpoint", container="target", tasks=16
-    )
-    run_drain(writer)
-    # the containers hold the markers of the written folder too; only the objects count here
-    results = spark.read.parquet(f"{root}/out/cycle=*/results").where(~F.col("object_key").rlike("(^|/)[_.][^/]*$"))
-    events = spark.read.parquet(f"{root}/out/cycle=*/events").select(
-        F.from_json(F.col("value").cast("string"), "path string")["path"].alias("dest_key")
-    )
-    met = results.join(events.withColumn("announced", F.lit(True)), "dest_key", "left")
-    return met.agg(
-        F.sum("length").alias("bytes"),
-        F.bool_and("copied").alias("all_copied"),
-        F.bool_and(F.coalesce("announced", F.lit(False))).alias("all_announced"),
+    """New objects are copied and announced as they appear: half of them, then the rest under a new checkpoint.
+
+    The second stream writes below the same folder; nothing of the first one is replayed or lost.
+    """
+    root = run_folder(spark, "ready")
+    objects, src, dst = document_objects(spark, sf), f"{root}/source", f"{root}/target"
+    for n in (0, 1):
+        half = objects.where(F.col("doc_id") % 2 == n)
+        write_objects(half, src).write.parquet(f"{root}/written-{n}")
+        run_drain(file_ready_stream(spark, src, dst, f"{root}/out", f"{root}/checkpoint-{n}", container="target"))
+    results = spark.read.parquet(f"{root}/out/query=*/cycle=*/results").where("copied")
+    events = spark.read.parquet(f"{root}/out/query=*/cycle=*/events").select(
+        F.from_json(F.col("value").cast("string"), "path string")["path"].alias("object_key")
     )
+    count = F.count(F.lit(1))
+    met = results.groupBy("object_key").agg(count.alias("copies"))
+    met = met.join(events.groupBy("object_key").agg(count.alias("events")), "object_key", "full")
+    return met.join(_hashes(spark, dst).select("object_key", "hash"), "object_key", "full")

@@ -249,7 +249,8 @@ def statuses_of(orders: DataFrame) -> DataFrame:
         .where(c % 9 != 0)
         .select(
             F.when(k % 5 == 4, 1).otherwise(0).alias("partition"),
-            (secs * TICKS + k % TICKS).alias("offset"),
+            # the second partition counts on its own
+            F.when(k % 5 == 4, k).otherwise(secs * TICKS + k % TICKS).alias("offset"),
             "stage",
             "pipeline_type",
             "pipeline_role",
@@ -366,7 +367,7 @@ def configs(spark: SparkSession, sf: str) -> DataFrame:
         "srcTopicName": topic,
         "mapperTopicName": F.when(kind.isin("mapper", "consumer-mapper"), topic).otherwise(other),
         "targetTopicName": other,
-        "orgName": F.when(q % 10 == 0, " neso").when(q % 10 == 1, "").otherwise("neso"),
+        "orgName": F.when(q % 10 == 0, " quay").when(q % 10 == 1, "").otherwise("quay"),
         "schemaType": F.when(q % 11 == 0, "eq ").otherwise("eq"),
         "productType": F.when(q % 13 != 0, F.lit("gas")),
         "SERVICE_NAME": F.when(q % 12 == 0, "").otherwise("svc"),

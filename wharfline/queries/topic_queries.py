@@ -140,14 +140,14 @@ def route_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     with_("messages")
-    + f"""SELECT 'dpn-producer-neso-eqbd-eqbdpggas-target' AS topic, partition, count(*) AS messages, min("offset") AS first_offset,
+    + f"""SELECT 'dpn-producer-quay-eqbd-eqbdpggas-target' AS topic, partition, count(*) AS messages, min("offset") AS first_offset,
   max("offset") AS last_offset, count(*) FILTER ("offset" % 3 = 0) AS inherited,
-  max('schemaType=eqbd;orgName=neso;productType=eqbdpggas;processedAt={PROCESSED_AT};offset=' || "offset") AS last_stamp
+  max('schemaType=eqbd;orgName=quay;productType=eqbdpggas;processedAt={PROCESSED_AT};offset=' || "offset") AS last_stamp
 FROM messages GROUP BY partition"""
 )
 def static_route(spark: SparkSession, sf: str) -> DataFrame:
     """The producer topic flow: every message to one topic with the run's own metadata."""
-    out = enrich_static(t.messages(spark, sf), "NESO", "EQBD", "EQBD PG Gas", _processed_at())
+    out = enrich_static(t.messages(spark, sf), "QUAY", "EQBD", "EQBD PG Gas", _processed_at())
     return out.groupBy("topic", "partition").agg(
         F.count(F.lit(1)).alias("messages"),
         F.min("offset").alias("first_offset"),

@@ -13,11 +13,14 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.objects import is_safe_key
+from ..operators.copies import NOT_FOUND, UNSUPPORTED
+from ..session import run_folder
 
 FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -32,10 +35,17 @@ def object_key(root: str) -> Column:
 
 def container(root: str, provider: str | None = None) -> str | None:
     """The root when the provider is supported, else nothing to list."""
-    known = provider is None or provider.strip().lower() in ("azure", "aws")
+    known = provider is None or provider.strip().lower() in NOT_FOUND
     return root if known else None
 
 
+def qualified(spark: SparkSession, root: str) -> str:
+    """The root with its store's name, as the session resolves it; tasks then open the same store."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(root)
+    return where.getFileSystem(conf).makeQualified(where).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, by the file system the session uses for it."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
@@ -43,56 +53,68 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(conf).exists(where)
 
 
-LANDING = r"\.[0-9a-f]{32}\.part$"  # a copy that is still under way
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this run's own, if it is there."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(conf).delete(where, True)
 
 
-def _walk(root: str, recursive: bool, may_be_absent: bool):
-    """Task function: the objects (and, one level deep, the prefixes) below given prefixes."""
+LISTED = pa.schema(
+    [("object_key", pa.string()), ("modified", pa.timestamp("us", "UTC")), ("length", pa.int64()), ("is_prefix", pa.bool_())]
+)
+LISTING = "object_key string, modified timestamp, length bigint"
 
-    def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _walk(root: str):
+    """Task function: what lies directly below each of the given prefixes."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _open(root)
-        for pdf in parts:
-            for prefix in pdf["object_key"]:
-                where = f"{base}/{prefix}".rstrip("/")
-                found = store.get_file_info(
-                    pafs.FileSelector(where, allow_not_found=may_be_absent, recursive=recursive)
-                )
-                for start in range(0, len(found), 10_000):
+        for batch in batches:
+            for prefix in batch.column("object_key").to_pylist():
+                # a prefix may go between two levels
+                found = store.get_file_info(pafs.FileSelector(f"{base}/{prefix}".rstrip("/"), allow_not_found=bool(prefix)))
+                for start in range(0, max(len(found), 1), 10_000):
                     some = found[start : start + 10_000]
-                    if recursive:
-                        some = [i for i in some if i.type == pafs.FileType.File]
-                    yield pd.DataFrame(
-                        {
-                            "object_key": [i.path[len(base) + 1 :] for i in some],
-                            "modified": pd.to_datetime([i.mtime_ns // 1000 if i.mtime_ns else None for i in some], unit="us", utc=True),
-                            "length": pd.array([i.size for i in some], dtype="Int64"),
-                            "is_prefix": [i.type == pafs.FileType.Directory for i in some],
-                        }
-                    )
+                    columns = [
+                        [i.path[len(base) + 1 :] for i in some],
+                        [i.mtime_ns // 1000 if i.mtime_ns else None for i in some],
+                        [i.size if i.type == pafs.FileType.File else None for i in some],
+                        [i.type == pafs.FileType.Directory for i in some],
+                    ]
+                    typed = [pa.array(c, f.type) for c, f in zip(columns, LISTED)]
+                    yield pa.RecordBatch.from_arrays(typed, schema=LISTED)
 
     return rows
 
 
 def list_objects(
-    spark: SparkSession, root: str, *, levels: int = 1, tasks: int = 200, may_be_absent: bool = False
+    spark: SparkSession, root: str, *, provider: str | None = None, may_be_absent: bool = False
 ) -> DataFrame:
-    """All objects of a container with time and length, empty ones included.
+    """All objects of a container with time and length: empty and hidden ones too, nothing is left out.
 
-    The executors list: the first ``levels`` levels of prefixes are opened one by
-    one, and everything below them is shared out over ``tasks`` tasks, so a long
-    listing never passes through the driver. A target that nothing was copied to
-    yet may be absent and is then empty.
+    The executors list level by level: each folder is opened once, by one task, and its
+    row count alone tells whether there is a further level. Every level is written to the shared
+    folder, so all readers of the listing see one state of a container that goes on changing. A
+    target that nothing was copied to yet may be absent and is then empty, as is the container
+    of an unsupported provider.
     """
-    schema = "object_key string, modified timestamp, length bigint, is_prefix boolean"
-    prefixes = spark.range(1).select(F.lit("").alias("object_key"))
-    found = []
-    for _ in range(levels):
-        level = prefixes.mapInPandas(_walk(root, False, may_be_absent), schema)
-        found.append(level.where(~F.col("is_prefix")))
-        prefixes = level.where("is_prefix").select("object_key").repartition(tasks)
-    found.append(prefixes.mapInPandas(_walk(root, True, may_be_absent), schema))
-    listed = reduce(DataFrame.unionByName, found).drop("is_prefix")
-    return listed.where(~F.col("object_key").rlike(LANDING))
+    nothing = spark.createDataFrame([], LISTING)
+    if container(root, provider) is None or (may_be_absent and not exists(spark, root)):
+        return nothing
+    where, out = qualified(spark, root), run_folder(spark, "listing")
+    schema = f"{LISTING}, is_prefix boolean"
+    prefixes, level = spark.range(1, numPartitions=1).select(F.lit("").alias("object_key")), 0
+    while True:
+        prefixes.mapInArrow(_walk(where), schema).write.parquet(f"{out}/level={level}")
+        below = spark.read.schema(schema).parquet(f"{out}/level={level}").where("is_prefix").select("object_key")
+        n = below.count()
+        if not n:
+            break
+        # a folder is a call to the store, however many bytes its name has
+        prefixes, level = below.repartition(min(n, 16 * spark.sparkContext.defaultParallelism)), level + 1
+    return spark.read.schema(schema).parquet(f"{out}/level=*").where("not is_prefix").drop("is_prefix")
 
 
 def list_data_files(spark: SparkSession, root: str) -> DataFrame:
@@ -144,14 +166,29 @@ def _open(root: str) -> tuple[pafs.FileSystem, str]:
     return store, base.rstrip("/")
 
 
+#: Bytes and objects a task is meant to move.
+TASK_BYTES, TASK_OBJECTS = 256 << 20, 5_000
+
+
+def sized_tasks(rows: DataFrame, length: str = "length") -> int:
+    """Tasks for that many bytes and objects; an object of unknown length counts as one."""
+    n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(length), F.lit(0))).first()
+    return max(1, -(-n // TASK_OBJECTS), -(-int(size) // TASK_BYTES))
+
+
 def fetch_objects(keys: DataFrame, root: str, tasks: int | None = None) -> DataFrame:
-    """Bytes of the requested objects, read by the tasks; null content where one is missing."""
-    wanted = keys.select("object_key").distinct()
-    if tasks:
-        wanted = wanted.repartition(tasks)
+    """Bytes of the requested objects, read by the tasks; null content where one is missing.
+
+    With a ``length`` column the tasks follow the bytes, else the number of keys, unless ``tasks`` is given.
+    """
+    spark = keys.sparkSession
+    size = F.max("length") if "length" in keys.columns else F.lit(None).cast("bigint")
+    wanted = keys.groupBy("object_key").agg(size.alias("length"))
+    wanted = wanted.repartition(tasks or sized_tasks(wanted), "object_key").select("object_key")
+    where = qualified(spark, root)
 
     def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, base = _open(root)
+        store, base = _open(where)
         for pdf in parts:
             for key in pdf["object_key"]:
                 info = store.get_file_info(f"{base}/{key}")
@@ -164,26 +201,63 @@ def fetch_objects(keys: DataFrame, root: str, tasks: int | None = None) -> DataF
     return wanted.mapInPandas(rows, "object_key string, content binary")
 
 
+def write_objects(rows: DataFrame, root: str) -> DataFrame:
+    """Write ``content`` under ``object_key`` below the root; key and length of what was written, once it is asked for.
+
+    A task that runs again writes the same bytes under the same names.
+    """
+    where = qualified(rows.sparkSession, root)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = _open(where)
+        for pdf in parts:
+            for folder in {k.rpartition("/")[0] for k in pdf["object_key"]}:
+                store.create_dir(f"{base}/{folder}", recursive=True)
+            for key, content in zip(pdf["object_key"], pdf["content"]):
+                with store.open_output_stream(f"{base}/{key}") as stream:
+                    stream.write(content)
+            yield pd.DataFrame({"object_key": pdf["object_key"], "length": [len(c) for c in pdf["content"]]})
+
+    return rows.select("object_key", "content").mapInPandas(run, "object_key string, length bigint")
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(conf).mkdirs(where)
+
+
+#: A store copies by itself up to so many bytes in one call.
+STORE_COPY_BYTES = 5 * 10**9
+
+
 def _copy_one(
-    src: pafs.FileSystem, src_path: str, dst: pafs.FileSystem, dst_path: str, length: int | None
+    src: pafs.FileSystem, src_path: str, dst: pafs.FileSystem, dst_path: str, length: int | None, landing_root: str
 ) -> None:
-    """Copy through a temporary name, so readers never see a part and repeats are harmless."""
+    """Copy by way of a landing folder, so readers never see a part and repeats are harmless.
+
+    An S3 object appears whole, it needs no landing. Whatever fails, nothing stays in the landing folder.
+    """
     by_rename = not isinstance(dst, pafs.S3FileSystem)
-    landing = f"{dst_path}.{uuid.uuid4().hex}.part" if by_rename else dst_path
+    landing = f"{landing_root}/{uuid.uuid4().hex}" if by_rename else dst_path
     if by_rename:
+        dst.create_dir(landing_root, recursive=True)
         dst.create_dir(dst_path.rsplit("/", 1)[0], recursive=True)
-    if type(src) is type(dst):
-        dst.copy_file(src_path, landing)
-    else:
-        with src.open_input_stream(src_path) as read, dst.open_output_stream(landing) as write:
-            while chunk := read.read(16 << 20):
-                write.write(chunk)
-    size = dst.get_file_info(landing).size
-    if length is not None and size != length:
-        dst.delete_file(landing)
-        raise OSError(f"copied {size} bytes of {length}")
-    if by_rename:
-        dst.move(landing, dst_path)
+    try:
+        if src.equals(dst) and (by_rename or (length is not None and length <= STORE_COPY_BYTES)):
+            dst.copy_file(src_path, landing)
+        else:
+            with src.open_input_stream(src_path) as read, dst.open_output_stream(landing) as write:
+                while chunk := read.read(16 << 20):
+                    write.write(chunk)
+        size = dst.get_file_info(landing).size
+        if length is not None and size != length:
+            raise OSError(f"copied {size} bytes of {length}")
+        if by_rename:
+            dst.move(landing, dst_path)
+    finally:
+        if by_rename and dst.get_file_info(landing).type == pafs.FileType.File:
+            dst.delete_file(landing)
 
 
 RESULT = (
@@ -192,10 +266,11 @@ RESULT = (
 )
 
 
-def _run(work: DataFrame, src_root: str, dst_root: str, delete_source: bool) -> DataFrame:
+def _run(work: DataFrame, src_root: str, dst_root: str, landing: str, delete_source: bool) -> DataFrame:
     def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         src, src_base = _open(src_root)
         dst, dst_base = _open(dst_root)
+        _, landing_root = _open(landing)
         for pdf in parts:
             copied, kinds, texts = [], [], []
             for key, dest, length in zip(pdf["object_key"], pdf["dest_key"], pdf["length"]):
@@ -207,7 +282,7 @@ def _run(work: DataFrame, src_root: str, dst_root: str, delete_source: bool) ->
                     if gone and dst.get_file_info(to_path).size == size:
                         pass  # an earlier attempt of this task finished the move
                     else:
-                        _copy_one(src, from_path, dst, to_path, size)
+                        _copy_one(src, from_path, dst, to_path, size, landing_root)
                         if delete_source:
                             src.delete_file(from_path)
                 except Exception as exc:  # noqa: BLE001 - one object never stops the rest
@@ -239,43 +314,74 @@ def _fix(work: DataFrame, out: str) -> DataFrame:
     return spark.read.parquet(planned)
 
 
-def _finish(work: DataFrame, src_root: str, dst_root: str, out: str, tasks: int, delete_source: bool) -> DataFrame:
+def _finish(work: DataFrame, src_root: str, dst_root: str, out: str, tasks: int | None, delete_source: bool) -> DataFrame:
+    spark = work.sparkSession
     fixed = _fix(work, out)
-    moved = _run(fixed.where("copied").repartition(tasks), src_root, dst_root, delete_source)
+    due = fixed.where("copied")
+    source, target = qualified(spark, src_root), qualified(spark, dst_root)
+    landing = f"{target.rstrip('/')}.landing-{uuid.uuid4().hex[:12]}"  # beside the container, so no listing meets it
+    dealt = due.repartition(tasks or sized_tasks(due), F.xxhash64("dest_key"))
+    moved = _run(dealt, source, target, landing, delete_source)
     none = F.lit(None).cast("string")
     left = fixed.where("not copied").withColumns({"error_type": none, "error_message": none})
-    moved.unionByName(left).write.mode("overwrite").parquet(f"{out}/results")
-    return work.sparkSession.read.parquet(f"{out}/results")
+    try:
+        moved.unionByName(left).write.mode("overwrite").parquet(f"{out}/results")
+    finally:
+        remove(spark, landing)
+    return spark.read.parquet(f"{out}/results")
 
 
-def execute_copy(plan: DataFrame, src_root: str, dst_root: str, out: str, tasks: int = 200) -> DataFrame:
+def execute_copy(plan: DataFrame, src_root: str, dst_root: str, out: str, tasks: int | None = None) -> DataFrame:
     """Carry out a copy plan and return its results.
 
     ``out`` is a folder of this run's own: the plan is written there first, the
     results after it. The same folder again resumes the same plan. Only rows to
-    be copied visit the tasks that move bytes.
+    be copied visit the tasks that move bytes; how many there are follows the bytes.
     """
     return _finish(_columns(plan), src_root, dst_root, out, tasks, delete_source=False)
 
 
 def execute_move(
-    requested: DataFrame, source: DataFrame, src_root: str, dst_root: str, out: str, tasks: int = 200
+    requested: DataFrame,
+    source: DataFrame,
+    src_root: str,
+    dst_root: str,
+    out: str,
+    tasks: int | None = None,
+    *,
+    dest: Column | None = None,
+    vendor: str = "aws",
 ) -> DataFrame:
-    """Copy each requested object, then delete its source; times do not matter.
+    """Copy each requested object to its destination, then delete its source; times do not matter.
 
-    The source goes only after the copy's length was checked. ``out`` is as in
+    ``dest`` names the destination, else it is the key. Of several objects with one destination the first
+    by key is moved. The source goes only after the copy's length was checked. ``out`` is as in
     :func:`execute_copy`.
     """
+    provider = vendor.strip().lower()
     asked = requested.groupBy("object_key").agg(F.count(F.lit(1)).alias("requests"))
+    met = asked.join(source.select("object_key", "length"), "object_key", "left")
+    met = met.withColumn("dest_key", F.col("object_key") if dest is None else dest)
     found = F.col("length").isNotNull()
-    safe = is_safe_key("object_key")
-    work = asked.join(source.select("object_key", "length"), "object_key", "left").select(
+    safe = is_safe_key("object_key") & is_safe_key("dest_key")
+    able = F.lit(provider in NOT_FOUND) & safe & found
+    first = F.lit(True)
+    if dest is not None:
+        winners = met.where(able).groupBy("dest_key").agg(F.min("object_key").alias("winner"))
+        met = met.join(winners, "dest_key", "left")
+        first = F.col("winner") == F.col("object_key")
+    work = met.select(
         "object_key",
-        F.col("object_key").alias("dest_key"),
+        "dest_key",
         "requests",
         "length",
-        (safe & found).alias("copied"),
+        F.coalesce(able & first, F.lit(False)).alias("copied"),
         F.lit(False).alias("skipped"),
-        F.when(~safe, "unsafe object key").when(~found, "source object not found").otherwise("moved").alias("reason"),
+        F.when(~safe, "unsafe object key")
+        .when(F.lit(provider not in NOT_FOUND), UNSUPPORTED)
+        .when(~found, NOT_FOUND.get(provider, ""))
+        .when(~first, "destination taken by another object of this run")
+        .otherwise("moved")
+        .alias("reason"),
     )
     return _finish(work, src_root, dst_root, out, tasks, delete_source=True)

@@ -9,6 +9,7 @@ from ..operators.copies import copy_plan_of_listing
 from ..plans.file_flow import announce
 from ..sources.objects import execute_copy, list_objects, stream_objects
 from ..sources.topics import event_messages
+from .sinks import query_id
 
 
 def file_cycle(
@@ -20,15 +21,15 @@ def file_cycle(
     *,
     container: str,
     provider: str = "aws",
-    tasks: int = 200,
+    tasks: int | None = None,
 ) -> DataFrame:
     """One cycle: list both sides, plan, copy, write the events; returns the results.
 
     A cycle that is run again under the same name goes on with its first plan,
     so it does not find its own copies.
     """
-    source = list_objects(spark, src_root, tasks=tasks)
-    target = list_objects(spark, dst_root, tasks=tasks, may_be_absent=True)
+    source = list_objects(spark, src_root, provider=provider)
+    target = list_objects(spark, dst_root, provider=provider, may_be_absent=True)
     plan = copy_plan_of_listing(source, target, provider)
     results = execute_copy(plan, src_root, dst_root, f"{out}/cycle={cycle}", tasks)
     events = event_messages(announce(results, container, provider), "mapper-topic")
@@ -45,18 +46,19 @@ def file_ready_stream(
     *,
     container: str,
     provider: str = "aws",
-    tasks: int = 200,
+    tasks: int | None = None,
     files_per_batch: int = 100_000,
 ) -> DataStreamWriter:
     """A cycle whenever new files are noticed.
 
     The stream only says when; the cycle compares the whole containers, so it
-    also finds objects that were changed in place or that the stream overlooks.
+    also finds objects that were changed in place or that the stream overlooks. Cycles are kept
+    by the stream's own id and batch: another stream, or a new checkpoint, makes plans of its own.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         file_cycle(
-            batch.sparkSession, src_root, dst_root, out, str(batch_id),
+            batch.sparkSession, src_root, dst_root, f"{out}/query={query_id(batch.sparkSession, checkpoint)}", str(batch_id),
             container=container, provider=provider, tasks=tasks,
         )
 

@@ -1,38 +1,42 @@
-"""Sinks that split a micro-batch. Each batch owns a folder, so a repeated batch replaces itself."""
+"""Sinks that split a micro-batch. Each batch of each query owns a folder, so a repeated batch replaces itself alone."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.screening import dead_letters
 from ..plans.topic_flow import check_route, stamp_route
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id a stream keeps in its checkpoint over restarts; it is there before the first batch runs."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
 def split_stream(
     checked: DataFrame,
     good: Callable[[DataFrame], DataFrame],
     out: str,
     dead: str,
     checkpoint: str,
-    spread: int = 8,
 ) -> DataStreamWriter:
     """Write accepted rows below ``out``, a folder per topic, and rejected ones below ``dead``.
 
-    The batch is cached, as both writes read it. Before the write, rows meet by
-    topic and a part of their offset: a topic gets at most ``spread`` files per
-    batch however many tasks there are, and a hot topic is still shared out.
+    The batch is cached, as both writes read it. Before the write, rows are rebalanced by topic: small
+    topics share tasks, a hot one is split by its size. Several queries may write below one ``out``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        own = f"query={query_id(batch.sparkSession, checkpoint)}/batch={batch_id}"
         batch.persist()
         try:
-            accepted = good(batch).repartition("topic", F.pmod("offset", F.lit(spread)))
-            accepted.write.mode("overwrite").partitionBy("topic").parquet(f"{out}/batch={batch_id}")
-            dead_letters(batch).write.mode("overwrite").parquet(f"{dead}/batch={batch_id}")
+            accepted = good(batch).hint("rebalance", "topic")
+            accepted.write.mode("overwrite").partitionBy("topic").parquet(f"{out}/{own}")
+            dead_letters(batch).write.mode("overwrite").parquet(f"{dead}/{own}")
         finally:
             batch.unpersist()
 
@@ -40,11 +44,11 @@ def split_stream(
 
 
 def route_stream(
-    messages: DataFrame, processed_at: Column, out: str, dead: str, checkpoint: str, spread: int = 8
+    messages: DataFrame, processed_at: Column, out: str, dead: str, checkpoint: str
 ) -> DataStreamWriter:
     """Route each message to the topic its headers name; the rest are dead letters."""
 
     def good(batch: DataFrame) -> DataFrame:
         return stamp_route(batch, processed_at)
 
-    return split_stream(check_route(messages), good, out, dead, checkpoint, spread)
+    return split_stream(check_route(messages), good, out, dead, checkpoint)

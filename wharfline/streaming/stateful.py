@@ -93,7 +93,7 @@ def trigger_processor(triggers: DataFrame) -> DataFrame:
 
 
 def await_status_stream(
-    triggers: DataFrame, statuses: DataFrame, timeout_secs: int = 600, lateness: str = "10 seconds"
+    triggers: DataFrame, statuses: DataFrame, timeout_secs: int = 600, lateness: str = "10 seconds", partition: int = 0
 ) -> DataFrame:
     """Trigger and status candidates within the deadline; unmatched triggers come out late.
 
@@ -104,7 +104,7 @@ def await_status_stream(
         F.col("run_id"), F.col("stage"), F.col("product"),
         F.col("offset").alias("trigger_offset"), F.col("start_offset"), F.col("timestamp").alias("asked_at"),
     ).withWatermark("asked_at", lateness)
-    replies = statuses.select(
+    replies = statuses.where(F.col("partition") == partition).select(
         F.col("run_id").alias("s_run"), F.col("stage").alias("s_stage"), F.col("product").alias("s_product"),
         F.col("offset").alias("status_offset"), F.col("status"), F.col("timestamp").alias("status_at"),
     ).withWatermark("status_at", lateness)
