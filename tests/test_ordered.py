@@ -64,11 +64,26 @@ def test_a_hot_key_is_spread_over_tasks(spark):
     windows = [line for line in plan.splitlines() if "Window" in line]
     over_rows = [w for w in windows if "__value" in w]
     over_edges = [w for w in windows if "__edge" in w]
-    assert len(windows) == 2 and all("__chunk" in w.split("], [")[1] for w in over_rows)
+    assert len(windows) == 2 and all("__group" in w.split("], [")[1] for w in over_rows)
     assert len(over_edges) == 1
     assert out.where("before = v - 1").count() == 9_999
 
 
+def test_full_rows_are_shuffled_once(spark):
+    """The join on the window group finds the rows dealt as the window left them."""
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("offset"), F.lit("wide").alias("payload"))
+    was = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = previous_value(df, ["k"], ["offset"], F.col("offset"), "before", chunk_by_offset("offset", 50))
+        tree = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c, v in was.items():
+            spark.conf.set(c, v)
+    assert tree.count("Exchange hashpartitioning") == 4 and tree.count("SortMergeJoin") == 1
+
+
 def test_step_durations_match_a_timer_table(spark):
     rng = random.Random(5)
     rows = [

@@ -41,11 +41,17 @@ def execution_mode(mode: Column | str) -> Column:
 def run_context(
     triggers: DataFrame, identity: Identity, started_at: Column | None = None, origin: str = "kafka-trigger"
 ) -> DataFrame:
-    """Context columns for each trigger; a missing run id gets a fresh one."""
+    """Context columns for each trigger; a missing run id gets one from the message's place.
+
+    A task that runs again gives the same id. Rows without a place fall back to their dag run and time.
+    """
+    place = [F.col(c).cast("string") for c in ("topic", "partition", "offset", "dag_run_id", "timestamp") if c in triggers.columns]
+    named = F.md5(F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in place]))
+    parts = [F.substring(named, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return triggers.select(
         "*",
         F.struct(
-            F.coalesce(F.col("run_id"), F.uuid()).alias("run_id"),
+            F.coalesce(F.col("run_id"), F.concat_ws("-", *parts)).alias("run_id"),
             execution_mode("execution_mode").alias("mode"),
             F.lit(origin).alias("triggered_by"),
             F.lit(identity.stage).alias("pipeline_stage"),

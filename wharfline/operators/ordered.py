@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _CHUNK = "__chunk"
+_GROUP = "__group"
 _VALUE = "__value"
 _INSIDE = "__inside"
 _EDGE = "__edge"
@@ -33,12 +34,23 @@ def chunk_by_time(ts: Column | str, seconds: int = 3600) -> Column:
     return F.floor(F.unix_micros(c) / (seconds * 1_000_000)).cast("bigint")
 
 
-def _attach(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join of the carried value on key and chunk; null keys match null keys."""
-    names = [*keys, _CHUNK]
-    right = carry.select(*[F.col(k).alias(f"__r{i}") for i, k in enumerate(names)], _CARRY)
-    on = [rows[k].eqNullSafe(right[f"__r{i}"]) for i, k in enumerate(names)]
-    return rows.join(right, on, "left").drop(*[f"__r{i}" for i in range(len(names))])
+def _grouped(df: DataFrame, keys: Sequence[str], value: Column, chunk: Column) -> DataFrame:
+    """Rows with their value, their chunk and the name of their window group.
+
+    The name is a struct of keys and chunk. Structs are never null and equal each other where null keys do,
+    so the window and the join that follows are dealt alike and the full rows are shuffled once.
+    """
+    rows = df.withColumn(_CHUNK, chunk).withColumn(_VALUE, value)
+    return rows.withColumn(_GROUP, F.struct(*keys, _CHUNK))
+
+
+def _parts(keys: Sequence[str]) -> list[Column]:
+    return [F.col(f"{_GROUP}.{k}").alias(k) for k in (*keys, _CHUNK)]
+
+
+def _attach(rows: DataFrame, carry: DataFrame) -> DataFrame:
+    """Left join of the carried value on the window group."""
+    return rows.join(carry.select(_GROUP, _CARRY), _GROUP, "left")
 
 
 def _neighbour(
@@ -51,25 +63,25 @@ def _neighbour(
     *,
     backwards: bool,
 ) -> DataFrame:
-    rows = df.withColumn(_CHUNK, chunk).withColumn(_VALUE, value)
+    rows = _grouped(df, keys, value, chunk)
     by = [F.col(c).desc() if backwards else F.col(c).asc() for c in order]
     inner = (
-        Window.partitionBy(*keys, _CHUNK).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(_GROUP).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     )
     seen = rows.withColumn(_INSIDE, F.last(_VALUE, ignorenulls=True).over(inner))
 
     position = F.when(F.col(_VALUE).isNotNull(), F.struct(*order))
     pick = F.min_by if backwards else F.max_by
-    edges = rows.groupBy(*keys, _CHUNK).agg(pick(F.col(_VALUE), position).alias(_EDGE))
+    edges = rows.groupBy(_GROUP).agg(pick(F.col(_VALUE), position).alias(_EDGE)).select(_GROUP, _EDGE, *_parts(keys))
     step = F.col(_CHUNK).desc() if backwards else F.col(_CHUNK).asc()
     outer = Window.partitionBy(*keys).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
     carry = edges.withColumn(_CARRY, F.last(_EDGE, ignorenulls=True).over(outer)).where(
         F.col(_CARRY).isNotNull()
     )
     return (
-        _attach(seen, carry, keys)
+        _attach(seen, carry)
         .withColumn(name, F.coalesce(_INSIDE, _CARRY))
-        .drop(_CHUNK, _VALUE, _INSIDE, _CARRY)
+        .drop(_GROUP, _CHUNK, _VALUE, _INSIDE, _CARRY)
     )
 
 
@@ -91,18 +103,18 @@ def running_sum(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str, chunk: Column
 ) -> DataFrame:
     """Add the sum of ``value`` up to and including this row. ``order`` must be unique per key."""
-    rows = df.withColumn(_CHUNK, chunk).withColumn(_VALUE, value)
+    rows = _grouped(df, keys, value, chunk)
     inner = (
-        Window.partitionBy(*keys, _CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(_GROUP).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     )
     seen = rows.withColumn(_INSIDE, F.sum(_VALUE).over(inner))
-    edges = rows.groupBy(*keys, _CHUNK).agg(F.sum(_VALUE).alias(_EDGE))
+    edges = rows.groupBy(_GROUP).agg(F.sum(_VALUE).alias(_EDGE)).select(_GROUP, _EDGE, *_parts(keys))
     outer = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = edges.withColumn(_CARRY, F.sum(_EDGE).over(outer)).where(F.col(_CARRY) != 0)
     return (
-        _attach(seen, carry, keys)
+        _attach(seen, carry)
         .withColumn(name, F.col(_INSIDE) + F.coalesce(F.col(_CARRY), F.lit(0)))
-        .drop(_CHUNK, _VALUE, _INSIDE, _CARRY)
+        .drop(_GROUP, _CHUNK, _VALUE, _INSIDE, _CARRY)
     )
 
 

@@ -292,7 +292,7 @@ FROM (SELECT event_id, value, ts, event_type || '_total' AS name,
 _cte(
     "beats",
     """SELECT 'component-' || user_id AS component, date_trunc('day', ts) AS started_at, ts, event_id
-FROM events WHERE event_type = 'view'""",
+FROM events""",
 )
 
 # --- settings ----------------------------------------------------------------

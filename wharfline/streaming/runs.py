@@ -17,9 +17,14 @@ def run_drain(writer: DataStreamWriter, timeout: float | None = None) -> Streami
 
 
 def run_window(writer: DataStreamWriter, secs: float = 600, poll: str = "1 second") -> StreamingQuery:
-    """Run for a time box, then stop after the batch at hand."""
+    """Run for a time box, then stop once the batch at hand is through.
+
+    A batch that begins between the last look and the stop is broken off; its checkpoint makes the next run repeat it.
+    """
     query = writer.trigger(processingTime=poll).start()
     if not query.awaitTermination(secs):
+        while query.isActive and query.status["isTriggerActive"]:
+            time.sleep(0.05)
         query.stop()
     return query
 
