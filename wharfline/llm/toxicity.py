@@ -4,10 +4,11 @@ Two zstandard dictionaries are trained: one on ordinary text, one on what toxic
 not. A text is cut into windows of a few words; each is compressed with the ordinary dictionary alone and with the
 toxic one before it. Windows of ordinary wording come out equally long, toxic wording comes out shorter by the bytes
 its dictionary saves. Window savings make a few figures of a document, and a logistic curve, fitted on other labelled
-rows than the dictionaries, turns them into a score.
+rows than the dictionaries, turns them into a score; it is moved so that its
+threshold lets at most ``ALLOWED`` of the ordinary calibration rows through to the wrong side.
 
 The ordinary dictionary is zstandard's own training. Trained alike on toxic documents it would mostly hold ordinary wording,
-so the toxic one is a cover: runs of ``GRAM`` bytes that toxic documents have far more often than ordinary ones mark the
+so the toxic one is a cover: runs of a few bytes (``GRAMS``) that toxic documents have far more often than ordinary ones mark the
 words, and the most frequent ones that hold all marked runs are its content. All learning is on bounded samples of labelled rows
 that aren't held out (``TRAIN``, ``CALIBRATE``, ``SAMPLE_CHARS``); everything else is over whole texts.
 
@@ -39,13 +40,14 @@ SAMPLE_CHARS = 20_000
 WINDOW = 8
 #: Bytes of the dictionaries, zstandard's level and shortest match.
 ORDINARY_BYTES, TOXIC_BYTES, LEVEL, MATCH = 8192, 2048, 9, 3
-#: A run of so many bytes marks toxic wording if so large a share of toxic documents has it, so many times the ordinary share.
-GRAM, LEAST_SHARE, TIMES = 4, 0.02, 16
+#: Runs of so many bytes mark toxic wording if so large a share and number of toxic documents have them, so many times the ordinary share.
+GRAMS, LEAST_SHARE, LEAST_TEXTS, TIMES = (4, 5, 6, 8), 0.02, 6, 10
 #: Savings in bytes whose windows are counted.
 STEPS = (2, 4, 6)
 FIGURES = 3 + len(STEPS)
-#: Scores from here on are predicted toxic.
+#: Scores from here on are predicted toxic; the curve is moved so that no larger share of ordinary calibration rows gets there.
 THRESHOLD = 0.7
+ALLOWED = 0.005
 
 SCORE_SCHEMA = "doc_id long, figures array<double>"
 
@@ -64,28 +66,45 @@ def _joined_words(texts: list[str]) -> list[list[bytes]]:
     return [cut[a:b] for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist())]
 
 
-def _grams(words: list[bytes]) -> np.ndarray:
-    """The run of GRAM bytes that begins at each place of a text, as a number."""
+def _grams(words: list[bytes], size: int) -> np.ndarray:
+    """The run of that many bytes that begins at each place of a text, as a number."""
     data = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.uint64)
-    n = max(len(data) - GRAM + 1, 0)
+    n = max(len(data) - size + 1, 0)
     out = np.zeros(n, np.uint64)
-    for k in range(GRAM):
+    for k in range(size):
         out = (out << np.uint64(8)) | data[k : k + n]
-    return out
+    return out if size > 4 else out.astype(np.uint32)
 
 
-def _marked_words(words: list[bytes], marks: np.ndarray) -> dict[bytes, set[int]]:
-    """The words of a text that hold marked runs, with these runs."""
-    grams = _grams(words)
-    if not len(marks) or not len(grams):
-        return {}
-    at = np.minimum(np.searchsorted(marks, grams), len(marks) - 1)
-    places = np.flatnonzero(marks[at] == grams)
+def _shares(texts: list[list[bytes]], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every run of some texts, and the share of the texts that has it."""
+    grams = [np.unique(_grams(w, size)) for w in texts]
+    found, n = np.unique(np.concatenate(grams), return_counts=True)
+    return found, n / len(texts)
+
+
+def _marks(bad: list[list[bytes]], good: list[list[bytes]], size: int) -> np.ndarray:
+    """The runs that mark toxic wording, sorted."""
+    grams, share = _shares(bad, size)
+    other, ordinary = _shares(good, size)
+    at = np.minimum(np.searchsorted(other, grams), len(other) - 1)
+    there = np.where(other[at] == grams, ordinary[at], 0.0)
+    return grams[(share >= LEAST_SHARE) & (share * len(bad) >= LEAST_TEXTS) & (share >= TIMES * (there + 0.5 / len(good)))]
+
+
+def _marked_words(words: list[bytes], marks: dict[int, np.ndarray]) -> dict[int, set[tuple[int, int]]]:
+    """The places of words that hold marked runs, with these runs."""
+    found: dict[int, set[tuple[int, int]]] = {}
     ends = np.cumsum([len(w) + 1 for w in words])  # a word with the blank before it ends here
-    found: dict[bytes, set[int]] = {}
-    for place, word in zip(places.tolist(), np.searchsorted(ends, places, side="right").tolist()):
-        if word < len(words) and place + GRAM <= ends[word] + 1:  # inside the word and the blanks around it
-            found.setdefault(words[word], set()).add(int(grams[place]))
+    for size, known in marks.items():
+        grams = _grams(words, size)
+        if not len(known) or not len(grams):
+            continue
+        at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+        places = np.flatnonzero(known[at] == grams)
+        for place, word in zip(places.tolist(), np.searchsorted(ends, places, side="right").tolist()):
+            if word < len(words) and place + size <= ends[word] + 1:  # inside the word and the blanks around it
+                found.setdefault(word, set()).add((size, int(grams[place])))
     return found
 
 
@@ -97,20 +116,27 @@ def _ordinary_dictionary(samples: list[bytes]) -> bytes:
         return b" ".join(samples)[:ORDINARY_BYTES].ljust(8)
 
 
-def _cover(found: list[dict[bytes, set[int]]]) -> bytes:
-    """Words in the order of how many documents have them, each if it adds a run no word before it had.
+def _cover(texts: list[list[bytes]], marks: dict[int, np.ndarray]) -> bytes:
+    """Words in the order of how many others they follow, each if it adds a run no word before it had.
 
+    A run counts if it follows enough different words: one that always follows the same comes from copies of a text.
     Matches are cheapest near the end, so the most frequent words stand there.
     """
-    count: dict[bytes, int] = {}
-    runs: dict[bytes, set[int]] = {}
-    for words in found:
-        for word, own in words.items():
-            count[word] = count.get(word, 0) + 1
+    follows: dict[bytes, set[bytes]] = {}
+    runs: dict[bytes, set[tuple[int, int]]] = {}
+    contexts: dict[tuple[int, int], set[bytes]] = {}
+    for words in texts:
+        for place, own in _marked_words(words, marks).items():
+            word, before = words[place], words[place - 1] if place else b""
+            follows.setdefault(word, set()).add(before)
             runs.setdefault(word, set()).update(own)
+            for run in own:
+                contexts.setdefault(run, set()).add(before)
+    least = max(LEAST_TEXTS, LEAST_SHARE * len(texts))
+    good = {run for run, before in contexts.items() if len(before) >= least}
     held, covered = b"", set()
-    for word in sorted(count, key=lambda w: (-count[w], w)):
-        if runs[word] - covered:
+    for word in sorted(follows, key=lambda w: (-len(follows[w]), w)):
+        if runs[word] & good - covered:
             if len(held) + len(word) + 2 > TOXIC_BYTES:
                 break
             held = b" " + word + b" " + held
@@ -121,20 +147,10 @@ def _cover(found: list[dict[bytes, set[int]]]) -> bytes:
 def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     """The ordinary and the toxic dictionary."""
     bad, good = _joined_words(toxic), _joined_words(ordinary)
-    counts = []
-    for texts in (bad, good):
-        grams = [np.unique(_grams(w)) for w in texts]
-        counts.append(np.unique(np.concatenate(grams or [np.zeros(0, np.uint64)]), return_counts=True))
-    (grams, n), (other, m) = counts
-    there = np.zeros(len(grams))
-    if len(other):
-        at = np.minimum(np.searchsorted(other, grams), len(other) - 1)
-        there = np.where(other[at] == grams, m[at], 0)
-    share = n / max(len(bad), 1)
-    marks = grams[(n >= 3) & (share >= LEAST_SHARE) & (share >= TIMES * (there + 0.5) / max(len(good), 1))]
     spans = [b" ".join(w[i : i + 8]) for w in good for i in range(0, len(w), 8)]
     ordinary_dictionary = _ordinary_dictionary(spans[:: max(1, len(spans) // 20_000)])
-    return ordinary_dictionary, _cover([_marked_words(w, marks) for w in bad])
+    marks = {size: _marks(bad, good, size) for size in GRAMS}
+    return ordinary_dictionary, _cover(bad, marks)
 
 
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
@@ -191,6 +207,16 @@ def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[float]:
     return w.tolist()
 
 
+def _moved(weights: list[float], x: np.ndarray, y: np.ndarray) -> list[float]:
+    """The curve with its intercept moved: the threshold lies midway between the last ordinary row allowed and the next toxic row."""
+    line = weights[0] + x @ np.array(weights[1:])
+    ordinary = np.sort(line[y == 0])[::-1]
+    bound = ordinary[min(int(ALLOWED * len(ordinary)), len(ordinary) - 1)]
+    above = line[(y == 1) & (line > bound)]
+    cut = (bound + above.min()) / 2 if len(above) else bound + 1.0
+    return [weights[0] - float(cut) + float(np.log(THRESHOLD / (1 - THRESHOLD))), *weights[1:]]
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Dictionaries and curve from bounded samples of labelled rows that aren't held out; None without toxic ones."""
     most = {k: TRAIN[k] + CALIBRATE[k] for k in TRAIN}
@@ -212,7 +238,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     known = labels.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     share = float(known.agg(F.avg(F.col("toxic").cast("double"))).first()[0])
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
-    return Model(ordinary, toxic, _curve(x, y, weight))
+    return Model(ordinary, toxic, _moved(_curve(x, y, weight), x, y))
 
 
 def _score(model: Model):
