@@ -31,7 +31,11 @@ LENGTH = 2048
 CLOSING = 1
 DIMENSIONS, BITS = 4, 8
 #: Words whose ids a worker keeps; beyond it starts anew.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 250_000
+#: Fixed value: a special token that no word holds once it is split off; it parts words that are learnt together.
+BETWEEN = "<|endoftext|>"
+#: Words that are learnt in one call.
+TOGETHER = 1000
 
 
 def tokenizer_path() -> str:
@@ -91,8 +95,10 @@ class WordIds:
     """The ids of words, found once by the tokenizer."""
 
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.plain = Tokenizer.from_file(path)
+        self.plain.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.parting = Tokenizer.from_file(path)
+        self.between = self.parting.token_to_id(BETWEEN)
         self.clear()
 
     def clear(self) -> None:
@@ -101,13 +107,21 @@ class WordIds:
         self.ids = np.zeros(0, np.int32)
 
     def _learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        ids = [x.ids for x in found]
-        length = np.array([len(x) for x in ids], np.int64)
-        for word in words:
+        """Ids of new words. Many words make one call, as the cost of a call is far above that of a word."""
+        odd = [w for w in words if b"<|" in w]
+        words = [w for w in words if b"<|" not in w]
+        texts = [BETWEEN.join(w.decode() for w in words[i : i + TOGETHER]) + BETWEEN for i in range(0, len(words), TOGETHER)]
+        found = self.parting.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.array([i for x in found for i in x.ids], np.int32)
+        parts = ids == self.between
+        ends = np.flatnonzero(parts)
+        length = np.diff(np.concatenate(([-1], ends))) - 1
+        single = [self.plain.encode(w.decode(), add_special_tokens=False).ids for w in odd]
+        length = np.concatenate([length, np.array([len(x) for x in single], np.int64)])
+        for word in (*words, *odd):
             self.index[word] = len(self.index)
         self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(length)])
-        self.ids = np.concatenate([self.ids, np.array([i for x in ids for i in x], np.int32)])
+        self.ids = np.concatenate([self.ids, ids[~parts], np.array([i for x in single for i in x], np.int32)])
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -116,8 +130,8 @@ class WordIds:
         words = [t.split() for t in texts]  # bytes split at the six blanks only
         flat = [w for own in words for w in own]
         new = list(dict.fromkeys(w for w in flat if w not in self.index))
-        if new:
-            self._learn(new)
+        for begin in range(0, len(new), 20 * TOGETHER):  # what the tokenizer returns for a word is far larger than its ids
+            self._learn(new[begin : begin + 20 * TOGETHER])
         at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
         length = self.begin[at + 1] - self.begin[at]
         total = np.concatenate(([0], np.cumsum(length)))
