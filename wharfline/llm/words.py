@@ -20,7 +20,7 @@ LOWER = SAME.copy()
 LOWER[0x41:0x5B] += 0x20
 
 #: Bytes of text that are held as numpy arrays at once; a longer text makes a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
