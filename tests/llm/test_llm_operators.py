@@ -221,6 +221,28 @@ def test_cutoffs_hold_their_promise(spark):
     assert kept[True] >= 1 - quality_rules.LIMIT and kept[False] == 0
 
 
+def test_small_strata_prove_their_rules(spark):
+    rng = random.Random(8)
+    made = []
+    for lang, n in (("en", 1000), ("de", 300), ("fr", 250), ("es", 200)):
+        made += [(prose(rng, 30, 10**6), lang, 1) for _ in range(n)]
+        for junk in (" ####" * 20, " w!!!?" * 20, " ABCDEFGHIJ" * 4, " a b c d e f g h i j k l m n o p q r s t u v w x y z" * 1, " " + "z" * 900):
+            made += [(prose(rng, 12, 10**6) + junk, lang, 0) for _ in range(4)]
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang, _) in enumerate(made)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, q) for i, (_, _, q) in enumerate(made)], "doc_id long, quality int")
+    found = {r.doc_id: r for r in quality_rules.quality_rules(docs, labels).collect()}
+    good = [found[i].kept for i, m in enumerate(made) if m[2]]
+    assert sum(good) >= (1 - quality_rules.LIMIT) * len(good)
+    assert not [made[i] for i, m in enumerate(made) if not m[2] and found[i].kept]
+
+
+def test_too_few_labels_prove_nothing(spark):
+    rng = random.Random(8)
+    docs = spark.createDataFrame([(i, prose(rng, 30, 10**6) + " ####" * (i % 50), "en") for i in range(200)], "doc_id long, text string, lang string")
+    found = quality_rules.quality_rules(docs, docs.select("doc_id", F.lit(1).alias("quality")))
+    assert found.filter("kept = base_failed").count() == 0
+
+
 def test_quality_without_labels_keeps_what_passes_the_base_rule(docs, labels):
     found = quality_rules.quality_rules(docs, labels.limit(0))
     assert found.filter("kept = base_failed").count() == 0

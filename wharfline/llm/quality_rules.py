@@ -1,12 +1,16 @@
 """Quality rules whose cutoffs carry a guarantee against false rejection.
 
-Each rule rejects a document whose measure lies above a cutoff. Cutoffs are chosen for each stratum
-(language) from labelled documents: a cutoff is allowed if, by the exact binomial tail, the share of good
-documents it rejects stays below ``limit`` divided by the number of rules. A rule's cutoffs are tested from the loosest to the tightest and
-the tests end at the first one that fails, so within a rule no correction is due; over rules and strata the
-level is divided by their number (Bonferroni). With probability 1 - ``level`` in no stratum all
-rules together reject more than ``limit`` of the good documents. Where too few good documents are labelled to prove it,
-the rule rejects nothing there.
+Each rule rejects a document whose measure lies above a cutoff. A stratum (language) has one tightness: its rules'
+cutoffs lie that many spreads above the middle of its good labelled documents, so the rules are tightened together and what
+is tested is the joint rule, "any of them rejects". A tightness is allowed if, by the exact binomial tail, the share of good
+documents it rejects is proved to lie below ``limit``. Middles and spreads come from a quarter of the good documents (by a
+hash of the id), the test from the others. Tightnesses are tested from the loosest on and the tests end at the
+first one that fails, so within a stratum no correction is due; over strata the level is divided by their number (Bonferroni).
+
+A stratum with too few good documents to prove the limit by itself, even if none is rejected, is tested together with all
+others of that kind: each keeps its own middles and spreads, they share the tightness, and the promise holds for them taken
+together. With probability 1 - ``level`` in no tested group more than ``limit`` of the good documents are rejected. If not even
+the group can prove it (at 1% and 5%: below 299 good documents for the test, about 400 labelled), its rules reject nothing.
 
 All of it is DataFrame expressions. The costly arrays of a document are built once, in a generator row.
 
@@ -32,11 +36,16 @@ MEASURES = {
     "symbol_share": "n_symbols / greatest(word_chars, 1)",
     "dup_line_share": "n_dup_lines / greatest(n_lines, 1)",
     "repeat_share": "n_repeat_words / greatest(n_words, 1)",
+    "upper_share": "n_upper / greatest(word_chars, 1)",
     "same_word_share": "1 - n_distinct / greatest(n_words, 1)",
     "mark_share": "n_marks / greatest(word_chars, 1)",
+    "mean_word": "word_chars / greatest(n_words, 1)",
+    "short_word": "- word_chars / greatest(n_words, 1)",
 }
-#: Cutoffs tried for each rule and stratum: these quantiles of its own good documents' measures, loosest first.
-TRIED = (1.0, 0.9999, 0.9998, 0.9996, 0.9994, 0.9992, 0.999, 0.9985, 0.998)
+#: Least spreads: 0.01 for shares, a quarter of a character for word lengths. A measure may be 0 in all good documents.
+SPREADS = {name: 0.25 if name.endswith("_word") else 0.01 for name in MEASURES}
+#: Tightnesses tried, in spreads (the 99% quantile above the median), loosest first.
+TRIED = (8.0, 7.0, 6.0, 5.0, 4.5, 4.0, 3.5, 3.0, 2.75, 2.5, 2.25, 2.0, 1.75, 1.5, 1.25, 1.0)
 
 
 def _lost(text: Column, chars: str) -> Column:
@@ -64,6 +73,7 @@ def base_columns(docs: DataFrame, *keep: str) -> DataFrame:
         rows.drop("_words"),
         word_chars=F.length(F.translate(text, BLANKS, "")).cast("long"),
         n_symbols=_lost(text, SYMBOLS),
+        n_upper=_lost(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
         n_marks=_lost(text, "!?"),
         n_lines=F.size("_lines").cast("long"),
         n_dup_lines=(F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
@@ -114,46 +124,49 @@ def _grown(a: Column, i: Column, k: Column, n: Column, step: Column) -> Column:
     return F.struct(term.alias("term"), total.alias("sum"))
 
 
+def _above(name: str) -> Column:
+    """A measure's distance above its stratum's middle, in spreads."""
+    return (F.col(name).cast("double") - F.col(f"_middle_{name}")) / F.col(f"_spread_{name}")
+
+
 def cutoffs(labelled: DataFrame, limit: float = LIMIT, level: float = LEVEL) -> DataFrame:
-    """The tightest allowed cutoff of each stratum and measure. labelled: stratum, good, and the measures.
+    """The tightest allowed joint rule of each stratum: its tightness, and the middle and spread of each measure.
 
-    Candidates are quantiles of one half of the good documents (by a hash of the id), the counts that are
-    tested come from the other half, so a candidate doesn't depend on what tests it.
+    labelled: doc_id, stratum, good, and the measures. Middles and spreads come from other documents than those that test.
     """
-    good = labelled.filter("good")
-    long = good.select(
+    from math import log
+
+    tests = F.xxhash64("doc_id") % 4 != 0
+    good = labelled.filter("good").select("stratum", tests.alias("_tests"), *MEASURES)
+    seen = [F.percentile_approx(F.col(name).cast("double"), [0.5, 0.99], 10_000).alias(f"_{name}") for name in MEASURES]
+    scale = good.filter(~F.col("_tests")).groupBy("stratum").agg(*seen)
+    scale = scale.select(
         "stratum",
-        (F.xxhash64("doc_id") % 2 == 0).alias("tests"),
-        F.stack(
-            F.lit(len(MEASURES)), *[x for name in MEASURES for x in (F.lit(name), F.col(name).cast("double"))]
-        ).alias("measure", "value"),
+        *[F.col(f"_{name}")[0].alias(f"_middle_{name}") for name in MEASURES],
+        *[F.greatest(F.col(f"_{name}")[1] - F.col(f"_{name}")[0], F.lit(SPREADS[name])).alias(f"_spread_{name}") for name in MEASURES],
     )
-    tries = (
-        long.filter(~F.col("tests"))
-        .groupBy("stratum", "measure")
-        .agg(F.percentile_approx("value", list(TRIED), 10_000).alias("tried"))
-        .select("stratum", "measure", F.posexplode("tried").alias("turn", "cutoff"))
-    )
-    # equal tries once; per stratum and measure they are a handful of numbers
-    packed = tries.groupBy("stratum", "measure").agg(F.array_sort(F.collect_set("cutoff")).alias("tried"))
+    worst = F.greatest(*[_above(name) for name in MEASURES])
     counted = (
-        long.filter("tests")
-        .join(packed, ["stratum", "measure"])
-        .select("stratum", "measure", F.explode("tried").alias("cutoff"), "value")
-        .groupBy("stratum", "measure", "cutoff")
-        .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("value") > F.col("cutoff")).alias("k"))
-    )
-    strata = counted.select("stratum").distinct().agg(F.count(F.lit(1)).alias("strata"))
-    tested = counted.join(strata, F.lit(True))
-    allowed = log_tail(F.col("k"), F.col("n"), limit / len(MEASURES)) <= F.log(F.lit(level) / (F.col("strata") * len(MEASURES)))
-    tested = tested.withColumn("allowed", allowed)
-    # tests run from the loosest cutoff; everything past the first failure is out
-    failed = F.max(F.when(~F.col("allowed"), F.col("cutoff")))
-    per_rule = tested.groupBy("stratum", "measure").agg(
-        failed.alias("failed"), F.collect_list(F.when(F.col("allowed"), F.col("cutoff"))).alias("passed")
+        good.filter("_tests")
+        .join(scale, "stratum")
+        .groupBy("stratum")
+        .agg(F.count(F.lit(1)).alias("n"), *[F.count_if(worst > t).alias(f"_k{i}") for i, t in enumerate(TRIED)])
     )
-    best = F.array_min(F.filter("passed", lambda c: F.col("failed").isNull() | (c > F.col("failed"))))
-    return per_rule.select("stratum", "measure", best.alias("cutoff")).filter("cutoff IS NOT NULL")
+    # so many, none rejected, prove the limit at the level divided by the strata
+    strata = counted.agg(F.count(F.lit(1)).alias("_strata"))
+    alone = F.col("n") >= F.ceil((F.log(F.col("_strata").cast("double")) - F.lit(log(level))) / F.lit(-log(1 - limit)))
+    # a stratum by itself, or one of the small ones
+    counted = counted.join(strata, F.lit(True)).withColumn("_group", F.when(alone, F.concat(F.lit("="), "stratum")).otherwise(""))
+    turns = F.array(*[F.struct(F.lit(i).alias("turn"), F.lit(t).alias("tightness"), F.col(f"_k{i}").alias("k")) for i, t in enumerate(TRIED)])
+    summed = counted.select("_group", "n", F.explode(turns).alias("_t")).groupBy("_group", "_t.turn", "_t.tightness")
+    summed = summed.agg(F.sum("n").alias("n"), F.sum("_t.k").alias("k"))
+    groups = counted.agg(F.count_distinct("_group").alias("_groups"))
+    allowed = log_tail(F.col("k"), F.col("n"), limit) <= F.log(F.lit(level) / F.col("_groups"))
+    tested = summed.join(groups, F.lit(True)).withColumn("_allowed", allowed)
+    # tests run from the loosest on; everything from the first failure on is out
+    failed = F.coalesce(F.min(F.when(~F.col("_allowed"), F.col("turn"))), F.lit(len(TRIED)))
+    best = tested.groupBy("_group").agg(F.get(F.array(*map(F.lit, TRIED)), failed - 1).alias("tightness")).filter("tightness IS NOT NULL")
+    return scale.join(counted.select("stratum", "_group").join(best, "_group").drop("_group"), "stratum")
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, level: float = LEVEL) -> DataFrame:
@@ -164,12 +177,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, leve
     measured = counts.withColumns({name: F.expr(rule) for name, rule in MEASURES.items()})
     good = labels.select(F.col("doc_id"), (F.col("quality") == 1).alias("good"))
     chosen = cutoffs(measured.filter(~base_failed()).join(good, "doc_id"), limit, level)
-    # one row per stratum, with its cutoffs in a map
-    chosen = chosen.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("measure", "cutoff"))).alias("cutoffs"))
     judged = measured.join(chosen, "stratum", "left")
-    broken = F.array_compact(
-        F.array(*[F.when(F.col(name) > F.col("cutoffs")[name], F.lit(name)) for name in MEASURES])
-    )
+    broken = F.array_compact(F.array(*[F.when(_above(name) > F.col("tightness"), F.lit(name)) for name in MEASURES]))
     judged = judged.withColumn("base_failed", base_failed()).withColumn("broken", broken)
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
