@@ -133,6 +133,20 @@ def test_ngram_join_keeps_one_of_each_component(docs, rows):
     assert kept.count() - len(got) == sum(not shingles(r[1]) for r in rows)
 
 
+def plain_links(rows):
+    sets = [shingles(r[1]) for r in rows]
+    near = lambda a, b: a and b and a != b and 100 * len(a & b) >= 75 * len(a | b)
+    return Counter((r[0], sum(bool(near(a, b)) for b in sets), sum(a == b for b in sets) - 1 if a else 0) for r, a in zip(rows, sets))
+
+
+@pytest.mark.parametrize("block", [None, 1500])
+def test_ngram_join_counts_every_link(docs, rows, monkeypatch, block):
+    if block:  # groups over several blocks
+        monkeypatch.setattr(ngram_join, "BLOCK", block)
+    got = Counter((r.doc_id, r.n_links, r.n_equal) for r in ngram_join.ngram_join(docs).collect())
+    assert got == plain_links(rows) and sum(r[1] > 5 for r in got) > 5
+
+
 def test_chain_of_links_is_one_component(spark):
     words = [f"c{i}" for i in range(140)]
     chain = [(i, " ".join(words[4 * i : 4 * i + 60])) for i in range(20)]

@@ -15,6 +15,9 @@ counted fragment by fragment and added up per pair. The steps:
     (the first n - ceil(0.75 n) + 1). All pairs that do, that are of fitting length, have enough shingles left
     from there on and aren't yet in one component are compared. A shingle whose sets are all in one component yields no pair at all.
 6.  Comparing a pair is: join the segments of both sides by fragment, count the partial overlaps, add them up.
+7.  Every link lies inside a component. To find them all, a component's sets are dealt into blocks of bounded weight by size
+    class and a hash of the set; each two blocks of the same or neighbouring size classes are one small task that compares
+    all their pairs. A set is sent once for each partner block, not once for each pair.
 
 Defined results: null, empty and blank texts have an empty set and link with nothing; a text of fewer than
 ``width`` words is one shingle that equals only the same short text; repeated rows are equal sets and link;
@@ -43,6 +46,11 @@ LEAST = 75
 SEGMENTS = 8
 #: Random orders for the links to a centre.
 CENTRES = 4
+#: Shingles of a block of sets; a set weighs at least LIGHT, so a block is a few hundred sets at most.
+BLOCK = 1 << 17
+LIGHT = 512
+#: Columns of the overlap matrices that are held at a time.
+WIDE = 4096
 
 SETS_SCHEMA = "doc_id long, n_shingles long, key binary"
 CANDIDATE_SCHEMA = "key binary, n long, alone long, off_centre double, centres array<long>, prefix array<long>, segments array<struct<part:int,hashes:array<long>>>"
@@ -217,18 +225,101 @@ def similar_sets(sets: DataFrame, least: int = LEAST) -> DataFrame:
     return labels.join(over, "label").select("node", F.col("top").alias("label"))
 
 
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The number of common shingles of every two sets."""
+    place = np.unique(np.concatenate([*left, *right]), return_inverse=True)[1]
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], owner[order]
+    total = np.zeros((len(left), len(right)), np.int64)
+    for begin in range(0, int(place[-1]) + 1 if len(place) else 0, WIDE):
+        i, j = np.searchsorted(place, (begin, begin + WIDE))
+        found = np.zeros((len(left) + len(right), WIDE), np.float32)
+        found[owner[i:j], place[i:j] - begin] = 1
+        total += (found[: len(left)] @ found[len(left) :].T).astype(np.int64)
+    return total
+
+
+def _linked(least: int):
+    """The pairs that are similar enough, of two blocks or within one."""
+
+    def run(block: pa.Table) -> pa.Table:
+        side = block.column("side").to_numpy()
+        n, keys = block.column("n").to_numpy(), block.column("key").to_pylist()
+        flat = [np.asarray(x, np.int64) for x in block.column("hashes").to_pylist()]
+        within = bool(block.column("within")[0].as_py())
+        a = np.flatnonzero(side == 0)
+        b = a if within else np.flatnonzero(side == 1)
+        both = _overlaps([flat[k] for k in a], [flat[k] for k in b]) if len(a) and len(b) else np.zeros((len(a), len(b)), np.int64)
+        hit = 100 * both >= least * (n[a][:, None] + n[b][None, :] - both)
+        i, j = np.nonzero(np.triu(hit, 1) if within else hit)
+        ends = [sorted((keys[x], keys[y])) for x, y in zip(a[i], b[j])]
+        return pa.table(
+            [pa.array([e[0] for e in ends], pa.binary()), pa.array([e[1] for e in ends], pa.binary()), pa.array(both[i, j], pa.int64())],
+            ["a", "b", "overlap"],
+        )
+
+    return run
+
+
+def similar_pairs(sets: DataFrame, labels: DataFrame, least: int = LEAST) -> DataFrame:
+    """a, b, overlap: every pair of different sets that is similar enough, once. labels: node, label, as of similar_sets."""
+    from math import log
+
+    own = sets.select("key", "n", F.flatten("segments.hashes").alias("hashes")).join(labels.withColumnRenamed("node", "key"), "key")
+    # classes are a little wider than the similarity allows, so sets that can link lie in the same or in neighbouring ones
+    own = own.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.lit(log(100 / least * 1.05))))
+    sized = own.groupBy("label", "class").agg(F.count(F.lit(1)).alias("members"), F.sum(F.greatest(F.col("n"), F.lit(LIGHT))).alias("weight"))
+    sized = sized.select("label", "class", "members", F.ceil(F.col("weight") / BLOCK).alias("blocks"))
+    sized = written(sized, "ngram-blocks")
+    near = [sized.select("label", (F.col("class") - step).alias("class"), F.col("blocks").alias(name)) for step, name in ((1, "above"), (-1, "below"))]
+    sized = sized.join(near[0], ["label", "class"], "left").join(near[1], ["label", "class"], "left")
+    # a set alone in its component meets nothing
+    sized = sized.filter((F.col("members") > 1) | F.col("above").isNotNull() | F.col("below").isNotNull())
+    own = own.join(sized, ["label", "class"]).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
+    block, turns = F.col("block"), lambda of: F.sequence(F.lit(0).cast("long"), F.col(of) - 1)
+
+    def meeting(up: Column, first: Column, second: Column, side: Column) -> Column:
+        return F.struct(up.alias("up"), first.alias("first"), second.alias("second"), side.cast("int").alias("side"))
+
+    none = F.array().cast("array<struct<up:boolean,first:bigint,second:bigint,side:int>>")
+    same = F.transform(turns("blocks"), lambda v: meeting(F.lit(False), F.least(block, v), F.greatest(block, v), block > v))
+    higher = F.transform(turns("above"), lambda v: meeting(F.lit(True), block, v, F.lit(0)))
+    lower = F.transform(turns("below"), lambda v: meeting(F.lit(True), v, block, F.lit(1)))
+    met = own.select("label", "class", "key", "n", "hashes", F.explode(F.concat(same, F.coalesce(higher, none), F.coalesce(lower, none))).alias("m"))
+    low = F.col("class") - F.when(F.col("m.up") & (F.col("m.side") == 1), 1).otherwise(0)
+    met = met.select("label", low.alias("low"), "m.up", "m.first", "m.second", "m.side", (~F.col("m.up") & (F.col("m.first") == F.col("m.second"))).alias("within"), "key", "n", "hashes")
+    return met.groupBy("label", "low", "up", "first", "second").applyInArrow(_linked(least), "a binary, b binary, overlap long")
+
+
+def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, id, copies, label of every set of the documents; sets outside the candidates are components of their own."""
+    sets = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    return sets.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
+
+
 def ngram_join(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest id reachable by links) of every document."""
+    """doc_id, n_shingles, component_id (the smallest id reachable by links), n_links and n_equal of every document.
+
+    n_links counts the other documents of similar but different sets, n_equal those of the same set.
+    """
     rows = written(document_sets(docs, width), "ngram-documents")
-    labels = similar_sets(candidate_sets(docs, width, least), least)
-    # sets outside the candidates are components of their own
-    sets = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("id"))
-    named = sets.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
+    sets = candidate_sets(docs, width, least)
+    labels = written(similar_sets(sets, least), "ngram-components")
+    named = _named(rows, labels)
     smallest = named.groupBy("label").agg(F.min("id").alias("component_id"))
-    named = named.join(smallest, "label").select("key", "component_id")
+    pairs = written(similar_pairs(sets, labels, least), "ngram-pairs")
+    ends = pairs.select(F.col("a").alias("key"), F.col("b").alias("other")).union(pairs.select("b", "a"))
+    copies = named.select(F.col("key").alias("other"), "copies")
+    linked = ends.join(copies, "other").groupBy("key").agg(F.sum("copies").alias("n_links"))
+    named = named.join(smallest, "label").join(linked, "key", "left").select("key", "component_id", "n_links", "copies")
     out = rows.join(named, "key", "left")
     own = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"))
+    zero = F.lit(0).cast("long")
+    return out.select(
+        "doc_id", "n_shingles", own.alias("component_id"),
+        F.coalesce("n_links", zero).alias("n_links"), F.coalesce(F.col("copies") - 1, zero).alias("n_equal"),
+    )
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
