@@ -133,6 +133,16 @@ def test_ngram_join_keeps_one_of_each_component(docs, rows):
     assert kept.count() - len(got) == sum(not shingles(r[1]) for r in rows)
 
 
+def test_unlinked_rows_of_null_or_equal_ids_all_stay(spark):
+    rng = random.Random(9)
+    texts = [prose(rng, 60, 10**6) for _ in range(8)]
+    made = [(None, t) for t in texts[:4]] + [(7, t) for t in texts[4:]]
+    made += [(None, texts[0]), (7, texts[5]), (8, texts[1] + " tail"), (None, texts[6] + " tail"), (None, None), (7, "")]
+    kept = ngram_join.deduplicated(spark.createDataFrame(made, "doc_id long, text string").repartition(3))
+    want = [(None, texts[0]), (8, texts[1] + " tail"), *[(None, t) for t in texts[2:4]], *[(7, t) for t in texts[4:]], (None, None), (7, "")]
+    assert Counter(map(tuple, kept.collect())) == Counter(want)
+
+
 def plain_links(rows):
     sets = [shingles(r[1]) for r in rows]
     near = lambda a, b: a and b and a != b and 100 * len(a & b) >= 75 * len(a | b)

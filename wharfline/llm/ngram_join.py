@@ -31,8 +31,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .components import components
 from .sharing import KEY, answers, edges_of, shared
@@ -322,16 +323,34 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataF
     )
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def _with_keys(docs: DataFrame, width: int) -> DataFrame:
+    """row, key: whole rows with the name of their set (null for an empty set)."""
+    row = T.StructType([T.StructField("row", docs.schema), T.StructField("key", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = list(shingle_sets(batch.column("text"), width))
+            keys = [k.tobytes() if len(s) else None for k, s in zip(_keyed(sets), sets)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(keys, pa.binary())], ["row", "key"])
+
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), column(docs, "text", "string").alias("text"))
+    return own.mapInArrow(run, row)
+
+
+def deduplicated(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFrame:
     """One document of each component stays, the one with the smallest id; repeated rows of it are one.
 
-    Documents without words link with nothing and all stay.
+    Null ids come last, equal ids are decided by the name of the set, then by the shorter text. What stays is
+    chosen by component, so documents that aren't linked all stay, also with null or equal ids. Documents without words link
+    with nothing and all stay.
     """
-    found = ngram_join(docs).filter("n_shingles > 0").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stays = found.select(F.col("doc_id").alias("_stays")).distinct()
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    worded = F.coalesce(has_word(F.col("row.text")), F.lit(False))
-    kept = own.filter(worded).join(stays, F.col("row.doc_id").eqNullSafe(F.col("_stays")))
-    again = Window.partitionBy("_stays").orderBy(F.length("row.text"), F.col("row.text"))
-    kept = kept.withColumn("turn", F.row_number().over(again)).filter("turn = 1")
-    return kept.select("row.*").unionByName(own.filter(~worded).select("row.*"))
+    rows = written(document_sets(docs, width), "ngram-documents")
+    named = _named(rows, similar_sets(candidate_sets(docs, width, least), least))
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("key"))).alias("first")
+    stays = named.groupBy("label").agg(first).select(F.col("first.key").alias("key"), F.col("first.id").alias("_id"))
+    own = _with_keys(docs, width)
+    kept = own.join(stays, "key").filter(F.col("row.doc_id").cast("long").eqNullSafe(F.col("_id")))
+    # a key names one component: what is left of it are repeated rows and other spellings under the same id
+    kept = kept.groupBy("key").agg(F.min_by("row", F.struct(F.length("row.text"), F.col("row.text"))).alias("row"))
+    empty = docs.filter(~F.coalesce(has_word(column(docs, "text", "string")), F.lit(False)))
+    return kept.select("row.*").unionByName(empty)
