@@ -86,11 +86,12 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
         row = end
 
 
-def words_of(texts: pa.Array, lower: bool) -> Words:
+def words_of(texts: pa.Array, lower: bool, blank: np.ndarray = SPACE) -> Words:
+    """blank: for every byte whether it parts words."""
     data, at = text_bytes(texts)
     data = (LOWER if lower else SAME)[data[at[0] : at[-1]]]
     at = at - at[0]
-    solid = ~SPACE[data]
+    solid = ~blank[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[at] = True
     begins, ends = solid.copy(), solid.copy()
