@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import exact_dedup, html_text, license_scan, mixing, ngram_join, packing, periodic_runs, quality_model, quality_rules, substring_dedup, toxicity
+from . import collocations, exact_dedup, html_text, license_scan, mixing, ngram_join, packing, periodic_runs, quality_model, quality_rules, substring_dedup, toxicity
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +84,8 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents"))
     return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
+
+
+@query()
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
