@@ -354,3 +354,43 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, co
     some = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).filter(F.col("rank") <= top)
     first = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= top)
     return first.join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+#: The same phrases for a database that holds all documents at once.
+SQL = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), lists AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS w FROM pieces
+), places AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists
+), counted AS (
+  SELECT lang, m, phrase, count(*) AS f FROM (
+    SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase
+    FROM places, (VALUES (1), (2), (3)) AS lengths(m) WHERE i + m - 1 <= len(w)
+  ) GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE m = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE m > 1 AND f >= {LEAST}
+), cuts AS (
+  SELECT c.lang, c.phrase, c.m, c.a, k, l.f AS l, r.f AS r,
+         (1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) AS c
+  JOIN counted AS l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN counted AS r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1 :], ' ')
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), covered AS (
+  SELECT s.lang, s.phrase FROM candidates AS s
+  JOIN (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM candidates WHERE m = 3) AS t
+    ON t.lang = s.lang AND t.phrase = s.phrase
+  WHERE 100 * t.a >= {COVERED} * s.a
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+  FROM lowest ANTI JOIN covered USING (lang, phrase)
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= {TOP}
+"""

@@ -183,3 +183,45 @@ def run_digests(found: DataFrame) -> DataFrame:
         F.sha2(F.concat_ws("", lines).cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+#: The same rows for a database: equal words of a document make islands for each distance.
+SQL = f"""
+WITH marked AS (
+  SELECT row_number() OVER () AS d, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+         xor(list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+           lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))
+         ), 4294967295) AS h
+  FROM documents
+), params AS (
+  SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a, (h // 10) % 8 AS g8 FROM marked
+), docs AS (
+  SELECT d, doc_id, n, CASE WHEN a IS NULL THEN w ELSE
+    list_transform(range(0, n), lambda i: w[CASE WHEN i < a THEN i + 1 ELSE a + (i - a) % (1 + (n - a) // (3 + g8)) + 1 END]) END AS w
+  FROM params
+), words AS (
+  SELECT d, unnest(range(0, n)) AS i, unnest(w) AS word, n FROM docs
+), pairs AS (
+  SELECT x.d, x.i, y.i - x.i AS q FROM words AS x JOIN words AS y ON x.d = y.d AND x.word = y.word AND y.i > x.i AND {TIMES} * (y.i - x.i) <= x.n
+), islands AS (
+  SELECT d, q, i, i - row_number() OVER (PARTITION BY d, q ORDER BY i) AS island FROM pairs
+), stretches AS (
+  SELECT d, q, min(i) AS s, count(*) + q AS m FROM islands GROUP BY d, q, island HAVING count(*) + q >= greatest({LEAST}, {TIMES} * q)
+), runs AS (
+  SELECT * FROM stretches AS x WHERE NOT EXISTS (
+    SELECT 1 FROM stretches AS y WHERE y.d = x.d AND y.q < x.q AND y.s <= x.s AND y.s + y.m >= x.s + x.m)
+), told AS (
+  SELECT d, count(*) AS n_runs, string_agg(s || ',' || m || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM runs GROUP BY d
+), best AS (
+  SELECT * FROM runs AS x WHERE NOT EXISTS (
+    SELECT 1 FROM runs AS y WHERE y.d = x.d AND (y.m::HUGEINT * x.q > x.m::HUGEINT * y.q OR (y.m::HUGEINT * x.q = x.m::HUGEINT * y.q AND (y.s, y.q) < (x.s, x.q))))
+), gone AS (
+  SELECT DISTINCT d, unnest(range(s + q, s + m)) AS i FROM runs
+), kept AS (
+  SELECT d, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (d, i) GROUP BY d
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.m AS length, best.q AS period, 1000 * best.m // best.q AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM docs LEFT JOIN told USING (d) LEFT JOIN best USING (d) LEFT JOIN kept USING (d)
+"""

@@ -80,12 +80,12 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.html_text(table(spark, sf_dir, "pages"))
 
 
-@query()
+@query(periodic_runs.SQL)
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents"))
     return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
 
 
-@query()
+@query(collocations.SQL)
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
