@@ -30,12 +30,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .grams import counted, decoded, encoded, ranked, word_array
 from .tables import column, written
 from .words import slices, words_of
 
@@ -68,56 +68,12 @@ def language(docs: DataFrame) -> Column:
     return F.coalesce(column(docs, "lang", "string"), F.lit("und"))
 
 
-def _words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """Words as a byte-string array, out of their places."""
-    length = ends - starts
-    offsets = np.concatenate(([0], np.cumsum(length)))
-    place = np.arange(int(offsets[-1])) + np.repeat(starts - offsets[:-1], length)
-    return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[place])])
-
-
-def _ranked(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The distinct words in byte order, and the place of each word among them."""
-    coded = words.dictionary_encode()
-    order = pc.sort_indices(coded.dictionary)
-    rank = np.empty(len(order), np.int32)
-    rank[order.to_numpy()] = np.arange(len(order), dtype=np.int32)
-    return coded.dictionary.take(order), rank[coded.indices.to_numpy(zero_copy_only=False)]
-
-
-def _key(columns: list[np.ndarray], base: int) -> np.ndarray:
-    """One number for each window that orders windows as their words do. Codes are below base."""
-    if base ** len(columns) < 2**63:
-        key = columns[0].astype(np.int64)
-        for c in columns[1:]:
-            key *= base
-            key += c
-        return key
-    order = np.lexsort(columns[::-1])
-    new = np.zeros(len(order), bool)
-    for c in columns:
-        new[1:] |= c[order][1:] != c[order][:-1]
-    key = np.empty(len(order), np.int64)
-    key[order] = np.cumsum(new)
-    return key
-
-
-def _counted(columns: list[np.ndarray], base: int, counts: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct windows in order, and the sum of the counts of each."""
-    key = _key(columns, base)
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
-    total = np.diff(np.append(first, len(key))) if counts is None else np.add.reduceat(counts[order], first) if len(first) else counts
-    return [c[order[first]] for c in columns], total
-
-
 def text_windows(texts: pa.Array, longest: int) -> tuple[pa.Array, list[np.ndarray], np.ndarray]:
     """Distinct words in order; the codes of every window, 0 where it ends early and 1 + place else; the text of each."""
     w = words_of(texts, lower=True, blank=_PARTS)
     n = len(w.starts)
     row = np.repeat(np.arange(len(texts)), np.diff(w.first))
-    vocabulary, code = _ranked(_words(w.data, w.starts, w.ends))
+    vocabulary, code = ranked(word_array(w.data, w.starts, w.ends))
     piece = np.concatenate(([0], np.cumsum(_ENDS[w.data])))[w.starts] + row
     columns = [code + 1]
     for k in range(1, longest):
@@ -129,37 +85,6 @@ def text_windows(texts: pa.Array, longest: int) -> tuple[pa.Array, list[np.ndarr
     return vocabulary, columns, row
 
 
-def _encoded(vocabulary: pa.Array, columns: list[np.ndarray], counts: np.ndarray) -> list[bytes]:
-    """A block: the words it uses, the codes column by column and byte by byte, the counts."""
-    size = len(columns) * len(counts)
-    if size < len(vocabulary):
-        used = np.unique(np.concatenate(columns))
-    else:
-        mark = np.zeros(len(vocabulary) + 1, bool)
-        for c in columns:
-            mark[c] = True
-        used = np.flatnonzero(mark)
-    used = used[used > 0]
-    words = b" ".join(vocabulary.take(pa.array(used - 1)).to_pylist())
-    codes = np.stack([np.searchsorted(used, c, side="right") for c in columns]).astype("<u4")
-    codes[0, 1:] -= codes[0, :-1].copy()  # the first word is in order
-    planes = np.ascontiguousarray(codes.view(np.uint8).reshape(len(columns), -1, 4).transpose(0, 2, 1))
-    packer = zstandard.ZstdCompressor(level=3)
-    return [packer.compress(words), packer.compress(planes.tobytes()), packer.compress(counts.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes())]
-
-
-def _decoded(row: dict, longest: int) -> tuple[pa.Array, list[np.ndarray], np.ndarray]:
-    unpacker = zstandard.ZstdDecompressor()
-    data = np.frombuffer(unpacker.decompress(row["words"]), np.uint8)
-    cut = np.flatnonzero(data == 0x20)
-    words = _words(data, np.concatenate(([0], cut + 1)), np.append(cut, len(data)))
-    planes = np.frombuffer(unpacker.decompress(row["codes"]), np.uint8).reshape(longest, 4, -1)
-    codes = list(np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i4")[..., 0])
-    codes[0] = np.cumsum(codes[0], dtype=np.int32)
-    counts = np.frombuffer(unpacker.decompress(row["counts"]), np.uint8).reshape(8, -1).T
-    return words, codes, np.ascontiguousarray(counts).view("<i8")[:, 0].astype(np.int64)
-
-
 def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.Array]]:
     """Slices of a batch's texts, each of one language."""
     langs = batch.column("lang").dictionary_encode()
@@ -208,14 +133,14 @@ def _blocks(cuts: list[tuple[str, list[bytes]]], longest: int):
                 vocabulary, columns, _ = text_windows(texts, longest)
                 if not len(columns[0]):
                     continue
-                columns, counts = _counted(columns, len(vocabulary) + 1, None)
+                columns, counts = counted(columns, len(vocabulary) + 1, None)
                 words = vocabulary.to_pylist()
                 edges = [0, *(_first_from(columns, words, w) for c, w in cuts if c == lang), len(counts)]
                 part = sum(c < lang for c, _ in cuts)
                 out: dict[str, list] = {k: [] for k in ("part", "lang", "words", "codes", "counts")}
                 for k, (i, j) in enumerate(zip(edges[:-1], edges[1:])):
                     if j > i:
-                        own = (part + k, lang, *_encoded(vocabulary, [c[i:j] for c in columns], counts[i:j]))
+                        own = (part + k, lang, *encoded(vocabulary, [c[i:j] for c in columns], counts[i:j]))
                         for held, value in zip(out.values(), own):
                             held.append(value)
                 yield pa.RecordBatch.from_arrays(
@@ -247,15 +172,15 @@ def _merged(longest: int, least: int):
     schema = pa.schema([("lang", pa.string()), ("m", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
 
     def one(lang: str, rows: list[dict]) -> Iterator[pa.Table]:
-        blocks = [_decoded(r, longest) for r in rows]
-        vocabulary, rank = _ranked(pa.concat_arrays([b[0] for b in blocks]))
+        blocks = [decoded(r, longest) for r in rows]
+        vocabulary, rank = ranked(pa.concat_arrays([b[0] for b in blocks]))
         begin, parts = 0, []
         for words, codes, _ in blocks:
             known = np.append(np.int32(0), rank[begin : begin + len(words)] + 1)
             parts.append([known[c] for c in codes])
             begin += len(words)
         columns = [np.concatenate([p[k] for p in parts]) for k in range(longest)]
-        columns, counts = _counted(columns, len(vocabulary) + 1, np.concatenate([b[2] for b in blocks]))
+        columns, counts = counted(columns, len(vocabulary) + 1, np.concatenate([b[2] for b in blocks]))
         yield pa.table([[lang], pa.array([0], pa.int32()), [""], pa.array([int(counts.sum())], pa.int64())], schema=schema)
         texts = vocabulary.cast(pa.large_string())
         new = np.zeros(len(counts), bool)
@@ -288,8 +213,8 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     cuts = cut_points(rows, -(-size // RANGE_BYTES), longest, size // 6)
     blocks = rows.mapInArrow(_blocks(cuts, longest), BLOCK)
-    counted = blocks.groupBy("part").applyInArrow(_merged(longest, least), COUNTS)
-    summed = counted.groupBy("lang", "m", "phrase").agg(F.sum("f").alias("f"))
+    merged = blocks.groupBy("part").applyInArrow(_merged(longest, least), COUNTS)
+    summed = merged.groupBy("lang", "m", "phrase").agg(F.sum("f").alias("f"))
     return written(summed.filter((F.col("f") >= least) | (F.col("m") == 0)), "phrase-counts")
 
 

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import collocations, exact_dedup, html_text, license_scan, mixing, ngram_join, packing, periodic_runs, quality_model, quality_rules, substring_dedup, toxicity
+from . import collocations, exact_dedup, html_text, license_scan, lm_score, mixing, ngram_join, packing, periodic_runs, quality_model, quality_rules, substring_dedup, toxicity
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,8 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(collocations.SQL)
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_score(table(spark, sf_dir, "documents"))
