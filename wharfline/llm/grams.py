@@ -52,6 +52,14 @@ def counted(columns: list[np.ndarray], base: int, counts: np.ndarray | None) ->
     return [c[order[first]] for c in columns], total
 
 
+def joined_words(words: pa.Array) -> bytes:
+    """Words with one blank between."""
+    if not len(words):
+        return b""
+    one = pa.LargeListArray.from_arrays(pa.array([0, len(words)], pa.int64()), words.cast(pa.binary()))
+    return pc.binary_join(one.cast(pa.list_(pa.binary())), b" ")[0].as_py()
+
+
 def packed_numbers(values: np.ndarray) -> bytes:
     """Counts byte by byte, compressed."""
     return zstandard.ZstdCompressor(level=3).compress(values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes())
@@ -76,7 +84,7 @@ def encoded(vocabulary: pa.Array, columns: list[np.ndarray], counts: np.ndarray,
             mark[c] = True
         used = np.flatnonzero(mark)
     used = used[used >= special]
-    words = b" ".join(vocabulary.take(pa.array(used - special)).to_pylist())
+    words = joined_words(vocabulary.take(pa.array(used - special)))
     codes = np.stack([np.where(c < special, c, np.searchsorted(used, c) + special) for c in columns]).astype("<u4")
     codes[0, 1:] -= codes[0, :-1].copy()  # the first word is in order
     planes = np.ascontiguousarray(codes.view(np.uint8).reshape(len(columns), -1, 4).transpose(0, 2, 1))
