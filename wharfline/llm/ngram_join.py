@@ -15,9 +15,9 @@ counted fragment by fragment and added up per pair. The steps:
     (the first n - ceil(0.75 n) + 1). All pairs that do, that are of fitting length, have enough shingles left
     from there on and aren't yet in one component are compared. A shingle whose sets are all in one component yields no pair at all.
 6.  Comparing a pair is: join the segments of both sides by fragment, count the partial overlaps, add them up.
-7.  Every link lies inside a component. To find them all, a component's sets are dealt into blocks of bounded weight by size
-    class and a hash of the set; each two blocks of the same or neighbouring size classes are one small task that compares
-    all their pairs. A set is sent once for each partner block, not once for each pair.
+7.  Every link lies inside a component. To count them all, a component's sets are dealt into blocks of bounded weight by size
+    class and a hash of the set; each two blocks of the same or neighbouring size classes are one small task that adds up
+    the overlaps by ranges of shingles. A set is sent, and answered with one number, once for each partner block, not once for each pair.
 
 Defined results: null, empty and blank texts have an empty set and link with nothing; a text of fewer than
 ``width`` words is one shingle that equals only the same short text; repeated rows are equal sets and link;
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
-from .sharing import KEY, answers, edges_of, shared
+from .sharing import KEY, answered, answers, edges_of, shared
 from .tables import column, has_word, written
 from .words import factors, mix, slices, windows, words_of
 
@@ -47,11 +47,11 @@ LEAST = 75
 SEGMENTS = 8
 #: Random orders for the links to a centre.
 CENTRES = 4
-#: Shingles of a block of sets; a set weighs at least LIGHT, so a block is a few hundred sets at most.
-BLOCK = 1 << 17
-LIGHT = 512
+#: Shingles of a block of sets; a set weighs at least LIGHT, so a block is two thousand sets at most.
+BLOCK = 1 << 19
+LIGHT = 256
 #: Columns of the overlap matrices that are held at a time.
-WIDE = 4096
+WIDE = 1024
 
 SETS_SCHEMA = "doc_id long, n_shingles long, key binary"
 CANDIDATE_SCHEMA = "key binary, n long, alone long, off_centre double, centres array<long>, prefix array<long>, segments array<struct<part:int,hashes:array<long>>>"
@@ -160,7 +160,7 @@ _CANDIDATES = pa.schema(
 def candidate_sets(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFrame:
     """The sets that share enough shingles with others, each once, cut into segments."""
     rows = docs.select(column(docs, "text", "string").alias("text"))
-    found = shared(rows, _sets(width), in_two_sets).mapInArrow(_candidates(least, SEGMENTS, CENTRES), CANDIDATE_SCHEMA)
+    found = answered(shared(rows, _sets(width), in_two_sets, "text"), _candidates(least, SEGMENTS, CENTRES), CANDIDATE_SCHEMA, _CANDIDATES)
     return written(found, "ngram-sets")
 
 
@@ -227,47 +227,53 @@ def similar_sets(sets: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """The number of common shingles of every two sets."""
+    """The number of common shingles of every two sets, added up over ranges of shingles."""
     place = np.unique(np.concatenate([*left, *right]), return_inverse=True)[1]
     owner = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
     order = np.argsort(place, kind="stable")
     place, owner = place[order], owner[order]
-    total = np.zeros((len(left), len(right)), np.int64)
+    total = np.zeros((len(left), len(right)))
     for begin in range(0, int(place[-1]) + 1 if len(place) else 0, WIDE):
         i, j = np.searchsorted(place, (begin, begin + WIDE))
         found = np.zeros((len(left) + len(right), WIDE), np.float32)
         found[owner[i:j], place[i:j] - begin] = 1
-        total += (found[: len(left)] @ found[len(left) :].T).astype(np.int64)
-    return total
+        total += found[: len(left)] @ found[len(left) :].T
+    return total.astype(np.int64)
 
 
-def _linked(least: int):
-    """The pairs that are similar enough, of two blocks or within one."""
+def _link_sums(least: int):
+    """For each set of two blocks, or of one within itself: the copies of the sets of the other side it links with."""
 
     def run(block: pa.Table) -> pa.Table:
         side = block.column("side").to_numpy()
-        n, keys = block.column("n").to_numpy(), block.column("key").to_pylist()
+        n, copies = block.column("n").to_numpy(), block.column("copies").to_numpy()
         flat = [np.asarray(x, np.int64) for x in block.column("hashes").to_pylist()]
         within = bool(block.column("within")[0].as_py())
         a = np.flatnonzero(side == 0)
         b = a if within else np.flatnonzero(side == 1)
-        both = _overlaps([flat[k] for k in a], [flat[k] for k in b]) if len(a) and len(b) else np.zeros((len(a), len(b)), np.int64)
-        hit = 100 * both >= least * (n[a][:, None] + n[b][None, :] - both)
-        i, j = np.nonzero(np.triu(hit, 1) if within else hit)
-        ends = [sorted((keys[x], keys[y])) for x, y in zip(a[i], b[j])]
-        return pa.table(
-            [pa.array([e[0] for e in ends], pa.binary()), pa.array([e[1] for e in ends], pa.binary()), pa.array(both[i, j], pa.int64())],
-            ["a", "b", "overlap"],
-        )
+        sums = np.zeros(len(side), np.int64)
+        if len(a) and len(b):
+            both = _overlaps([flat[k] for k in a], [flat[k] for k in b])
+            hit = 100 * both >= least * (n[a][:, None] + n[b][None, :] - both)
+            if within:
+                np.fill_diagonal(hit, False)
+            sums[a] = hit @ copies[b]
+            if not within:
+                sums[b] = hit.T @ copies[a]
+        some = sums > 0
+        return pa.table([block.column("key").filter(pa.array(some)), pa.array(sums[some])], ["key", "n_links"])
 
     return run
 
 
-def similar_pairs(sets: DataFrame, labels: DataFrame, least: int = LEAST) -> DataFrame:
-    """a, b, overlap: every pair of different sets that is similar enough, once. labels: node, label, as of similar_sets."""
+def link_counts(sets: DataFrame, named: DataFrame, least: int = LEAST) -> DataFrame:
+    """key, n_links: for every set the documents of other sets that are similar enough. named: key, label, copies.
+
+    Pairs are never written: two blocks give a row for each set that links with any of the other side.
+    """
     from math import log
 
-    own = sets.select("key", "n", F.flatten("segments.hashes").alias("hashes")).join(labels.withColumnRenamed("node", "key"), "key")
+    own = sets.select("key", "n", F.flatten("segments.hashes").alias("hashes")).join(named.select("key", "label", "copies"), "key")
     # classes are a little wider than the similarity allows, so sets that can link lie in the same or in neighbouring ones
     own = own.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.lit(log(100 / least * 1.05))))
     sized = own.groupBy("label", "class").agg(F.count(F.lit(1)).alias("members"), F.sum(F.greatest(F.col("n"), F.lit(LIGHT))).alias("weight"))
@@ -287,10 +293,11 @@ def similar_pairs(sets: DataFrame, labels: DataFrame, least: int = LEAST) -> Dat
     same = F.transform(turns("blocks"), lambda v: meeting(F.lit(False), F.least(block, v), F.greatest(block, v), block > v))
     higher = F.transform(turns("above"), lambda v: meeting(F.lit(True), block, v, F.lit(0)))
     lower = F.transform(turns("below"), lambda v: meeting(F.lit(True), v, block, F.lit(1)))
-    met = own.select("label", "class", "key", "n", "hashes", F.explode(F.concat(same, F.coalesce(higher, none), F.coalesce(lower, none))).alias("m"))
+    met = own.select("label", "class", "key", "n", "copies", "hashes", F.explode(F.concat(same, F.coalesce(higher, none), F.coalesce(lower, none))).alias("m"))
     low = F.col("class") - F.when(F.col("m.up") & (F.col("m.side") == 1), 1).otherwise(0)
-    met = met.select("label", low.alias("low"), "m.up", "m.first", "m.second", "m.side", (~F.col("m.up") & (F.col("m.first") == F.col("m.second"))).alias("within"), "key", "n", "hashes")
-    return met.groupBy("label", "low", "up", "first", "second").applyInArrow(_linked(least), "a binary, b binary, overlap long")
+    met = met.select("label", low.alias("low"), "m.up", "m.first", "m.second", "m.side", (~F.col("m.up") & (F.col("m.first") == F.col("m.second"))).alias("within"), "key", "n", "copies", "hashes")
+    sums = met.groupBy("label", "low", "up", "first", "second").applyInArrow(_link_sums(least), "key binary, n_links long")
+    return sums.groupBy("key").agg(F.sum("n_links").alias("n_links"))
 
 
 def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -309,10 +316,7 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataF
     labels = written(similar_sets(sets, least), "ngram-components")
     named = _named(rows, labels)
     smallest = named.groupBy("label").agg(F.min("id").alias("component_id"))
-    pairs = written(similar_pairs(sets, labels, least), "ngram-pairs")
-    ends = pairs.select(F.col("a").alias("key"), F.col("b").alias("other")).union(pairs.select("b", "a"))
-    copies = named.select(F.col("key").alias("other"), "copies")
-    linked = ends.join(copies, "other").groupBy("key").agg(F.sum("copies").alias("n_links"))
+    linked = link_counts(sets, named, least)
     named = named.join(smallest, "label").join(linked, "key", "left").select("key", "component_id", "n_links", "copies")
     out = rows.join(named, "key", "left")
     own = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))

@@ -12,8 +12,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .tables import partitions
 from .words import mix
 
 #: A document's name: 96 bits.
@@ -24,6 +24,10 @@ SLICE_HASHES = 1_000_000
 SENT = "part int, keys binary, runs binary, hashes binary"
 BACK = "part int, keys binary, runs binary, hashes binary, counts binary"
 
+#: Bytes of text whose hashes make a fragment. Larger executors take more.
+FRAGMENT_BYTES = 12 << 20
+_BACK = pa.schema([("part", pa.int32()), *((k, pa.binary()) for k in ("keys", "runs", "hashes", "counts"))])
+
 #: Gives (name, set of hashes) of documents; one name may come again.
 Sets = Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, np.ndarray]]]
 #: Gets sorted hashes and the name of the document of each; tells which entries go back, and a count for each.
@@ -120,11 +124,28 @@ def mix_name(keys: np.ndarray) -> np.ndarray:
     return mix(keys["a"] ^ (keys["b"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
 
 
-def shared(docs: DataFrame, sets: Sets, verdict: Verdict) -> DataFrame:
-    """Answers, dealt by document: every row of a partition belongs to documents that no other partition has."""
-    parts = partitions(docs.sparkSession)
+def shared(docs: DataFrame, sets: Sets, verdict: Verdict, text: str) -> DataFrame:
+    """Answers, dealt by document: all rows of a group (part) belong to documents that no other group has.
+
+    text: the column the hashes come from. There are as many fragments as its bytes ask for, each a group of its own,
+    so what a task holds at once doesn't grow with the table.
+    """
+    size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first().n or 0
+    parts = max(2, -(-size // FRAGMENT_BYTES))
     sent = docs.mapInArrow(_sender(sets, parts), SENT)
-    return sent.repartition(parts, "part").mapInArrow(_judge(parts, verdict), BACK).repartition(parts, "part")
+    return sent.groupBy("part").applyInArrow(_as_table(_judge(parts, verdict), _BACK), BACK)
+
+
+def answered(answers_of: DataFrame, consume, schema: str, arrow: pa.Schema) -> DataFrame:
+    """What a function from batches to batches makes of each group of answers."""
+    return answers_of.groupBy("part").applyInArrow(_as_table(consume, arrow), schema)
+
+
+def _as_table(run, schema: pa.Schema):
+    def one(rows: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([b.cast(schema) for b in run(iter(rows.to_batches()))], schema)
+
+    return one
 
 
 def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.void, np.ndarray, np.ndarray]]:

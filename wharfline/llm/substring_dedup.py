@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sharing import KEY, answers, edges_of, shared
+from .sharing import KEY, answered, answers, edges_of, shared
 from .tables import column, written
 from .words import factors, mix, slices, windows, words_of
 
@@ -39,6 +39,7 @@ NO_ID = 2**63 - 1
 FAR = 1 << 60
 
 ANSWER_SCHEMA = "id long, found binary"
+_ANSWERS = pa.schema([("id", pa.int64()), ("found", pa.binary())])
 JUDGED_SCHEMA = "doc_id long, id long, n_words long, kept_sha256 string, text string, spans binary"
 RESULT_SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
@@ -271,11 +272,11 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
     rows = docs.select(
         doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(NO_ID)).alias("id"), column(docs, "text", "string").alias("text")
     )
-    own = shared(rows.select("id", "text"), _symbol_sets(rounds, window), in_two_documents).mapInArrow(_packed, ANSWER_SCHEMA)
+    own = answered(shared(rows.select("id", "text"), _symbol_sets(rounds, window), in_two_documents, "text"), _packed, ANSWER_SCHEMA, _ANSWERS)
     judged = rows.join(own, "id", "left").select("doc_id", "id", "text", "found")
     judged = written(judged.mapInArrow(_judged(rounds, window), JUDGED_SCHEMA), "substring-candidates")
     open_ = judged.filter("spans IS NOT NULL").select("doc_id", "id", "text", "spans")
-    again = shared(open_.select("id", "text", "spans"), _window_sets(window), after_the_first).mapInArrow(_packed, ANSWER_SCHEMA)
+    again = answered(shared(open_.select("id", "text", "spans"), _window_sets(window), after_the_first, "text"), _packed, ANSWER_SCHEMA, _ANSWERS)
     done = open_.join(again, "id", "left").select("doc_id", "text", "spans", "found").mapInArrow(_removed(window), RESULT_SCHEMA)
     rest = judged.filter("spans IS NULL").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256")
     return done.unionByName(rest)
