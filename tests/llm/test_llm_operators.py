@@ -357,6 +357,21 @@ def test_packing(docs, rows):
     assert sum(p.length for p in pieces) == sum(len(tokenizer.encode(r[1] or "", add_special_tokens=False).ids) + 1 for r in rows)
 
 
+def test_words_get_the_ids_of_whole_texts(monkeypatch):
+    import pyarrow as pa
+
+    tokenizer = plain_ids()
+    rng = random.Random(9)
+    odd = ["foo<|endoftext|>bar", "<|startoftext|>", "<|ENDOFTEXT|> x", "a<|b", "don't we'LL 's", "it's.", "A,b;C.", "...", "--a--", "x(y)z!?", "3.14 a1b2", "E=mc^2", "é.É", "ÀÉÞß,ÿ×Ö÷ü", "Über(Straße).", "n\u0303 A\u030a", "\u200bzero", "漢字,かな", "a\u00a0b", "a\x00b", "~`|\\", "\"Quoted,\"", "H\u0331 \u0130"]
+    texts = [*odd, " ".join(odd), "", *(" ".join(rng.choice(odd) + rng.choice(["", ".", ",", "|"]) for _ in range(12)) for _ in range(50))]
+    known = packing.WordIds(packing.tokenizer_path())
+    for limit in (packing.KEPT_BYTES, 500):
+        monkeypatch.setattr(packing, "KEPT_BYTES", limit)
+        for _ in range(2):
+            flat, edges = known.encode(pa.array(texts))
+            assert [flat[a:b].tolist() for a, b in zip(edges[:-1], edges[1:])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_hilbert_curve_visits_neighbours():
     side = 8
     points = np.array([(x, y, z) for x in range(side) for y in range(side) for z in range(side)])

@@ -7,6 +7,7 @@ written one after the other into sequences of ``LENGTH`` tokens. A document is c
 at the end of a partition goes into sequences whose lengths are powers of two, which need no padding; so nothing is padded.
 
 Tokenizing works word by word: the tokenizer's rules never reach across blanks, so a word's ids are found once and kept.
+A special token's name within a text gets the special token's id, as ``encode(text, add_special_tokens=False)`` gives it.
 
 Defined results: a null or empty text is the closing id alone; repeated rows are packed each; a null id is packed with
 a null id; an empty table gives no pieces. Extra columns don't matter. Sequence ids are unique, not consecutive.
@@ -25,17 +26,24 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .tables import column, partitions
-from .words import mix, slices, words_of
+from .words import LOWER, mix, slices, words_of
 
 LENGTH = 2048
 CLOSING = 1
 DIMENSIONS, BITS = 4, 8
-#: Words whose ids a worker keeps; beyond it starts anew.
-KEPT_WORDS = 250_000
-#: Fixed value: a special token that no word holds once it is split off; it parts words that are learnt together.
-BETWEEN = "<|endoftext|>"
+#: Bytes of words and ids that a worker keeps, counting so many for an entry besides its word; the older half goes beyond that.
+KEPT_BYTES = 112 << 20
+ENTRY = 160
 #: Words that are learnt in one call.
-TOGETHER = 1000
+TOGETHER = 2000
+#: Bytes of ASCII letters and the lead byte of U+00C0 to U+00FF are 1, those of ASCII punctuation 2, all others 0. An apostrophe may join letters,
+#: and "<" may begin the name of a special token; both keep their word whole.
+KIND = np.zeros(256, np.uint8)
+KIND[0x21:0x7F] = 2
+KIND[0x30:0x3A] = 0
+KIND[0x41:0x5B] = KIND[0x61:0x7B] = 1
+KIND[[0x27, 0x3C]] = 0
+KIND[0xC3] = 1
 
 
 def tokenizer_path() -> str:
@@ -92,52 +100,65 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class WordIds:
-    """The ids of words, found once by the tokenizer."""
+    """The ids of words, found once by the tokenizer and kept while there is room.
 
-    def __init__(self, path: str):
-        self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.parting = Tokenizer.from_file(path)
-        self.between = self.parting.token_to_id(BETWEEN)
-        self.clear()
+    The tokenizer never joins letters across blanks. Of a word that is all Latin-1 letters and ASCII punctuation it doesn't even
+    join letters with punctuation, and its case doesn't matter, so such words are cut there and lowered: far fewer differ.
+    """
 
-    def clear(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.begin = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.int32)
+    def __init__(self, path: str):
+        self.tokenizer = Tokenizer.from_file(path)
+        self.held: dict[bytes, np.ndarray] = {}
+        self.bytes = 0
 
     def _learn(self, words: list[bytes]) -> None:
-        """Ids of new words. Many words make one call, as the cost of a call is far above that of a word."""
-        odd = [w for w in words if b"<|" in w]
-        words = [w for w in words if b"<|" not in w]
-        texts = [BETWEEN.join(w.decode() for w in words[i : i + TOGETHER]) + BETWEEN for i in range(0, len(words), TOGETHER)]
-        found = self.parting.encode_batch_fast(texts, add_special_tokens=False)
-        ids = np.array([i for x in found for i in x.ids], np.int32)
-        parts = ids == self.between
-        ends = np.flatnonzero(parts)
-        length = np.diff(np.concatenate(([-1], ends))) - 1
-        single = [self.plain.encode(w.decode(), add_special_tokens=False).ids for w in odd]
-        length = np.concatenate([length, np.array([len(x) for x in single], np.int64)])
-        for word in (*words, *odd):
-            self.index[word] = len(self.index)
-        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(length)])
-        self.ids = np.concatenate([self.ids, ids[~parts], np.array([i for x in single for i in x], np.int32)])
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids of each text."""
-        if len(self.index) > KEPT_WORDS:
-            self.clear()
-        words = [t.split() for t in texts]  # bytes split at the six blanks only
-        flat = [w for own in words for w in own]
-        new = list(dict.fromkeys(w for w in flat if w not in self.index))
-        for begin in range(0, len(new), 20 * TOGETHER):  # what the tokenizer returns for a word is far larger than its ids
-            self._learn(new[begin : begin + 20 * TOGETHER])
-        at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
-        length = self.begin[at + 1] - self.begin[at]
-        total = np.concatenate(([0], np.cumsum(length)))
-        ids = self.ids[np.arange(total[-1]) + np.repeat(self.begin[at] - total[:-1], length)]
-        edges = total[np.concatenate(([0], np.cumsum([len(own) for own in words])))]
-        return [ids[a:b] for a, b in zip(edges[:-1], edges[1:])]
+        for begin in range(0, len(words), TOGETHER):  # what the tokenizer returns for a word is far larger than its ids
+            own = words[begin : begin + TOGETHER]
+            found = self.tokenizer.encode_batch_fast([w.decode() for w in own], add_special_tokens=False)
+            self.held.update(zip(own, [np.array(x.ids, np.uint32).tobytes() for x in found]))
+        self.bytes += sum(map(len, words)) + ENTRY * len(words)
+
+    def _make_room(self) -> None:
+        """The older half goes when there is too much."""
+        if self.bytes > KEPT_BYTES:
+            names = list(self.held)
+            self.held = {w: self.held[w] for w in names[len(names) // 2 :]}
+            self.bytes = sum(map(len, self.held)) + ENTRY * len(self.held)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and where each text begins and the last ends."""
+        words = words_of(texts, lower=False)
+        data, starts = words.data, words.starts
+        if not len(starts):
+            return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
+        length = words.ends - starts
+        owner = np.repeat(np.arange(len(starts)), length)
+        place = np.arange(len(owner)) + np.repeat(starts - (np.cumsum(length) - length), length)
+        own = data[place]
+        kind = KIND[own]
+        latin = np.flatnonzero((own[:-1] == 0xC3) & (own[1:] != 0x97) & (own[1:] != 0xB7)) + 1  # 0xD7, 0xF7 are no letters
+        kind[latin] = 1
+        plain = np.minimum.reduceat(kind, np.cumsum(length) - length) > 0
+        inside = plain[owner]
+        capital = latin[(own[latin] < 0x9F) & inside[latin]]
+        own = np.where(inside, LOWER[own], own)
+        own[capital] += 0x20
+        cut = np.ones(len(own), bool)
+        cut[1:] = (owner[1:] != owner[:-1]) | (inside[1:] & (kind[1:] != kind[:-1]))
+        begins = np.flatnonzero(cut)
+        first = np.searchsorted(begins, np.append(np.cumsum(length) - length, len(own)))[words.first]
+        offsets = np.append(begins, len(own)).astype(np.int64)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(own)])
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        self._make_room()
+        self._learn([w for w in distinct if w not in self.held])
+        found = [self.held[w] for w in distinct]
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids, at = np.frombuffer(b"".join(found), np.uint32), np.cumsum(size) - size
+        of = coded.indices.to_numpy(zero_copy_only=False)
+        total = np.concatenate(([0], np.cumsum(size[of])))
+        return ids[np.arange(total[-1]) + np.repeat(at[of] - total[:-1], size[of])], total[first]
 
 
 _KEPT: dict[str, WordIds] = {}
@@ -217,14 +238,14 @@ class _Writer:
 def _packer(path: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, writer = word_ids(path), _Writer(TaskContext.get().partitionId(), with_ids)
-        closing = np.array([CLOSING], np.int32)
+        closing = np.array([CLOSING], np.uint32)
         for batch in batches:
             texts = batch.column("text").fill_null("")
             doc_ids = batch.column("doc_id").to_pylist()
-            for begin, end in slices(texts, 1 << 20):
-                encoded = known.encode([t.encode() for t in texts.slice(begin, end - begin).to_pylist()])
-                for doc_id, ids in zip(doc_ids[begin:end], encoded):
-                    writer.add(doc_id, np.concatenate([ids, closing]))
+            for begin, end in slices(texts):
+                flat, edges = known.encode(texts.slice(begin, end - begin))
+                for doc_id, i, j in zip(doc_ids[begin:end], edges[:-1].tolist(), edges[1:].tolist()):
+                    writer.add(doc_id, np.concatenate([flat[i:j], closing]))
                 if len(writer.rows) >= 2000:
                     yield writer.batch()
         writer.finish()
