@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.objects import file_ready, is_safe_key, mapped_name, provider, source_type
@@ -13,6 +13,7 @@ from ..operators.copies import needs_copy
 from ..operators.metrics import copy_counters, discovered
 from ..operators.screening import non_empty
 from ..plans.file_flow import consumer_flow, producer_flow
+from ..plans.staged_cycle import STAGES, run_cycle
 from ..session import run_folder
 from ..sources.objects import (
     execute_copy as run_copy,
@@ -464,3 +465,62 @@ FROM checked WHERE len(errors) > 0"""
 )
 def config_report(spark: SparkSession, sf: str) -> DataFrame:
     return v.validation_report(v.validate_by_kind(t.configs(spark, sf)), "component")
+
+
+# --- whole cycles over real objects -------------------------------------------
+#
+# Of the documents' objects some are staged already, some are lost from the staging area while the cycle
+# stands still, and some don't pass the gate.
+
+_LEAST_BYTES = 400
+
+
+def _cycle_sql(dest: str) -> str:
+    return f"""SELECT object_key, CASE WHEN outcome IN ('copied', 'refused', 'failed') THEN dest_key END AS dest_key, outcome,
+  CASE outcome WHEN 'copied' THEN 'created' WHEN 'refused' THEN 'schema rule not met' WHEN 'failed' THEN 'source object not found' ELSE 'target up-to-date' END AS reason,
+  CASE WHEN outcome = 'copied' THEN md5(body) END AS target_hash,
+  CASE WHEN outcome = 'failed' THEN 'AWS S3: FileNotFoundError: source object not found' END AS error,
+  (outcome = 'copied')::BIGINT AS events
+FROM (SELECT object_key, {dest} AS dest_key, body,
+  CASE WHEN doc_id % 10 = 3 THEN 'skipped' WHEN doc_id % 7 = 4 THEN 'failed' WHEN strlen(body) < {_LEAST_BYTES} OR body LIKE 'D%' THEN 'refused' ELSE 'copied' END AS outcome
+  FROM {_OBJECTS})"""
+
+
+def _cycle(spark: SparkSession, sf: str, label: str, dest: Column | None) -> DataFrame:
+    """A cycle that is cut off after every stage, and loses staged objects on the way."""
+    root = _container(spark, sf, label)
+    out, source, staging, target = (f"{root}/{x}" for x in ("cycle", "source", "staging", "target"))
+    objects = document_objects(spark, sf)
+    write_objects(objects.where("doc_id % 10 = 3"), staging).write.parquet(f"{root}/staged-before")
+    # a header rule: the first byte and the length are known without the whole object
+    rule = (F.col("length") >= _LEAST_BYTES) & ~F.col("head").cast("string").startswith("D")
+
+    def go_on(stop_after: str | None) -> DataFrame | None:
+        return run_cycle(spark, source, staging, target, out, target_container="target", dest=dest, rule=rule, stop_after=stop_after)
+
+    for stage in STAGES[:-1]:
+        go_on(stage)
+        if stage == "announced":
+            lost = objects.where("doc_id % 7 = 4 AND doc_id % 10 <> 3").select("object_key")
+            run_move(lost, list_all(spark, staging), staging, f"{root}/lost", f"{root}/losing")
+    report = go_on(None)
+    events = spark.read.parquet(f"{out}/8-published").select(F.from_json(F.col("value").cast("string"), "path string")["path"].alias("dest_key"))
+    told = report.join(events.groupBy("dest_key").agg(F.count(F.lit(1)).alias("events")), "dest_key", "left")
+    return told.select(
+        "object_key", "dest_key", "outcome",
+        F.when(F.col("outcome") == "skipped", F.substring_index("reason", " (", 1)).otherwise(F.col("reason")).alias("reason"),
+        "target_hash", F.concat_ws(": ", "error.provider", "error.type", "error.message").alias("error"),
+        F.coalesce("events", F.lit(0).cast("bigint")).alias("events"),
+    ).withColumn("error", F.when(F.col("error") != "", F.col("error")))
+
+
+@query(_cycle_sql("'naturalgas-mole-' || lower(replace(replace(object_key, ' ', '_'), '-', '_'))"))
+def producer_cycle(spark: SparkSession, sf: str) -> DataFrame:
+    """Producer cycle over real objects: one row each, with the target's hash and the events sent."""
+    return _cycle(spark, sf, "producer", mapped_name(F.lit("NaturalGas"), F.lit("Mole"), F.col("object_key")))
+
+
+@query(_cycle_sql("object_key"))
+def consumer_cycle(spark: SparkSession, sf: str) -> DataFrame:
+    """The consumer's cycle keeps names."""
+    return _cycle(spark, sf, "consumer", None)
