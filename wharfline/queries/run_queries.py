@@ -204,6 +204,18 @@ def run_contexts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def run_results(spark: SparkSession, sf: str) -> DataFrame:
+    """How executed runs ended; some never do."""
+    c = F.col("o_custkey")
+    return t.table(spark, sf, "orders").where(c % 9 != 0).select(
+        F.lit(0).alias("partition"),
+        F.col("o_orderkey").alias("offset"),
+        F.when(c % 11 == 0, "failed").otherwise("completed").alias("run_status"),
+        F.when(c % 11 == 0, "ValueError: bad input").alias("run_error"),
+        (c % 40 * 20_000_000).alias("duration_us"),
+    )
+
+
 @query(
     with_("decided", "statuses")
     + """SELECT d.product, d.stage, d.decision, CASE WHEN d.decision = 'execute' THEN r.run_status ELSE d.decision END AS status,
@@ -216,14 +228,7 @@ GROUP BY 1, 2, 3, 4, 5"""
 )
 def controlled_runs(spark: SparkSession, sf: str) -> DataFrame:
     """Trigger, decide, run, answer: totals per runner."""
-    c = F.col("o_custkey")
-    results = t.table(spark, sf, "orders").where(c % 9 != 0).select(
-        F.lit(0).alias("partition"),
-        F.col("o_orderkey").alias("offset"),
-        F.when(c % 11 == 0, "failed").otherwise("completed").alias("run_status"),
-        F.when(c % 11 == 0, "ValueError: bad input").alias("run_error"),
-        (c % 40 * 20_000_000).alias("duration_us"),
-    )
+    results = run_results(spark, sf)
     triggers = t.triggers(spark, sf).drop("duration_us")
     answered = published_statuses(triggers, results, chunk_by_offset("offset", CHUNK))
     return answered.groupBy("product", "stage", "decision", "status", "error").agg(

@@ -14,15 +14,17 @@ from ..operators.batches import drain_batches
 from ..session import run_folder
 from ..sources.topics import MESSAGE, stream_message_files
 from ..streaming import stateful as st
+from ..streaming.controlled import controlled_stream, status_wait_stream
 from ..streaming.files import file_ready_stream
 from ..streaming.runs import run_drain
 from ..streaming.sinks import route_stream
+from ..streaming.upserts import latest, upsert_stream
 from . import tables as t
 from ..sources.objects import write_objects
 from .file_queries import _OBJECTS, _hashes, document_objects
 from .metric_queries import DRAIN_GAP, DRAIN_SQL, MISSED_SECS, WINDOW_SQL, window_rows
 from .registry import query
-from .run_queries import DECISION_SQL
+from .run_queries import DECISION_SQL, run_results
 from .sql import us, with_
 from .topic_queries import FORWARD_SQL, PROCESSED_AT, forwarded
 
@@ -116,22 +118,9 @@ def stream_await_status(spark: SparkSession, sf: str) -> DataFrame:
     )
     replies = t.statuses(spark, sf).select("partition", "run_id", "stage", "product", "offset", "status", "timestamp")
 
-    def staged(rows: DataFrame, name: str) -> DataFrame:
-        """The rows, then one closing row long after, as a stream of two batches."""
-        last = rows.agg(F.max("timestamp").alias("at")).select(
-            *[
-                (F.col("at") + F.expr("INTERVAL 30 DAYS") if f.name == "timestamp" else F.lit(None).cast(f.dataType)).alias(f.name)
-                for f in rows.schema.fields
-            ]
-        )
-        rows.write.parquet(f"{folder}/{name}/part=1")
-        last.coalesce(1).write.parquet(f"{folder}/{name}/part=2")
-        schema = T.StructType([*rows.schema.fields, T.StructField("part", T.IntegerType())])
-        return spark.readStream.schema(schema).parquet(f"{folder}/{name}").drop("part")
-
-    waiting = st.await_status_stream(staged(asks, "asks"), staged(replies, "replies"), 600)
-    candidates = _drain(waiting, folder).where(F.col("run_id").isNotNull())
-    return st.first_reply(candidates).select(
+    waiting = status_wait_stream(_closed(asks, f"{folder}/asks"), _closed(replies, f"{folder}/replies"), 600)
+    answers = _drain(waiting, folder).where("run_id <> 'closing'")
+    return answers.select(
         F.col("trigger_offset").alias("offset"),
         "run_id",
         "stage",
@@ -142,17 +131,58 @@ def stream_await_status(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_WM = 600  # seconds the metric stream waits for late points
+def _closed(rows: DataFrame, folder: str) -> DataFrame:
+    """The rows, then two closing rows long after, as a stream of three batches; the last lets the timers see the clock."""
+    last = rows.agg(F.max("timestamp").alias("at"))
+    rows.write.parquet(f"{folder}/part=1")
+    for part in (2, 3):
+        closing = last.select(
+            *[
+                (F.col("at") + F.expr(f"INTERVAL {part * 30} DAYS") if f.name == "timestamp" else F.lit("closing") if f.name == "run_id" else F.lit(0).cast(f.dataType) if f.name in ("partition", "start_offset", "offset") else F.lit(None).cast(f.dataType)).alias(f.name)
+                for f in rows.schema.fields
+            ]
+        )
+        closing.coalesce(1).write.parquet(f"{folder}/part={part}")
+    schema = T.StructType([*rows.schema.fields, T.StructField("part", T.IntegerType())])
+    return rows.sparkSession.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(folder).drop("part")
+
+
+_RUN_SECS = 900
 
 
 @query(
-    with_("points")
-    + f"""SELECT * FROM ({WINDOW_SQL}) WHERE window_us + 60000000 <= (SELECT max(epoch_us(ts)) // 1000 * 1000 FROM points) - {_WM * 1_000_000}"""
+    with_("decided", "statuses")
+    + f"""SELECT d.product, d.stage, d.decision, CASE WHEN d.decision <> 'execute' THEN d.decision ELSE coalesce(r.run_status, 'timeout') END AS status,
+  CASE WHEN d.decision = 'execute' THEN CASE WHEN r.run_status IS NULL THEN 'no result in time' ELSE r.run_error END END AS error, count(*) AS runs,
+  sum(CASE WHEN d.decision = 'execute' THEN coalesce(r.took, {_RUN_SECS * 1_000_000}) ELSE 0 END)::BIGINT AS total_us
+FROM decided d LEFT JOIN (SELECT k AS "offset", CASE WHEN c % 11 = 0 THEN 'failed' ELSE 'completed' END AS run_status,
+    CASE WHEN c % 11 = 0 THEN 'ValueError: bad input' END AS run_error, c % 40 * 20000000 AS took FROM runs WHERE c % 9 <> 0) r USING ("offset")
+GROUP BY 1, 2, 3, 4, 5"""
 )
+def stream_controlled_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Trigger, decide, run, answer as a stream; runs that never gave a result are timed out."""
+    st.use_rocksdb(spark)
+    folder = run_folder(spark, "controlled")
+    triggers = t.triggers(spark, sf).where("run_id IS NOT NULL").select("product", "stage", "partition", "offset", "run_id", "execution_mode", "timestamp")
+    results = run_results(spark, sf).join(triggers.select("partition", "offset", "product", "stage", "timestamp"), ["partition", "offset"])
+    results = results.withColumn("timestamp", F.col("timestamp") + F.make_dt_interval(secs=F.col("duration_us") / 1_000_000))
+    answers = _drain(controlled_stream(_closed(triggers, f"{folder}/triggers"), _closed(results, f"{folder}/results"), _RUN_SECS), folder)
+    told = answers.where("kind = 'status' AND product IS NOT NULL")
+    return told.groupBy("product", "stage", "decision", "status", "error").agg(
+        F.count(F.lit(1)).alias("runs"), F.sum(F.round(F.col("duration_ms") * 1000).cast("bigint")).alias("total_us")
+    )
+
+
+_WM = 600  # seconds the metric stream waits for late points
+
+
+@query(with_("points") + WINDOW_SQL)
 def stream_metric_windows(spark: SparkSession, sf: str) -> DataFrame:
-    """Export windows that the watermark has closed."""
+    """All export windows of a drained stream, open ones too: each batch upserts the windows it touched."""
+    folder = run_folder(spark, "windows")
     windows = m.metric_windows(t.points(spark, sf, streaming=True), 60, f"{_WM} seconds")
-    return window_rows(_drain(windows, run_folder(spark, "windows")))
+    run_drain(upsert_stream(windows, f"{folder}/out", f"{folder}/checkpoint"))
+    return window_rows(latest(spark, f"{folder}/out", f"{folder}/checkpoint", ["window_start", "name"]))
 
 
 @query(

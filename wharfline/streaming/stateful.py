@@ -1,4 +1,4 @@
-"""Keyed stream operators with state: trigger runner, status wait, heartbeat watch."""
+"""Keyed stream operators with state: trigger runner, heartbeat watch. Controlled runs and status waits are in ``controlled``."""
 
 from __future__ import annotations
 
@@ -92,53 +92,6 @@ def trigger_processor(triggers: DataFrame) -> DataFrame:
     )
 
 
-def await_status_stream(
-    triggers: DataFrame, statuses: DataFrame, timeout_secs: int = 600, lateness: str = "10 seconds", partition: int = 0
-) -> DataFrame:
-    """Trigger and status candidates within the deadline; unmatched triggers come out late.
-
-    The time range bounds what is kept of both sides. Several statuses of a run
-    within the deadline give several candidates; :func:`first_reply` picks one.
-    """
-    asks = triggers.select(
-        F.col("run_id"), F.col("stage"), F.col("product"),
-        F.col("offset").alias("trigger_offset"), F.col("start_offset"), F.col("timestamp").alias("asked_at"),
-    ).withWatermark("asked_at", lateness)
-    replies = statuses.where(F.col("partition") == partition).select(
-        F.col("run_id").alias("s_run"), F.col("stage").alias("s_stage"), F.col("product").alias("s_product"),
-        F.col("offset").alias("status_offset"), F.col("status"), F.col("timestamp").alias("status_at"),
-    ).withWatermark("status_at", lateness)
-    on = (
-        (F.col("run_id") == F.col("s_run"))
-        & (F.col("stage") == F.col("s_stage"))
-        & (F.col("product") == F.col("s_product"))
-        & (F.col("status_offset") >= F.col("start_offset"))
-        & (F.col("status_at") >= F.col("asked_at"))
-        & (F.col("status_at") <= F.col("asked_at") + F.expr(f"INTERVAL {timeout_secs} SECONDS"))
-    )
-    return asks.join(replies, on, "leftOuter").drop("s_run", "s_stage", "s_product")
-
-
-def first_reply(candidates: DataFrame) -> DataFrame:
-    """One row per trigger from the stream's output."""
-    reply = F.struct("status_offset", "status", "status_at")
-    return (
-        candidates.groupBy("run_id", "stage", "product", "trigger_offset")
-        .agg(F.min_by(reply, "status_offset").alias("reply"))
-        .select(
-            "run_id",
-            "stage",
-            "product",
-            "trigger_offset",
-            "reply.*",
-            F.when(F.col("reply").isNull(), "timeout")
-            .when(F.col("reply.status") == "failed", "error")
-            .otherwise("success")
-            .alias("outcome"),
-        )
-    )
-
-
 ALARMS = "component string, last_seen_us bigint, alarm_us bigint"
 
 
