@@ -32,7 +32,7 @@ LENGTH = 2048
 CLOSING = 1
 DIMENSIONS, BITS = 4, 8
 #: Bytes of words and ids that a worker keeps, counting so many for an entry besides its word; the older half goes beyond that.
-KEPT_BYTES = 112 << 20
+KEPT_BYTES = 64 << 20
 ENTRY = 160
 #: Words that are learnt in one call.
 TOGETHER = 2000

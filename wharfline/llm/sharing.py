@@ -143,7 +143,9 @@ def answered(answers_of: DataFrame, consume, schema: str, arrow: pa.Schema) -> D
 
 def _as_table(run, schema: pa.Schema):
     def one(rows: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([b.cast(schema) for b in run(iter(rows.to_batches()))], schema)
+        out = pa.Table.from_batches([b.cast(schema) for b in run(iter(rows.to_batches()))], schema)
+        pa.default_memory_pool().release_unused()  # a worker process lives on beside later stages
+        return out
 
     return one
 
