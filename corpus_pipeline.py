@@ -18,27 +18,42 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model rejects go."""
+    """Documents that the toxicity model rejects go.
+
+    Null and empty texts score like others and stay unless rejected; repeated rows and null ids are judged row by row; an empty table stays empty.
+    """
     return toxicity.without_toxic(docs, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one stays."""
+    """Of equal texts one stays, the longest in the original, then the smallest id.
+
+    Null counts as empty, so of all null, empty and blank texts one stays; null ids come last; of repeated rows one stays.
+    """
     return exact_dedup.deduplicated(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of similar documents the one with the smallest id stays."""
+    """Of each component of similar documents the one with the smallest id stays.
+
+    Texts without words link with nothing and stay; unlinked rows with null or equal ids all stay; ties of id go by set, then the shorter text.
+    """
     return ngram_join.deduplicated(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each source is repeated towards its target."""
+    """Each source is repeated towards its target.
+
+    A null source is one of its own, after all others; texts without words have size 0; rows may come again, up to three times.
+    """
     return mixing.mix(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences."""
+    """Pieces of training sequences.
+
+    A null or empty text is its closing id alone; repeated rows are packed each; a null id keeps null; an empty table gives no pieces.
+    """
     return packing.pack(docs)
 
 
