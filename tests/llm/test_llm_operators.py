@@ -454,6 +454,65 @@ def test_html_text(spark):
     assert html_text.html_text(df.limit(0)).count() == 0
 
 
+ARTICLE = "<p>The bridge opens in May.</p><p>Tolls stay.</p>"
+SOMETHING_ELSE = "<nav>Home</nav><div class='comments'><article><p>First!</p></article></div>"
+FRAMES = [
+    "<main class='with-sidebar'>{}</main>",
+    "<body class='no-sidebar'><article>{}</article></body>",
+    "<body class='sidebar comments'><article>{}</article></body>",
+    "<div class='widget'><article>{}</article></div>",
+    "<article class='post social-news'>{}</article>",
+    "<article id='share-12'>{}</article>",
+    "<form action='/'><article>{}</article></form>",
+    "<div class='sidebar'><main>{}</main></div>",
+    "<article>{}<article class='comment'><p>nice</p></article><div class='widget'><article><p>more</p></article></div></article>",
+    "<article>{}</article><article id='comment-7'><p>nice</p></article><aside><article><p>teaser</p></article></aside>",
+    "<script>'<main>'</script><!-- <article> -->{}",
+    "<article></article>{}",
+    "<aside><article>{}</article></aside>",
+]
+
+
+def test_main_parts_inside_named_frames(spark):
+    rows = [(k, f"http://h{k}.x/", f"<html>{SOMETHING_ELSE}{frame.format(ARTICLE)}<footer>end</footer></html>") for k, frame in enumerate(FRAMES)]
+    found = {r.page_id: r.text for r in html_text.html_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {k: "The bridge opens in May.\nTolls stay." for k in range(len(FRAMES))}
+
+
+def test_repeated_runs_of_a_host_by_plain_search(spark):
+    """Pages without a named main part lose every eight words that another page of the host has too, wherever they stand."""
+    rng = random.Random(21)
+    shared_runs = [prose(rng, n, 60) for n in (8, 9, 14, 30)]
+    pages, streams = [], {}
+    for k in range(60):
+        host, texts = k % 4, []
+        for _ in range(rng.randrange(5)):
+            run = rng.choice(shared_runs) if rng.random() < 0.5 else ""
+            texts.append(" ".join(f"{prose(rng, rng.randrange(6), 3000)} {run} {prose(rng, rng.randrange(1, 25), 3000)}".split()))
+        named = k % 5 == 0
+        html = ("<article><p>main</p></article>" if named else "") + "".join(f"<div>{t}</div>" for t in texts)
+        pages.append((k, f"http://host{host}.x/{k}", html))
+        streams[k] = (host, named, texts)
+
+    def grams(texts):
+        return {tuple(w[i : i + 8]) if len(w) >= 8 else tuple(w) for t in texts for w in [t.split()] for i in range(max(1, len(w) - 7))}
+
+    def plain(k):
+        host, named, texts = streams[k]
+        if named:
+            return "main"
+        others = set().union(*(grams(t) for j, (h, _, t) in streams.items() if h == host and j != k))
+        out = []
+        for words in (t.split() for t in texts):
+            gone = {i + d for i in range(max(1, len(words) - 7)) if tuple(words[i : i + 8]) in others for d in range(8)}
+            left = [w for i, w in enumerate(words) if i not in gone]
+            out += [" ".join(left)] if left else []
+        return "\n".join(out)
+
+    found = {r.page_id: r.text for r in html_text.html_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)).collect()}
+    assert found == {k: plain(k) for k in streams} and any(len(t) < len("\n".join(streams[k][2])) for k, t in found.items())
+
+
 def test_empty_tables(none, labels):
     assert ngram_join.ngram_join(none).count() == ngram_join.deduplicated(none).count() == 0
     assert exact_dedup.exact_dedup(none).count() == exact_dedup.deduplicated(none).count() == 0
