@@ -294,6 +294,65 @@ def test_license_templates(spark):
         assert 0 <= r.score < 1 if score is None else r.score == score
 
 
+def plain_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(LOWER))
+
+
+def plain_pattern(template):
+    """A regular expression over words with a blank behind each."""
+    out = ""
+    for part in re.findall(r"\[\[|\]\]|<<\d+>>|[^\[\]<>]+", template):
+        if part in ("[[", "]]"):
+            out += "(?:" if part == "[[" else ")?"
+        elif part.startswith("<<"):
+            out += rf"(?:\S+ ){{0,{part[2:-2]}}}"
+        else:
+            out += "".join(re.escape(w) + " " for w in plain_words(part))
+    return re.compile(r"(?<!\S)" + out)
+
+
+def filled(rng, template):
+    """A text of a template; regions sometimes hold a word too many."""
+    text = re.sub(r"\[\[((?:(?!\[\[|\]\]).)*)\]\]", lambda m: m.group(1) if rng.random() < 0.5 else "", template, flags=re.S)
+    return re.sub(r"<<(\d+)>>", lambda m: " " + prose(rng, rng.choice([0, 1, int(m.group(1)), int(m.group(1)) + 1])) + " ", text)
+
+
+def test_license_templates_by_regular_expressions(spark):
+    rng = random.Random(8)
+    patterns = {name: plain_pattern(t) for name, t in license_scan.TEMPLATES.items()}
+    texts = []
+    for name, template in license_scan.TEMPLATES.items():
+        for k in range(30):
+            words = filled(rng, template).split()
+            if k % 3 == 1:
+                words[rng.randrange(len(words))] = rng.choice(["never", "", "not the"])
+            elif k % 3 == 2:
+                words = words[: rng.randrange(1, len(words) + 1)]
+            texts.append("Copyright (c) 2020 Some Body " + " ".join(words) + rng.choice(["", " and more", " " + template]))
+    texts += ["permission " * 3000, "licensed under " * 3000, "free software you can " * 500]
+    plain = [{n for n, p in patterns.items() if p.search(" ".join(plain_words(t)) + " ")} for t in texts]
+    found = license_scan.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in found:
+        base = set(filter(None, r.base_labels.split(",")))
+        assert set(filter(None, r.labels.split(","))) == plain[r.doc_id] | base
+        assert (r.score == 1.0) == bool(plain[r.doc_id])
+    assert len(found) == len(texts) and all(sum(n in p for p in plain) > 8 for n in patterns) and sum(not p for p in plain) > 40
+
+
+def test_openings_and_changed_terms_are_no_license(spark):
+    mit = " ".join(license_scan.TEMPLATES["mit-text"].replace("[[(including the next paragraph)]]", "").replace("<<12>>", "THE AUTHORS OR COPYRIGHT HOLDERS").split())
+    texts = [
+        (mit, "mit-text", 1.0),
+        (" ".join(mit.split()[:20]) + " to use it never and for no purpose", "", None),
+        (mit.replace("without restriction", "with restriction"), "", None),
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: you pay us", "", None),
+    ]
+    df = spark.createDataFrame([(k, t) for k, (t, _, _) in enumerate(texts)], "doc_id long, text string")
+    for r in license_scan.license_scan(df).collect():
+        _, labels, score = texts[r.doc_id]
+        assert r.labels == labels and (r.score == score if score else 0 < r.score < 1)
+
+
 def plain_substring(rows, k=50):
     words = [WORD.findall(r[1] or "") for r in rows]
     first = {}

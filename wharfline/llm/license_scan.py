@@ -6,8 +6,10 @@ region, and a state with a counter for a replaceable one. A text is accepted fro
 reaches its end, so all mandatory wording stands there exactly. Automata run only from words that can begin a template.
 
 Words are runs of letters, digits and characters beyond ASCII; A-Z are lower-cased; punctuation doesn't count.
-The score is the largest share of a template's mandatory words that the automaton got through, 1 for an accepted one;
-a base phrase scores at least 0.5.
+The score is the largest share of a template's mandatory words that the automaton got through, 1 for an accepted one, 0
+where it got through neither eight words nor a fifth of them; a base phrase scores at least 0.5. A licence's template is its
+whole text, so an opening alone, or terms with a word added, left out or changed, give a score below 1 and no label.
+Notices that refer to a licence are templates of their own.
 
 Defined results: null and empty texts have no words, no label and score 0; repeated rows score alike; extra columns
 don't matter. Whole texts are read, at any length.
@@ -32,20 +34,56 @@ PHRASES = {
     "general public license": "gpl",
 }
 
-#: Public wording of licence notices, with markup.
+#: Public wording of whole licences and of the notices that refer to one, with markup.
 TEMPLATES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0 [[(the <<1>> License)]]",
-    "apache-2.0-notice": "you may not use this file except in compliance with the License [[you may obtain a copy of the License at <<12>>]]",
-    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "apache-2.0-notice": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+        License. You may obtain a copy of the License at <<12>> Unless required by applicable law or agreed to in writing, software distributed under
+        the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for
+        the specific language governing permissions and limitations under the License""",
+    "bsd-2-clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+        conditions are met: [[1.]] [[a.]] Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+        disclaimer. [[2.]] [[b.]] Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+        disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY <<12>> AS IS AND ANY
+        EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
+        ARE DISCLAIMED. IN NO EVENT SHALL <<12>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES
+        (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+        CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY
+        OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE""",
+    "bsd-3-clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+        conditions are met: [[1.]] [[a.]] Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+        disclaimer. [[2.]] [[b.]] Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+        disclaimer in the documentation and/or other materials provided with the distribution. [[3.]] [[c.]] Neither the name of <<12>> nor the names of
+        <<3>> contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS
+        SOFTWARE IS PROVIDED BY <<12>> AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF
+        MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<12>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+        SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR
+        PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING
+        NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE""",
     "cc-by": "Licensed under [[a]] [[the]] [[Creative Commons Attribution]] CC BY 4.0",
     "cc-by-nc": "Licensed under [[a]] [[the]] CC BY NC <<2>>",
     "cc-by-sa": "Licensed under [[a]] [[the]] CC BY SA <<2>>",
     "gpl-3.0": "licensed under the [[terms of the]] GNU General Public License, [[as published by the Free Software Foundation]] version 3",
-    "gpl-notice": "redistribute it and or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-    "isc": "Permission to use, copy, modify, and or distribute this software for any purpose with or without fee is hereby granted",
-    "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+    "gpl-notice": """free software[[:]] you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free
+        Software Foundation, either version <<1>> of the License, or (at your option) any later version. <<4>> is distributed in the hope that it will be
+        useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General
+        Public License for more details""",
+    "isc": """Permission to use, copy, modify, and[[/or]] distribute this software for any purpose with or without fee is hereby granted, provided that
+        the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND <<8>> DISCLAIMS ALL WARRANTIES
+        WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<8>> BE LIABLE FOR ANY SPECIAL,
+        DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF
+        CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE""",
     "mit-release": "Released under the [[terms of the]] MIT License",
-    "mpl-2.0": "subject to the terms of the Mozilla Public License, v 2.0",
+    "mit-text": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the
+        "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish,
+        distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the
+        following conditions: The above copyright notice and this permission notice [[(including the next paragraph)]] shall be included in all copies
+        or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+        LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL <<12>> BE LIABLE FOR ANY
+        CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE
+        OR THE USE OR OTHER DEALINGS IN THE SOFTWARE""",
+    "mpl-2.0": """subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one
+        at""",
 }
 
 _WORD = np.zeros(256, bool)
@@ -99,15 +137,19 @@ class Automaton:
     def share(self, words: list[bytes], begin: int) -> float:
         """The share of the mandatory wording that stands from a word on; 1: the text is accepted there."""
         states, reached = self._closed({0}), 0
-        for word in words[begin : begin + self.end]:
+        for k in range(begin, min(len(words), begin + self.end)):
             if self.end in states:
                 return 1.0
+            word = words[k]
             states = {s + 1 for s in states if s < self.end and (self.words[s] is None or self.words[s] == word)}
             if not states:
                 break
             states = self._closed(states)
             reached = max(reached, max(self.sofar[s] for s in states))
-        return 1.0 if self.end in states else reached / max(self.sofar[-1], 1) * 0.999
+        if self.end in states:
+            return 1.0
+        total = max(self.sofar[-1], 1)
+        return reached / total * 0.999 if reached >= 8 or reached > 0.2 * total else 0.0
 
 
 def _scan(templates: dict[str, str], phrases: dict[str, str]):
@@ -156,7 +198,7 @@ def _scan(templates: dict[str, str], phrases: dict[str, str]):
                                 score = max(score, 0.5)
                         for name in by_word.get(word, ()):
                             share = automata[name].share(words, k)
-                            score = max(score, share if share == 1.0 or share > 0.2 else 0.0)
+                            score = max(score, share)
                             if share == 1.0:
                                 own.add(name)
                     rows.append((len(places), places[0] if places else None, places[-1] if places else None, ",".join(sorted(labels)), ",".join(sorted(labels | own)), score))
