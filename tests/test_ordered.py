@@ -125,6 +125,30 @@ def test_drain_batches(spark, gap, batches):
         assert [r.batch_no for r in got] == list(range(1, batches + 1))
 
 
+@pytest.mark.parametrize("share", [0.0, 0.3, 0.9, 1.0])
+def test_only_handled_messages_reset_the_clock(spark, share):
+    """Against a clock that is carried from message to message."""
+    rng = random.Random(13)
+    at, rows = 0, []
+    for i in range(500):
+        at += rng.choice([0, 2, 4, 10, 14, 15, 16, 40])
+        rows.append(("t", rng.randint(0, 2) if i else None, i, T0 + timedelta(seconds=at), rng.choice([None, False]) if rng.random() < share else True))
+    want, clocks = {}, {}
+    for _, partition, offset, when, ok in rows:
+        last, no = clocks.get(partition, (None, 0))
+        ended = last is None or (when - last).total_seconds() >= 15
+        batch = no + 1 if ended else no
+        if ok:
+            clocks[partition] = (when, batch)
+        seen = want.setdefault((partition, batch), [0, 0, offset, offset])
+        seen[:] = [seen[0] + 1, seen[1] + bool(ok), seen[2], offset]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset bigint, timestamp timestamp, ok boolean").repartition(5)
+    for chunk in (chunk_by_time("timestamp", 60), chunk_by_time("timestamp", 7), None):
+        got = drain_batches(df, 15, chunk=chunk, handled=F.col("ok")).collect()
+        assert {(r.partition, r.batch_no): [r.messages, r.handled, r.first_offset, r.last_offset] for r in got} == want
+    assert drain_batches(df.limit(0), 15, handled=F.col("ok")).count() == 0
+
+
 def test_batches_equal_session_windows(spark):
     """Except for a silence of exactly the gap, which a session window bridges."""
     rng = random.Random(11)

@@ -32,6 +32,29 @@ def decode_problem(value: Column | str, event: Column) -> Column:
     )
 
 
+def decode_document(value: Column | str) -> Column:
+    """Variant of any JSON document, whatever its fields, as a list of the document and the digest of its text.
+
+    The parser stops behind the first value it reads, so ``{} x`` would pass. A text that doesn't end where its value
+    ends loses the digest, or holds another. Objects that name a field twice don't parse.
+    """
+    text = F.try_validate_utf8(col(value).cast("string"))
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), F.md5(text), F.lit('"]')))
+
+
+def document_problem(value: Column | str, parsed: Column) -> Column:
+    """Why a message holds no JSON object: null when it does."""
+    raw = col(value)
+    whole = F.try_variant_get(parsed, "$[1]", "string") == F.md5(raw)
+    kind = F.schema_of_variant(F.try_variant_get(parsed, "$[0]", "variant"))
+    return (
+        F.when(raw.isNull(), "null value")
+        .when(~F.is_valid_utf8(raw.cast("string")), "not utf-8")
+        .when(~F.coalesce(whole, F.lit(False)), "malformed json")
+        .when(~F.coalesce(kind.startswith("OBJECT<"), F.lit(False)), "not an object")
+    )
+
+
 def encode_event(event: Column) -> Column:
     """JSON bytes of an event struct."""
     return F.to_json(event).cast("binary")

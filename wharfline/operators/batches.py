@@ -1,4 +1,8 @@
-"""Drain batches: runs of messages that are not interrupted by a long silence."""
+"""Drain batches: runs of messages that are not interrupted by a long silence.
+
+Only handled messages reset the clock. Others belong to the batch that is open when they come; those that come when
+none is open wait for the next one. Where no handled message follows they make a batch without handled messages.
+"""
 
 from __future__ import annotations
 
@@ -17,16 +21,23 @@ def number_batches(
     gap_secs: float = DRAIN_IDLE_SECS,
     keys: Sequence[str] = ("topic", "partition"),
     chunk: Column | None = None,
+    handled: Column | None = None,
 ) -> DataFrame:
-    """Add ``batch_no`` per topic partition; a silence of ``gap_secs`` or more starts a new one."""
+    """Add ``batch_no`` per topic partition; ``gap_secs`` or more without a handled message start a new one.
+
+    Without ``handled`` every message counts as handled; a null counts as not handled.
+    """
     cut = chunk_by_time("timestamp") if chunk is None else chunk
     order = ("timestamp", "offset")
-    seen = previous_value(messages, keys, order, F.col("timestamp"), "before", cut)
+    done = F.lit(True) if handled is None else F.coalesce(handled, F.lit(False))
+    seen = previous_value(messages, keys, order, F.when(done, F.col("timestamp")), "before", cut)
     quiet = F.unix_micros("timestamp") - F.unix_micros("before") >= int(gap_secs * 1_000_000)
-    flagged = seen.withColumn(
-        "opens", F.when(F.col("before").isNull() | quiet, 1).otherwise(0)
-    ).drop("before")
-    return running_sum(flagged, keys, order, F.col("opens"), "batch_no", cut).drop("opens")
+    closed = F.when(F.col("before").isNull() | quiet, 1).otherwise(0)
+    flagged = seen.withColumn("closed", closed).drop("before")
+    numbered = running_sum(flagged, keys, order, F.when(done, F.col("closed")).otherwise(0), "batch_no", cut)
+    if handled is not None:
+        numbered = numbered.withColumn("batch_no", F.col("batch_no") + F.when(done, 0).otherwise(F.col("closed")))
+    return numbered.drop("closed")
 
 
 def drain_batches(
@@ -34,14 +45,17 @@ def drain_batches(
     gap_secs: float = DRAIN_IDLE_SECS,
     keys: Sequence[str] = ("topic", "partition"),
     chunk: Column | None = None,
+    handled: Column | None = None,
 ) -> DataFrame:
-    """One row per batch: size, time span and offsets."""
-    narrow = messages.select(*keys, "offset", "timestamp")
+    """One row per batch: size, handled messages, time span and offsets."""
+    done = F.lit(True) if handled is None else F.coalesce(handled, F.lit(False))
+    narrow = messages.select(*keys, "offset", "timestamp", done.alias("handled"))
     return (
-        number_batches(narrow, gap_secs, keys, chunk)
+        number_batches(narrow, gap_secs, keys, chunk, None if handled is None else F.col("handled"))
         .groupBy(*keys, "batch_no")
         .agg(
             F.count(F.lit(1)).alias("messages"),
+            F.count_if("handled").alias("handled"),
             F.min("timestamp").alias("first_at"),
             F.max("timestamp").alias("last_at"),
             F.min("offset").alias("first_offset"),

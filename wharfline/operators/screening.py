@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.events import EVENT_SCHEMA, decode_json, decode_problem
+from ..functions.events import EVENT_SCHEMA, decode_document, decode_json, decode_problem, document_problem
 from ..functions.headers import ROUTING, with_routing_fields
 from ..functions.once import once
 from ..functions.topics import UNKNOWN
@@ -21,6 +21,22 @@ def decode_events(messages: DataFrame, schema: str = EVENT_SCHEMA) -> DataFrame:
     return decoded.withColumn(REASON, decode_problem("value", F.col("event")))
 
 
+def decode_documents(messages: DataFrame) -> DataFrame:
+    """Add ``body``, a variant of any JSON object, and ``reject_reason``; no fields are asked for.
+
+    Null, empty, blank and undecodable values, lists and bare values have a reason and a null body.
+    """
+    parsed = once(messages, __parsed=decode_document("value"))
+    checked = once(parsed, **{REASON: document_problem("value", F.col("__parsed"))})
+    body = F.when(F.col(REASON).isNull(), F.try_variant_get("__parsed", "$[0]", "variant"))
+    return checked.withColumn("body", body).drop("__parsed")
+
+
+def with_fields(decoded: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:
+    """Add columns read from the body: name to (path, type). What is absent or of no such type is null."""
+    return decoded.select("*", *[F.try_variant_get("body", path, kind).alias(n) for n, (path, kind) in fields.items()])
+
+
 def has_path(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col(REASON).isNull())
 

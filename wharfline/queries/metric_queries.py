@@ -12,6 +12,7 @@ from ..operators import metrics as m
 from ..operators.batches import drain_batches as batches
 from ..operators.heartbeats import heartbeats as number_beats
 from ..operators.heartbeats import missed_heartbeats as missed
+from ..operators.screening import REASON, decode_documents
 from ..operators.steps import step_durations as durations
 from ..operators.steps import timed_steps
 from ..plans.topic_flow import check_route
@@ -182,6 +183,31 @@ def drain_batches_hour(spark: SparkSession, sf: str) -> DataFrame:
     return drained(spark, sf, DRAIN_GAP)
 
 
+@query(
+    with_("control_checked")
+    + f"""SELECT partition, batch_no, count(*) AS messages, count(*) FILTER (handled) AS handled, min(at_us) AS first_us, max(at_us) AS last_us,
+  min("offset") AS first_offset, max("offset") AS last_offset
+FROM (SELECT *, (sum(CASE WHEN handled AND quiet THEN 1 ELSE 0 END) OVER w + CASE WHEN quiet AND NOT handled THEN 1 ELSE 0 END)::BIGINT AS batch_no
+  FROM (SELECT *, coalesce(at_us - max(CASE WHEN handled THEN at_us END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= {DRAIN_GAP * 1_000_000}, true) AS quiet
+    FROM (SELECT partition, "offset", {us('"timestamp"')} AS at_us, reason IS NULL AS handled FROM control_checked)
+    WINDOW w AS (PARTITION BY partition ORDER BY at_us, "offset"))
+  WINDOW w AS (PARTITION BY partition ORDER BY at_us, "offset")) GROUP BY 1, 2"""
+)
+def drain_batches_handled(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches of a topic where more than half of the messages can't be handled and leave the clock alone."""
+    checked = decode_documents(t.control_topic(spark, sf))
+    return batches(checked, DRAIN_GAP, handled=F.col(REASON).isNull()).select(
+        "partition",
+        "batch_no",
+        "messages",
+        "handled",
+        F.unix_micros("first_at").alias("first_us"),
+        F.unix_micros("last_at").alias("last_us"),
+        "first_offset",
+        "last_offset",
+    )
+
+
 @query(
     with_("checked")
     + """SELECT epoch_us("timestamp") // 600000000 * 600000000 AS window_us, count(*) AS processed, count(target) AS forwarded,

@@ -9,6 +9,7 @@ from ..functions.context import Identity, context_attributes, context_valid, run
 from ..functions.text import iso_utc, json_of_map
 from ..operators import triggers as op
 from ..operators.ordered import chunk_by_offset
+from ..operators.screening import REASON, decode_documents, with_fields
 from ..plans.controlled import published_statuses
 from . import tables as t
 from .registry import query
@@ -20,6 +21,39 @@ CHUNK = 4096  # offsets per window group for the one-partition control topic
 STATUS_CHUNK = 86_400 * t.TICKS  # a day of log time on the sparse status offsets
 
 
+_CONTROL_FIELDS = {
+    "stage": ("$.stage", "string"),
+    "product": ("$.product", "string"),
+    "run_id": ("$.run_id", "string"),
+    "k": ("$.extra.k", "bigint"),
+}
+
+
+@query(
+    with_("control_checked")
+    + """SELECT partition, "offset", reason, d->>'$.stage' AS stage, d->>'$.product' AS product, d->>'$.run_id' AS run_id, (d->>'$.extra.k')::BIGINT AS k
+FROM (SELECT *, CASE WHEN reason IS NULL THEN value::JSON END AS d FROM control_checked)"""
+)
+def control_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Every control message with its fields or the reason why it is passed over."""
+    decoded = with_fields(decode_documents(t.control_topic(spark, sf)), _CONTROL_FIELDS)
+    return decoded.select("partition", "offset", F.col(REASON).alias("reason"), *_CONTROL_FIELDS)
+
+
+@query(
+    with_("control_checked")
+    + """SELECT coalesce(reason, 'decoded') AS outcome, count(*) AS messages, count(*) FILTER (value::VARCHAR LIKE '%"run_id":"%') AS named
+FROM control_checked WHERE reason IS NULL GROUP BY 1
+UNION ALL SELECT reason, count(*), 0 FROM control_checked WHERE reason IS NOT NULL GROUP BY 1"""
+)
+def control_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """What became of the control messages; the counts add up to the input."""
+    decoded = decode_documents(t.control_topic(spark, sf))
+    named = F.schema_of_variant(F.try_variant_get("body", "$.run_id", "variant")) == "STRING"
+    outcome = F.coalesce(F.col(REASON), F.lit("decoded")).alias("outcome")
+    return decoded.groupBy(outcome).agg(F.count(F.lit(1)).alias("messages"), F.count_if(F.coalesce(named, F.lit(False))).alias("named"))
+
+
 @query(with_("triggers") + f'SELECT "offset", run_id, mode FROM triggers WHERE {_MINE}')
 def trigger_match(spark: SparkSession, sf: str) -> DataFrame:
     return op.match_triggers(t.triggers(spark, sf), ME).select(

@@ -85,6 +85,22 @@ SELECT CASE WHEN event_id % 13 <> 0 THEN user_id::VARCHAR END AS key,
 FROM named""",
     "named",
 )
+_cte(
+    "control_topic",
+    """
+SELECT event_id AS "offset", (user_id % 4)::INTEGER AS partition, ts AS "timestamp", event_id % 11 = 3 AS broken,
+  CASE event_id % 11 WHEN 0 THEN NULL WHEN 1 THEN body[1:20] WHEN 2 THEN '[' || body || ']' WHEN 4 THEN event_id::VARCHAR
+    WHEN 5 THEN body || '} x' ELSE body END AS value
+FROM (SELECT *, '{"stage":"' || event_type || '","product":"p' || user_id % 7 || '"' || CASE WHEN event_id % 7 = 0 THEN ''
+    WHEN event_id % 5 = 0 THEN ',"run_id":' || event_id ELSE ',"run_id":"r' || event_id || '"' END || ',"extra":' || props || '}' AS body FROM events)""",
+)
+_cte(
+    "control_checked",
+    """
+SELECT *, CASE WHEN value IS NULL THEN 'null value' WHEN broken THEN 'not utf-8' WHEN NOT json_valid(value) THEN 'malformed json'
+  WHEN json_type(value) <> 'OBJECT' THEN 'not an object' END AS reason FROM control_topic""",
+    "control_topic",
+)
 _cte(
     "header_rows",
     """SELECT "offset", unnest(headers) AS h, generate_subscripts(headers, 1) AS pos FROM messages""",

@@ -90,6 +90,32 @@ def messages_of(events: DataFrame, nation: DataFrame) -> DataFrame:
     )
 
 
+def control_topic(spark: SparkSession, sf: str, *, streaming: bool = False) -> DataFrame:
+    """Raw control messages; six of eleven hold no JSON object, run ids are texts, numbers or missing."""
+    e, number = F.col("event_id"), F.col("event_id").cast("string")
+    run = F.when(e % 7 == 0, "").when(e % 5 == 0, F.concat(F.lit(',"run_id":'), number))
+    body = F.concat(
+        F.lit('{"stage":"'), F.col("event_type"), F.lit('","product":"p'), (F.col("user_id") % 7).cast("string"), F.lit('"'),
+        F.coalesce(run, F.concat(F.lit(',"run_id":"r'), number, F.lit('"'))), F.lit(',"extra":'), F.col("props"), F.lit("}"),
+    )
+    odd = (
+        F.when(e % 11 == 0, F.lit(None).cast("binary"))
+        .when(e % 11 == 1, F.substring(body, 1, 20).cast("binary"))
+        .when(e % 11 == 2, F.concat(F.lit("["), body, F.lit("]")).cast("binary"))
+        .when(e % 11 == 3, F.concat(body.cast("binary"), F.unhex(F.lit("FF"))))
+        .when(e % 11 == 4, number.cast("binary"))
+        .when(e % 11 == 5, F.concat(body, F.lit("} x")).cast("binary"))
+    )
+    return (table_stream if streaming else table)(spark, sf, "events").select(
+        number.cast("binary").alias("key"),
+        F.when(e % 11 > 5, body.cast("binary")).otherwise(odd).alias("value"),
+        F.lit("control").alias("topic"),
+        (F.col("user_id") % 4).cast("int").alias("partition"),
+        e.alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+
+
 def messages(spark: SparkSession, sf: str, *, streaming: bool = False) -> DataFrame:
     events = (table_stream if streaming else table)(spark, sf, "events")
     return messages_of(events, table(spark, sf, "nation"))
