@@ -14,7 +14,7 @@ from wharfline.session import run_folder
 from wharfline.sources.topics import MESSAGE, read_topic_files, stream_message_files
 from wharfline.streaming import runs
 from wharfline.streaming.files import file_cycle
-from wharfline.streaming.progress import StepEvents, deliveries, observed
+from wharfline.streaming.progress import StepEvents, deliveries, event_table, observed, read_events
 from wharfline.streaming.sinks import route_stream
 from wharfline.streaming.stateful import missed_heartbeats_stream, trigger_processor, use_rocksdb
 
@@ -107,22 +107,25 @@ def test_forever_restarts_after_failures(spark):
 
 def test_progress_records(spark):
     folder = run_folder(spark, "t-progress")
-    put(spark, f"{folder}/in", 0, 10)
-    log = StepEvents()
-    spark.streams.addListener(log)
-    try:
-        stream = observed(read_topic_files(spark, f"{folder}/in", streaming=True), "totals", handled=F.count(F.lit(1)))
-        runs.run_drain(stream_message_files(stream, f"{folder}/out", f"{folder}/cp"))
-        for _ in range(100):
-            if log.as_frame(spark).where("event = 'completed'").count():
-                break
-            time.sleep(0.1)
-    finally:
-        spark.streams.removeListener(log)
-    events = log.as_frame(spark)
-    assert events.where("event = 'progress'").first().observed["totals.handled"] == "10"
-    row = deliveries(events).first()
-    assert (row.batches, row.rows, row.failed) == (1, 10, False)
+    log = StepEvents(spark, f"{folder}/log")
+    table = (spark, f"{folder}/log", f"{folder}/table", f"{folder}/log-cp")
+    for turn in (1, 2):  # the second run reads the table that the first one began
+        put(spark, f"{folder}/in", turn * 100, turn * 10)
+        spark.streams.addListener(log)
+        try:
+            stream = observed(read_topic_files(spark, f"{folder}/in", streaming=True), "totals", handled=F.count(F.lit(1)))
+            runs.run_drain(stream_message_files(stream, f"{folder}/out", f"{folder}/cp"))
+            for _ in range(100):
+                if read_events(spark, f"{folder}/log").where("event = 'completed'").count() == turn:
+                    break
+                time.sleep(0.1)
+        finally:
+            spark.streams.removeListener(log)
+        events = event_table(*table, clean=turn == 2)
+        assert events.where("event = 'started'").count() == turn
+        assert {r.observed["totals.handled"] for r in events.where("input_rows > 0").collect()} == ({"10"} if turn == 1 else {"10", "20"})
+        assert {(r.rows, r.failed) for r in deliveries(events).collect()} == ({(10, False)} if turn == 1 else {(10, False), (20, False)})
+    assert event_table(*table).count() == events.count()  # nothing new, nothing twice
 
 
 def loop(rows):

@@ -5,9 +5,13 @@ Each run writes to a new folder below the shared one and is read back from there
 
 from __future__ import annotations
 
+import time
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators import metrics as m
 from ..operators.batches import drain_batches
@@ -16,7 +20,9 @@ from ..sources.topics import MESSAGE, stream_message_files
 from ..streaming import stateful as st
 from ..streaming.controlled import controlled_stream, status_wait_stream
 from ..streaming.files import file_ready_stream
-from ..streaming.runs import run_drain
+from ..streaming.offsets import batch_files, delivered, delivery_gaps
+from ..streaming.progress import StepEvents, event_table, read_events
+from ..streaming.runs import run_drain, run_window
 from ..streaming.sinks import route_stream
 from ..streaming.upserts import latest, upsert_stream
 from . import tables as t
@@ -67,6 +73,64 @@ def stream_route(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    with_("control_topic")
+    + """SELECT partition, min("offset") AS first_offset, max("offset") AS last_offset, count(*) AS messages, 0 AS doubled, 0 AS missing,
+  0 AS unknown, true AS all_committed FROM control_topic GROUP BY 1"""
+)
+def stream_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """A topic in many files, read by a time box, by a run that fails half way and by one that drains the rest."""
+    folder = run_folder(spark, "offsets")
+    topic = t.control_topic(spark, sf).select("partition", "offset", "value")
+    topic.repartitionByRange(12, "offset").write.parquet(f"{folder}/in")
+    read = spark.readStream.schema(topic.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    rows = read.select("partition", "offset", F.col("_metadata.file_path").alias("source_file"))
+    half = topic.agg(F.max("offset").alias("m")).first().m // 2
+
+    def writer(stream: DataFrame) -> DataStreamWriter:
+        options = {"path": f"{folder}/out", "checkpointLocation": f"{folder}/checkpoint"}
+        return stream.writeStream.format("parquet").options(**options)
+
+    run_window(writer(rows), 1.5, "100 milliseconds")
+    broken = F.when(F.col("offset") == half, F.raise_error(F.lit("half way"))).otherwise(F.col("offset"))
+    try:
+        run_drain(writer(rows.withColumn("offset", broken.cast("bigint"))))
+    except StreamingQueryException:
+        pass  # the half may be through already
+    run_drain(writer(rows))
+    written = spark.read.parquet(f"{folder}/out")
+    batches = delivered(written, batch_files(spark, f"{folder}/checkpoint"))
+    committed = batches.groupBy("partition").agg(F.bool_and(F.coalesce("committed", F.lit(False))).alias("all_committed"))
+    return delivery_gaps(topic, written).join(committed, "partition")
+
+
+@query(
+    """SELECT 'completed' AS event, 2 AS runs, 0::BIGINT AS input_rows UNION ALL
+SELECT 'progress', 2, count(*) FROM events UNION ALL SELECT 'started', 2, 0"""
+)
+def stream_step_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The lifecycle of a stream over two runs, from the table its records were moved to."""
+    folder = run_folder(spark, "step-log")
+    log = StepEvents(spark, f"{folder}/log")
+    topic = t.control_topic(spark, sf).select("partition", "offset")
+    for turn in range(2):
+        topic.where(F.col("offset") % 2 == turn).write.mode("append").parquet(f"{folder}/in")
+        spark.streams.addListener(log)
+        try:
+            stream = spark.readStream.schema(topic.schema).parquet(f"{folder}/in")
+            _drain(stream, folder)
+            for _ in range(300):  # the last record comes after the run's end
+                if read_events(spark, f"{folder}/log").where("event = 'completed'").count() > turn:
+                    break
+                time.sleep(0.1)
+        finally:
+            spark.streams.removeListener(log)
+        events = event_table(spark, f"{folder}/log", f"{folder}/table", f"{folder}/table-checkpoint")
+    return events.groupBy("event").agg(
+        F.count_distinct("run_id").cast("int").alias("runs"), F.coalesce(F.sum("input_rows"), F.lit(0)).alias("input_rows")
+    )
+
+
 @query(DRAIN_SQL)
 def stream_drain(spark: SparkSession, sf: str) -> DataFrame:
     """A topic drained into files, one folder per topic, then cut into its batches."""

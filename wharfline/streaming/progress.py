@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import threading
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from .runs import run_drain
+
 STEP_EVENTS = (
     "run_id string, operation string, event string, at string, batch_id bigint, "
     "input_rows bigint, duration_ms double, observed map<string,string>, error_message string"
@@ -20,15 +22,18 @@ def observed(df: DataFrame, name: str, **totals: Column) -> DataFrame:
 
 
 class StepEvents(StreamingQueryListener):
-    """Collects one small record per query start, micro-batch and end."""
+    """Appends one small record per query start, micro-batch and end to a log folder.
+
+    Each record is a folder with one JSON file, written by Spark, so any file system will do and
+    nothing is held on the driver. ``event_table`` makes a table of the records.
+    """
 
-    def __init__(self) -> None:
-        self._rows: list[tuple] = []
-        self._lock = threading.Lock()
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self._spark, self._path = spark, path
 
     def _add(self, *row) -> None:
-        with self._lock:
-            self._rows.append(row)
+        record = self._spark.createDataFrame([row], STEP_EVENTS).coalesce(1)
+        record.write.option("ignoreNullFields", "true").json(f"{self._path}/{uuid.uuid4().hex}")
 
     def onQueryStarted(self, event) -> None:
         self._add(str(event.runId), event.name, "started", str(event.timestamp), None, None, None, None, None)
@@ -46,9 +51,20 @@ class StepEvents(StreamingQueryListener):
         name = "failed" if event.exception else "completed"
         self._add(str(event.runId), None, name, None, None, None, None, None, event.exception)
 
-    def as_frame(self, spark: SparkSession) -> DataFrame:
-        with self._lock:
-            return spark.createDataFrame(list(self._rows), STEP_EVENTS)
+
+def read_events(spark: SparkSession, path: str, *, streaming: bool = False, clean: bool = False) -> DataFrame:
+    """The records of a log folder; ``clean`` deletes a file once a stream has finished the batch after its own."""
+    reader = spark.readStream if streaming else spark.read
+    if clean:
+        reader = reader.option("cleanSource", "delete")
+    return reader.schema(STEP_EVENTS).json(f"{path}/*")
+
+
+def event_table(spark: SparkSession, path: str, table: str, checkpoint: str, *, clean: bool = False) -> DataFrame:
+    """Move what is new in a log folder into a table of few files, each record once, also after a restart."""
+    stream = read_events(spark, path, streaming=True, clean=clean).coalesce(1)
+    run_drain(stream.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint))
+    return spark.read.schema(STEP_EVENTS).parquet(table)
 
 
 def deliveries(events: DataFrame) -> DataFrame:
