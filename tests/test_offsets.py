@@ -1,12 +1,16 @@
 """Offsets of a stream's runs, read from its checkpoint."""
 
+import threading
+import time
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from wharfline.session import run_folder
 from wharfline.streaming.offsets import batch_files, batch_log, delivered, delivery_gaps, topic_ranges
-from wharfline.streaming.runs import run_drain
+from wharfline.streaming.progress import observed
+from wharfline.streaming.runs import run_drain, run_until_idle
 
 SCHEMA = "partition int, offset bigint"
 
@@ -41,6 +45,39 @@ def test_batches_of_a_broken_stream(spark):
     assert delivery_gaps(sent.limit(0), written.limit(0)).count() == 0
 
 
+def test_idle_clock(spark):
+    """Rows that come a second before the limit are handled and set the clock back; those not handled don't."""
+    folder = run_folder(spark, "t-idle")
+
+    def put(offset, partition):
+        spark.range(1).selectExpr(f"{partition} AS partition", f"{offset}L AS offset").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+    put(0, 1)
+    stream = spark.readStream.schema(SCHEMA).parquet(f"{folder}/in")
+    seen = observed(stream, "totals", handled=F.count_if(F.col("partition") == 1))
+    writer = seen.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/cp")
+    feeds = [threading.Timer(secs, put, (secs, partition)) for secs, partition in ((4, 1), (8, 1), (12, 0), (40, 1))]
+    start = time.monotonic()
+    for feed in feeds:
+        feed.start()
+    try:
+        query = run_until_idle(writer, 6, "100 milliseconds", ("totals", "handled"))
+    finally:
+        feeds[-1].cancel()
+    took = time.monotonic() - start
+    assert not query.isActive and 14 <= took < 25  # 6 seconds after the row of second 8, not after that of second 12
+    got = {r.offset for r in spark.read.schema(SCHEMA).parquet(f"{folder}/out").collect()}
+    assert got == {0, 4, 8, 12}
+
+
+def test_idle_run_raises_failures(spark):
+    folder = run_folder(spark, "t-idle-bad")
+    spark.range(3).selectExpr("1 AS partition", "id AS offset").write.parquet(f"{folder}/in")
+    bad = spark.readStream.schema(SCHEMA).parquet(f"{folder}/in").select(F.raise_error(F.lit("x")).alias("e"))
+    with pytest.raises(StreamingQueryException):
+        run_until_idle(bad.writeStream.format("noop").option("checkpointLocation", f"{folder}/cp"), 5)
+
+
 def test_topic_ranges(spark):
     log = spark.createDataFrame(
         [(0, 0, '{"a":{"0":5,"1":7}}', True), (1, 0, '{"a":{"0":9,"1":7},"b":{"0":1}}', False), (1, 1, None, False)],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.context import log_record, whole_ms
@@ -249,6 +249,16 @@ def metric_windows(spark: SparkSession, sf: str) -> DataFrame:
 FROM events"""
 )
 def log_records(spark: SparkSession, sf: str) -> DataFrame:
+    return log_rows(spark, sf).select("event_id", *log_columns(), "provider", "took_ms")
+
+
+def log_columns() -> list[Column]:
+    texts = [json_of_map(c).alias(c) for c in ("resource", "attributes")]
+    return [F.col("severity_number"), F.col("severity_text"), F.col("body"), *texts, F.col("trace_id")]
+
+
+def log_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A log record for every event."""
     e, kind = F.col("event_id"), F.col("event_type")
     failed = kind == "error"
     level = (
@@ -294,14 +304,4 @@ def log_records(spark: SparkSession, sf: str) -> DataFrame:
         *columns,
         provider_label(F.when(failed, t.error_type())).alias("provider"),
         whole_ms(ts, end).alias("took_ms"),
-    ).select(
-        "event_id",
-        "severity_number",
-        "severity_text",
-        "body",
-        json_of_map("resource").alias("resource"),
-        json_of_map("attributes").alias("attributes"),
-        "trace_id",
-        "provider",
-        "took_ms",
-    )
+    )

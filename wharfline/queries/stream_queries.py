@@ -15,21 +15,23 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators import metrics as m
 from ..operators.batches import drain_batches
+from ..operators.screening import REASON, decode_documents
 from ..session import run_folder
+from ..sources.records import LOG, read_log, write_log
 from ..sources.topics import MESSAGE, stream_message_files
 from ..streaming import stateful as st
 from ..streaming.controlled import controlled_stream, status_wait_stream
 from ..streaming.files import file_ready_stream
 from ..streaming.offsets import batch_files, delivered, delivery_gaps
-from ..streaming.progress import StepEvents, event_table, read_events
-from ..streaming.runs import run_drain, run_window
+from ..streaming.progress import StepEvents, event_table, observed, read_events
+from ..streaming.runs import run_drain, run_until_idle, run_window
 from ..streaming.sinks import route_stream
 from ..streaming.upserts import latest, upsert_stream
 from . import tables as t
 from ..sources.objects import write_objects
 from .file_queries import _OBJECTS, _hashes, document_objects
-from .metric_queries import DRAIN_GAP, DRAIN_SQL, MISSED_SECS, WINDOW_SQL, window_rows
-from .registry import query
+from .metric_queries import DRAIN_GAP, DRAIN_SQL, MISSED_SECS, WINDOW_SQL, log_columns, log_rows, window_rows
+from .registry import ORACLES, query
 from .run_queries import DECISION_SQL, run_results
 from .sql import us, with_
 from .topic_queries import FORWARD_SQL, PROCESSED_AT, forwarded
@@ -131,6 +133,42 @@ def stream_step_log(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    with_("control_checked")
+    + """SELECT partition, count(*) AS messages, count(*) FILTER (reason IS NULL) AS handled, min("offset") AS first_offset, max("offset") AS last_offset
+FROM control_checked GROUP BY 1"""
+)
+def stream_until_idle(spark: SparkSession, sf: str) -> DataFrame:
+    """A control topic read until nothing was handled for two seconds."""
+    folder = run_folder(spark, "until-idle")
+    checked = decode_documents(t.control_topic(spark, sf, streaming=True)).select("partition", "offset", REASON)
+    stream = observed(checked, "totals", handled=F.count_if(F.col(REASON).isNull()))
+    options = {"path": f"{folder}/out", "checkpointLocation": f"{folder}/checkpoint"}
+    run_until_idle(stream.writeStream.format("parquet").options(**options), 2, "200 milliseconds", ("totals", "handled"))
+    return spark.read.schema(checked.schema).parquet(f"{folder}/out").groupBy("partition").agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(F.col(REASON).isNull()).alias("handled"),
+        F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"),
+    )
+
+
+@query(
+    f"""SELECT severity_number, severity_text, body, resource, attributes, trace_id, epoch_us(e.ts) AS at_us, count(*) AS n
+FROM ({ORACLES["log_records"]}) JOIN events e USING (event_id) GROUP BY ALL"""
+)
+def stream_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Log records written as lines and read back as a stream."""
+    folder = run_folder(spark, "log")
+    rows = log_rows(spark, sf)
+    fields = T.StructType.fromDDL(LOG).names
+    write_log(rows.select(*[c for c in rows.columns if c in fields]), f"{folder}/lines")
+    back = _drain(read_log(spark, f"{folder}/lines", streaming=True), folder)
+    return back.select(*log_columns(), F.unix_micros("timestamp").alias("at_us")).groupBy(
+        "severity_number", "severity_text", "body", "resource", "attributes", "trace_id", "at_us"
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(DRAIN_SQL)
 def stream_drain(spark: SparkSession, sf: str) -> DataFrame:
     """A topic drained into files, one folder per topic, then cut into its batches."""

@@ -7,6 +7,9 @@ from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryProgress
+
+from ..operators.batches import DRAIN_IDLE_SECS
 
 
 def run_drain(writer: DataStreamWriter, timeout: float | None = None) -> StreamingQuery:
@@ -29,6 +32,41 @@ def run_window(writer: DataStreamWriter, secs: float = 600, poll: str = "1 secon
     return query
 
 
+def run_until_idle(
+    writer: DataStreamWriter,
+    idle_secs: float = DRAIN_IDLE_SECS,
+    poll: str = "1 second",
+    handled: tuple[str, str] | None = None,
+) -> StreamingQuery:
+    """Run until nothing was handled for ``idle_secs``, as the progress records tell it.
+
+    The clock starts with the query and again at the end of every batch that had rows. ``handled`` names an observed total
+    (``observed``); then only batches where it is above 0 set the clock back. A batch at hand is always waited for; one that
+    begins in the moment of the stop is broken off and comes again in the next run. A failure of the query is raised.
+    """
+    query = writer.trigger(processingTime=poll).start()
+    last, seen = time.monotonic(), -1
+    while not query.awaitTermination(0.1):
+        # the status comes first: a batch that ends after it is counted in the next round
+        busy = query.status["isTriggerActive"]
+        progress = [p for p in query.recentProgress if p.batchId > seen]
+        if any(_rows(p, handled) for p in progress):
+            last = time.monotonic()
+        # idle triggers repeat the number of the batch to come
+        seen = max([seen, *(p.batchId for p in progress if p.numInputRows)])
+        if not busy and time.monotonic() - last >= idle_secs:
+            query.stop()
+            break
+    return query
+
+
+def _rows(progress: StreamingQueryProgress, handled: tuple[str, str] | None) -> int:
+    if handled is None:
+        return progress.numInputRows
+    totals = progress.observedMetrics.get(handled[0])
+    return totals[handled[1]] if totals and progress.numInputRows else 0
+
+
 def run_interval(writer: DataStreamWriter, secs: int) -> StreamingQuery:
     """A cycle every ``secs`` seconds, the first one at once. Returns the running query."""
     return writer.trigger(processingTime=f"{secs} seconds").start()
