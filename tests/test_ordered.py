@@ -1,9 +1,11 @@
 """Ordered operators against plain loops, with hot keys and null keys."""
 
 import random
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wharfline.operators.batches import drain_batches
@@ -14,6 +16,7 @@ from wharfline.operators.ordered import (
     following_value,
     in_order,
     previous_value,
+    row_chunks,
     running_sum,
 )
 from wharfline.operators.steps import step_durations
@@ -125,6 +128,29 @@ def test_drain_batches(spark, gap, batches):
         assert [r.batch_no for r in got] == list(range(1, batches + 1))
 
 
+def test_chunks_of_a_burst_are_bounded_by_rows(spark):
+    """A key with nine tenths of its rows within one hour, beside quiet ones, a null key and null times."""
+    rng = random.Random(17)
+    seconds = [rng.randrange(3600) for _ in range(9000)] + [rng.randrange(86_400 * 30) for _ in range(1000)]
+    rows = [("hot", k, T0 + timedelta(seconds=s, microseconds=rng.randrange(10**6))) for k, s in enumerate(seconds)]
+    rows += [(key, 10_000 + k, T0 + timedelta(hours=k)) for k in range(50) for key in ("quiet", None)] + [("hot", 20_000, None)] * 2
+    df = spark.createDataFrame(rows, "key string, id bigint, ts timestamp").repartition(5)
+    cut = row_chunks(df, ["key"], "ts", 500).cache()
+    assert cut.count() == len(rows) and cut.columns == ["key", "id", "ts", "chunk"]
+    sizes = {(r.key, r.chunk): r["count"] for r in cut.groupBy("key", "chunk").count().collect()}
+    largest = max(Counter(int((w - T0).total_seconds()) for k, _, w in rows if k == "hot" and w).values())
+    assert max(sizes.values()) < 500 + largest and sum(k == "hot" for k, _ in sizes) >= 10_000 // (500 + largest)
+    assert {k for k in sizes if k[0] != "hot"} == {("quiet", 0), (None, 0)}
+    bounds = cut.where("ts IS NOT NULL").groupBy("key", "chunk").agg(F.min("ts").alias("a"), F.max("ts").alias("b")).orderBy("key", "chunk").collect()
+    assert all(x.b <= y.a for x, y in zip(bounds, bounds[1:]) if x.key == y.key)
+    unique = cut.where("ts IS NOT NULL")
+    ours = previous_value(unique, ["key"], ["ts", "id"], F.when(F.col("id") % 7 == 0, F.col("id")), "before", F.col("chunk"))
+    window = Window.partitionBy("key").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, -1)
+    plain = unique.withColumn("before", F.last(F.when(F.col("id") % 7 == 0, F.col("id")), ignorenulls=True).over(window))
+    assert sorted(map(str, ours.select("key", "id", "before").collect())) == sorted(map(str, plain.select("key", "id", "before").collect()))
+    assert row_chunks(df.limit(0), ["key"], "ts").count() == 0
+
+
 @pytest.mark.parametrize("share", [0.0, 0.3, 0.9, 1.0])
 def test_only_handled_messages_reset_the_clock(spark, share):
     """Against a clock that is carried from message to message."""

@@ -49,9 +49,10 @@ def drain_batches(
 ) -> DataFrame:
     """One row per batch: size, handled messages, time span and offsets."""
     done = F.lit(True) if handled is None else F.coalesce(handled, F.lit(False))
-    narrow = messages.select(*keys, "offset", "timestamp", done.alias("handled"))
+    cut = chunk_by_time("timestamp") if chunk is None else chunk
+    narrow = messages.select(*keys, "offset", "timestamp", done.alias("handled"), cut.alias("cut"))
     return (
-        number_batches(narrow, gap_secs, keys, chunk, None if handled is None else F.col("handled"))
+        number_batches(narrow, gap_secs, keys, F.col("cut"), None if handled is None else F.col("handled"))
         .groupBy(*keys, "batch_no")
         .agg(
             F.count(F.lit(1)).alias("messages"),

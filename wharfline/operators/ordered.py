@@ -34,6 +34,30 @@ def chunk_by_time(ts: Column | str, seconds: int = 3600) -> Column:
     return F.floor(F.unix_micros(c) / (seconds * 1_000_000)).cast("bigint")
 
 
+def row_chunks(
+    df: DataFrame, keys: Sequence[str], ts: str, size: int = 1_000_000, bucket_secs: float = 1, name: str = "chunk"
+) -> DataFrame:
+    """Add a chunk number that follows the rows instead of the time, for keys whose rows come in bursts.
+
+    Rows are counted per key and bucket of time first. A chunk ends with the bucket that fills it, so it holds fewer than
+    ``size`` rows more than its largest bucket. The counts, one row per bucket, are all that one key's window sees. Give
+    the column as ``chunk`` to the operators here. Null times make a bucket before all others; null keys are a key.
+    """
+    bucket = F.floor(F.unix_micros(ts) / int(bucket_secs * 1_000_000))
+    rows = df.withColumn("__bucket", bucket)
+    counts = rows.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(*keys).orderBy(F.col("__bucket").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    cuts = counts.select(
+        *[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)],
+        F.col("__bucket").alias("__at"),
+        F.floor(F.coalesce(F.sum("__n").over(earlier), F.lit(0)) / size).cast("bigint").alias(name),
+    )
+    same = F.col("__bucket").eqNullSafe(F.col("__at"))
+    for i, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"__key{i}"))
+    return rows.join(cuts, same).select(*df.columns, name)
+
+
 def _grouped(df: DataFrame, keys: Sequence[str], value: Column, chunk: Column) -> DataFrame:
     """Rows with their value, their chunk and the name of their window group.
 

@@ -12,6 +12,7 @@ from ..operators import metrics as m
 from ..operators.batches import drain_batches as batches
 from ..operators.heartbeats import heartbeats as number_beats
 from ..operators.heartbeats import missed_heartbeats as missed
+from ..operators.ordered import row_chunks
 from ..operators.screening import REASON, decode_documents
 from ..operators.steps import step_durations as durations
 from ..operators.steps import timed_steps
@@ -159,7 +160,11 @@ DRAIN_SQL = _drain_sql(DRAIN_GAP)
 
 
 def drained(spark: SparkSession, sf: str, gap: int) -> DataFrame:
-    return batches(t.messages(spark, sf), gap).select(
+    return drained_rows(batches(t.messages(spark, sf), gap))
+
+
+def drained_rows(found: DataFrame) -> DataFrame:
+    return found.select(
         "topic",
         "partition",
         "batch_no",
@@ -183,6 +188,33 @@ def drain_batches_hour(spark: SparkSession, sf: str) -> DataFrame:
     return drained(spark, sf, DRAIN_GAP)
 
 
+CHUNK_ROWS = 1000
+
+
+@query(
+    with_("messages")
+    + f"""SELECT partition, chunk, sum(n)::BIGINT AS messages, min(first_us) AS first_us, max(last_us) AS last_us
+FROM (SELECT *, coalesce(sum(n) OVER (PARTITION BY partition ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT // {CHUNK_ROWS} AS chunk
+  FROM (SELECT partition, {us('"timestamp"')} // 86400000000 AS day, count(*) AS n, min({us('"timestamp"')}) AS first_us, max({us('"timestamp"')}) AS last_us
+    FROM messages GROUP BY 1, 2)) GROUP BY 1, 2"""
+)
+def chunk_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """How a topic's partitions are cut by counted rows: by day, after every thousand messages."""
+    cut = row_chunks(t.messages(spark, sf).select("partition", "timestamp"), ["partition"], "timestamp", CHUNK_ROWS, 86_400)
+    return cut.groupBy("partition", "chunk").agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.min(F.unix_micros("timestamp")).alias("first_us"),
+        F.max(F.unix_micros("timestamp")).alias("last_us"),
+    )
+
+
+@query(DRAIN_SQL)
+def drain_batches_by_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches cut at an hour of silence, found in chunks bounded by rows."""
+    cut = row_chunks(t.messages(spark, sf).select("topic", "partition", "offset", "timestamp"), ["topic", "partition"], "timestamp", CHUNK_ROWS)
+    return drained_rows(batches(cut, DRAIN_GAP, chunk=F.col("chunk")))
+
+
 @query(
     with_("control_checked")
     + f"""SELECT partition, batch_no, count(*) AS messages, count(*) FILTER (handled) AS handled, min(at_us) AS first_us, max(at_us) AS last_us,
