@@ -2,7 +2,7 @@
 
 Listing, fetching and copying run in the executors: each task works on its share
 of the prefixes, keys or plan through the file-system layer of Arrow, which also
-covers S3, GCS, ABFS and HDFS. Scans of whole containers use ``binaryFile``.
+covers S3, GCS, ABFS and HDFS.
 """
 
 from __future__ import annotations
@@ -138,24 +138,32 @@ def stream_objects(spark: SparkSession, root: str, files_per_batch: int = 100_00
         .schema(FILES)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("ignoreMissingFiles", "true")  # what is gone again is no news
         .load(root)
         .select(object_key(root).alias("object_key"), F.col("modificationTime").alias("modified"), "length")
     )
 
 
+def _is_data(key: Column) -> Column:
+    """Whether Spark's file index would name the object: no part of its name begins with a dot or underscore."""
+    copying = r"(?!_metadata|_common_metadata)[^/]*\._COPYING_"
+    folder = rf"(^|/)(\.[^/]*|(?!_metadata|_common_metadata)_[^=/]*|{copying})/"
+    return ~key.rlike(folder) & ~key.rlike(rf"(^|/)(\.[^/]*|_[^=/]*|{copying})\z")
+
+
 def read_objects(spark: SparkSession, root: str, keys: DataFrame | None = None) -> DataFrame:
     """Objects with their bytes; with ``keys`` only the requested ones.
 
-    The whole container is scanned, without empty and hidden files; for a small
-    share of it, or for every kind of object, use :func:`fetch_objects`.
+    Empty and hidden files are left out; for every kind of object, use :func:`fetch_objects`. The executors list
+    the container and read what is left in tasks of many objects; the driver holds no list of files.
     """
-    every = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select(object_key(root).alias("object_key"), F.col("modificationTime").alias("modified"), "length", "content")
-    )
-    return every if keys is None else every.join(keys.select("object_key").distinct(), "object_key", "left_semi")
+    listed = list_objects(spark, root).where((F.col("length") > 0) & _is_data(F.col("object_key")))
+    if keys is not None:
+        listed = listed.join(keys.select("object_key").distinct(), "object_key", "left_semi")
+    dealt = _dealt(listed, sized_tasks(listed)).withColumn("modified", F.date_trunc("millisecond", "modified"))
+    read = dealt.mapInArrow(_fetch(qualified(spark, root)), FILES.replace("path ", "object_key ").replace("modificationTime ", "modified "))
+    gone = F.raise_error(F.concat(F.lit("object is gone since it was listed: "), "object_key"))
+    return read.withColumn("content", F.coalesce("content", gone.cast("binary")))
 
 
 def _open(root: str) -> tuple[pafs.FileSystem, str]:
@@ -177,6 +185,11 @@ def sized_tasks(rows: DataFrame, length: str = "length") -> int:
     return max(1, -(-n // TASK_OBJECTS), -(-int(size) // TASK_BYTES))
 
 
+def _dealt(rows: DataFrame, tasks: int) -> DataFrame:
+    """The rows in so many tasks. Dealt by the bare key, rows that were grouped by it just before would keep that grouping's few tasks."""
+    return rows.repartition(tasks, F.xxhash64("object_key"))
+
+
 def fetch_objects(keys: DataFrame, root: str, tasks: int | None = None) -> DataFrame:
     """Bytes of the requested objects, read by the tasks; null content where one is missing.
 
@@ -185,21 +198,42 @@ def fetch_objects(keys: DataFrame, root: str, tasks: int | None = None) -> DataF
     spark = keys.sparkSession
     size = F.max("length") if "length" in keys.columns else F.lit(None).cast("bigint")
     wanted = keys.groupBy("object_key").agg(size.alias("length"))
-    wanted = wanted.repartition(tasks or sized_tasks(wanted), "object_key").select("object_key")
-    where = qualified(spark, root)
+    wanted = _dealt(wanted, tasks or sized_tasks(wanted)).select("object_key")
+    return wanted.mapInArrow(_fetch(qualified(spark, root)), "object_key string, content binary")
 
-    def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, base = _open(where)
-        for pdf in parts:
-            for key in pdf["object_key"]:
+
+#: Objects and bytes that a task hands over at once; a larger object goes alone.
+FETCH_OBJECTS, FETCH_BYTES = 1_000, 16 << 20
+
+
+def _fetch(root: str):
+    """Task function: the given rows and the bytes of their objects, in batches bounded by rows and bytes."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = _open(root)
+        for batch in batches:
+            start, held, size = 0, [], 0
+
+            def given(upto: int) -> pa.RecordBatch:
+                columns = [*batch.slice(start, upto - start).columns, pa.array(held, pa.binary())]
+                return pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "content"])
+
+            for at, key in enumerate(batch.column("object_key").to_pylist()):
                 info = store.get_file_info(f"{base}/{key}")
+                is_file = info.type == pafs.FileType.File
+                if held and (len(held) == FETCH_OBJECTS or size + (info.size or 0) > FETCH_BYTES):
+                    yield given(at)
+                    start, held, size = at, [], 0
                 content = None
-                if info.type == pafs.FileType.File:
+                if is_file:
                     with store.open_input_stream(info.path) as stream:
                         content = stream.read()
-                yield pd.DataFrame({"object_key": [key], "content": [content]})
+                held.append(content)
+                size += len(content or b"")
+            if held:
+                yield given(batch.num_rows)
 
-    return wanted.mapInPandas(rows, "object_key string, content binary")
+    return rows
 
 
 INSPECTED = (
@@ -219,7 +253,7 @@ def inspect_objects(keys: DataFrame, root: str, tasks: int | None = None, *, hea
     """
     spark = keys.sparkSession
     wanted = keys.select("object_key").where("object_key IS NOT NULL").distinct()
-    wanted = wanted.repartition(tasks or sized_tasks(wanted.withColumn("length", F.lit(None).cast("bigint"))), "object_key")
+    wanted = _dealt(wanted, tasks or sized_tasks(wanted.withColumn("length", F.lit(None).cast("bigint"))))
     where = qualified(spark, root)
 
     def look(store: pafs.FileSystem, path: str) -> dict:
@@ -287,20 +321,27 @@ def make_folder(spark: SparkSession, path: str) -> None:
 
 #: A store copies by itself up to so many bytes in one call.
 STORE_COPY_BYTES = 5 * 10**9
+#: Folders that a task remembers having made.
+FOLDERS_KEPT = 10_000
 
 
 def _copy_one(
-    src: pafs.FileSystem, src_path: str, dst: pafs.FileSystem, dst_path: str, length: int | None, landing_root: str
+    src: pafs.FileSystem, src_path: str, dst: pafs.FileSystem, dst_path: str, length: int | None, landing_root: str, made: set[str]
 ) -> None:
     """Copy by way of a landing folder, so readers never see a part and repeats are harmless.
 
     An S3 object appears whole, it needs no landing. Whatever fails, nothing stays in the landing folder.
+    ``made`` are the folders that this task made already.
     """
     by_rename = not isinstance(dst, pafs.S3FileSystem)
     landing = f"{landing_root}/{uuid.uuid4().hex}" if by_rename else dst_path
     if by_rename:
-        dst.create_dir(landing_root, recursive=True)
-        dst.create_dir(dst_path.rsplit("/", 1)[0], recursive=True)
+        for folder in (landing_root, dst_path.rsplit("/", 1)[0]):
+            if folder not in made:
+                dst.create_dir(folder, recursive=True)
+                if len(made) >= FOLDERS_KEPT:
+                    made.clear()
+                made.add(folder)
     try:
         if src.equals(dst) and (by_rename or (length is not None and length <= STORE_COPY_BYTES)):
             dst.copy_file(src_path, landing)
@@ -313,9 +354,10 @@ def _copy_one(
             raise OSError(f"copied {size} bytes of {length}")
         if by_rename:
             dst.move(landing, dst_path)
-    finally:
+    except BaseException:
         if by_rename and dst.get_file_info(landing).type == pafs.FileType.File:
             dst.delete_file(landing)
+        raise
 
 
 RESULT = (
@@ -328,7 +370,8 @@ def _run(work: DataFrame, src_root: str, dst_root: str, landing: str, delete_sou
     def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         src, src_base = _open(src_root)
         dst, dst_base = _open(dst_root)
-        _, landing_root = _open(landing)
+        # a landing folder for each task: tasks don't queue for one folder's entries
+        landing_root, made = f"{_open(landing)[1]}/{uuid.uuid4().hex}", set()
         for pdf in parts:
             copied, kinds, texts = [], [], []
             for key, dest, length in zip(pdf["object_key"], pdf["dest_key"], pdf["length"]):
@@ -340,7 +383,7 @@ def _run(work: DataFrame, src_root: str, dst_root: str, landing: str, delete_sou
                     if gone and dst.get_file_info(to_path).size == size:
                         pass  # an earlier attempt of this task finished the move
                     else:
-                        _copy_one(src, from_path, dst, to_path, size, landing_root)
+                        _copy_one(src, from_path, dst, to_path, size, landing_root, made)
                         if delete_source:
                             src.delete_file(from_path)
                 except Exception as exc:  # noqa: BLE001 - one object never stops the rest
