@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.copies import copy_plan_of_listing
 from ..plans.file_flow import announce
-from ..sources.objects import execute_copy, list_objects, stream_objects
+from ..sources.objects import execute_copy, exists, list_objects, stream_objects
 from ..sources.topics import event_messages
 from .sinks import query_id
 
@@ -26,9 +27,12 @@ def file_cycle(
     """One cycle: list both sides, plan, copy, write the events; returns the results.
 
     A cycle that is run again under the same name goes on with its first plan,
-    so it does not find its own copies.
+    so it does not find its own copies. What it saw of the source stays beside its results.
     """
-    source = list_objects(spark, src_root, provider=provider)
+    listed = f"{out}/cycle={cycle}/listed"
+    if not exists(spark, f"{listed}/_SUCCESS"):
+        list_objects(spark, src_root, provider=provider).write.mode("overwrite").parquet(listed)
+    source = spark.read.parquet(listed)
     target = list_objects(spark, dst_root, provider=provider, may_be_absent=True)
     plan = copy_plan_of_listing(source, target, provider)
     results = execute_copy(plan, src_root, dst_root, f"{out}/cycle={cycle}", tasks)
@@ -37,6 +41,17 @@ def file_cycle(
     return results
 
 
+def has_news(noticed: DataFrame, cycle_folder: str) -> bool:
+    """Whether a noticed file is one that the cycle didn't see in that state, or couldn't copy."""
+    spark = noticed.sparkSession
+    tried = spark.read.parquet(f"{cycle_folder}/results").where("error_type IS NULL").select("object_key")
+    seen = spark.read.parquet(f"{cycle_folder}/listed").join(tried, "object_key", "left_semi")
+    seen = seen.select("object_key", F.col("modified").alias("seen_at"))
+    # a stream's times are whole milliseconds
+    known = (noticed["object_key"] == seen["object_key"]) & (F.date_trunc("millisecond", "seen_at") >= noticed["modified"])
+    return not noticed.join(seen, known, "left_anti").isEmpty()
+
+
 def file_ready_stream(
     spark: SparkSession,
     src_root: str,
@@ -52,15 +67,18 @@ def file_ready_stream(
     """A cycle whenever new files are noticed.
 
     The stream only says when; the cycle compares the whole containers, so it
-    also finds objects that were changed in place or that the stream overlooks. Cycles are kept
+    also finds objects that were changed in place or that the stream overlooks. Many files come in many batches, though
+    the first cycle takes them all: a batch whose files the run's last cycle saw as they are needs no cycle of its own. Cycles are kept
     by the stream's own id and batch: another stream, or a new checkpoint, makes plans of its own.
     """
+    last: list[str] = []  # folder of this run's last cycle
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        file_cycle(
-            batch.sparkSession, src_root, dst_root, f"{out}/query={query_id(batch.sparkSession, checkpoint)}", str(batch_id),
-            container=container, provider=provider, tasks=tasks,
-        )
+        own = f"{out}/query={query_id(batch.sparkSession, checkpoint)}"
+        if last and not has_news(batch, last[0]):
+            return
+        file_cycle(batch.sparkSession, src_root, dst_root, own, str(batch_id), container=container, provider=provider, tasks=tasks)
+        last[:] = [f"{own}/cycle={batch_id}"]
 
     noticed = stream_objects(spark, src_root, files_per_batch)
     return noticed.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
