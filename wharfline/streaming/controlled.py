@@ -2,20 +2,23 @@
 
 Two streams are laid on one: triggers beside results, or asks beside statuses. Both sides carry a watermark of their own and the slower one
 counts, so a side that lags behind is waited for. State holds what is still open and no more; within a micro-batch all rows of a
-key are handled by sorting and searching, not one by one.
+key are handled by sorting and searching, not one by one. Runs are settled some at a time, the rows behind them wait as Arrow columns.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.context import execution_mode
+from .stateful import FEW, Packed, arrow_of
 
 #: The error of a run that gave no result in time.
 NO_RESULT = "no result in time"
@@ -27,6 +30,46 @@ ANSWERS = (
 _OPEN = "partition int, offset bigint, run_id string, mode string, at_us bigint, decision string, limit_us bigint"
 _RESULT = "partition int, offset bigint, run_status string, run_error string, duration_us bigint, at_us bigint"
 
+_KEY = ["partition", "offset"]
+
+
+def _arrow(schema: str, few: tuple[str, ...] = ()) -> pa.Schema:
+    kinds = {"string": pa.large_string(), "int": pa.int32(), "bigint": pa.int64()}
+    named = [c.strip().split(" ") for c in schema.split(",")]
+    return pa.schema([(n, FEW if n in few else kinds[kind]) for n, kind in named])
+
+
+_TRIGGER = _arrow(", ".join(_OPEN.split(", ")[:5]), ("mode",))
+_ENDED = _arrow(_RESULT, ("run_status", "run_error"))
+
+
+class _Results:
+    """A key's results, found by partition and offset; of several for one trigger the first counts."""
+
+    def __init__(self, tables: Iterator[pa.Table]) -> None:
+        self._held = Packed(tables, _ENDED)
+        keys = self._held.rows.select(_KEY)
+        last = (2**31 - 1, 2**63 - 1)  # rows without come last, as they are sorted
+        self._p, self._o = (keys.column(c).fill_null(x).take(self._held.order).to_numpy() for c, x in zip(_KEY, last))
+        self.free = np.ones(len(self._p), bool)
+        self.free[1:] = (self._p[1:] != self._p[:-1]) | (self._o[1:] != self._o[:-1])
+
+    def of(self, triggers: pd.DataFrame) -> pd.DataFrame:
+        """Unused results of these triggers, with their places."""
+        places = [np.zeros(0, np.int64)]
+        asked = triggers[_KEY].isna().any(axis=1)
+        known = triggers.loc[~asked, _KEY].astype("int64")
+        for partition, offsets in known.groupby("partition")["offset"]:
+            a, b = np.searchsorted(self._p, partition, "left"), np.searchsorted(self._p, partition, "right")
+            at = a + np.searchsorted(self._o[a:b], np.unique(offsets.to_numpy()), "left")
+            places.append(at[at < b])
+        place = np.unique(np.concatenate(places))
+        place = place[self.free[place]]
+        return self._held.taken(self._held.order.take(pa.array(place))).assign(place=place)
+
+    def left(self) -> pd.DataFrame:
+        return self._held.taken(self._held.order.filter(pa.array(self.free)))
+
 
 def _columns(schema: str) -> list[str]:
     return [c.strip().split(" ")[0] for c in schema.split(",")]
@@ -68,21 +111,52 @@ class ControlledRunner(StatefulProcessor):
         self._early = handle.getListState("early", _RESULT)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        events = pd.concat([r.drop(columns=["product", "stage"]) for r in rows])
-        new = events[events["kind"] == "trigger"].sort_values(["partition", "offset"]).assign(decision=None, limit_us=None)
-        results = events[events["kind"] == "result"]
-        frames = [f[_columns(_OPEN)] for f in (_held(self._open, _OPEN), new) if len(f)]
-        waiting = pd.concat(frames) if frames else _held(self._open, _OPEN)
-        frames = [f[_columns(_RESULT)] for f in (_held(self._early, _RESULT), results) if len(f)]
-        known = pd.concat(frames).drop_duplicates(["partition", "offset"]) if frames else _held(self._early, _RESULT)
-        yield from self._settle(key, waiting.reset_index(drop=True), known, None)
+        asked: list[pa.Table] = []
+
+        def ended() -> Iterator[pa.Table]:
+            yield arrow_of(_held(self._early, _RESULT), _ENDED)
+            for r in rows:
+                new = r["kind"] == "trigger"
+                asked.append(arrow_of(r[new], _TRIGGER))
+                yield arrow_of(r[~new], _ENDED)
+
+        results = _Results(ended())
+        triggers = Packed((asked.pop(0) for _ in range(len(asked))), _TRIGGER)
+        held = _held(self._open, _OPEN)
+        new = (part.assign(decision=None, limit_us=None) for part in triggers.slices())
+        waiting, opened = held.iloc[:0], []
+        for part in itertools.chain([held] if len(held) else [], new):
+            if len(waiting):  # the run at hand waits for its result, so nothing behind it can be decided
+                opened.append(part)
+                continue
+            known = results.of(part)
+            out, left, unused = self._settle(key, part, known, None)
+            yield from out
+            results.free[known["place"]] = False
+            results.free[unused["place"].astype("int64")] = True
+            if self._remember:
+                opened.append(left)
+            else:
+                waiting = left
+        opened = [f[_columns(_OPEN)].astype(object) for f in (waiting, *opened) if len(f)]
+        self._keep(pd.concat(opened) if opened else held.iloc[:0], results.left())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        yield from self._settle(key, _held(self._open, _OPEN), _held(self._early, _RESULT), now)
+        out, waiting, known = self._settle(key, _held(self._open, _OPEN), _held(self._early, _RESULT), now)
+        yield from out
+        self._keep(waiting, known)
+
+    def _keep(self, waiting: pd.DataFrame, known: pd.DataFrame) -> None:
+        _hold(self._open, waiting, _OPEN)
+        _hold(self._early, known, _RESULT)
+        _times(self._handle, [int(x) for x in waiting["limit_us"].dropna()])
 
-    def _settle(self, key, waiting: pd.DataFrame, known: pd.DataFrame, now: int | None) -> Iterator[pd.DataFrame]:
-        """Decide what can be decided, answer what has its answer, keep the rest."""
+    def _settle(self, key, waiting: pd.DataFrame, known: pd.DataFrame, now: int | None) -> tuple[list[pd.DataFrame], pd.DataFrame, pd.DataFrame]:
+        """Decide what can be decided, answer what has its answer; the answers, and what is left of triggers and results.
+
+        A result whose trigger was answered without a run goes too.
+        """
         out: list[pd.DataFrame] = []
         while len(waiting):
             met = waiting.merge(known.rename(columns={"at_us": "done_us"}), on=["partition", "offset"], how="left")
@@ -99,17 +173,14 @@ class ControlledRunner(StatefulProcessor):
             out.append(self._rows(key, met[done], "status"))
             self._remembered(met, done)
             progress = bool(done.any())
-            answered = met.loc[done & ran, ["partition", "offset"]]
+            answered = met.loc[done, _KEY].drop_duplicates()
             if len(answered):
                 left = known.merge(answered, on=["partition", "offset"], how="left", indicator=True)
                 known = left[left["_merge"] == "left_only"].drop(columns="_merge")
             waiting = met.loc[~done, _columns(_OPEN)].reset_index(drop=True)
             if not progress or not waiting["decision"].isna().any():
                 break
-        _hold(self._open, waiting, _OPEN)
-        _hold(self._early, known, _RESULT)
-        _times(self._handle, [int(x) for x in waiting["limit_us"].dropna()])
-        yield from (rows for rows in out if len(rows))
+        return [rows for rows in out if len(rows)], waiting, known
 
     def _carried(self) -> str | None:
         return self._last.get()[0] if self._last.exists() else None

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -25,6 +27,48 @@ DECISIONS = (
 )
 
 
+#: Rows of a key that are in pandas at a time; all others of the micro-batch wait as Arrow columns.
+SLICE = 20_000
+FEW = pa.dictionary(pa.int32(), pa.large_string())  # few values, often repeated
+TRIGGERS = pa.schema(
+    [
+        ("partition", pa.int32()), ("offset", pa.int64()), ("run_id", pa.large_string()), ("mode", FEW), ("start_us", pa.int64()), ("duration_us", pa.int64()),
+    ]
+)
+
+
+def arrow_of(frame: pd.DataFrame, schema: pa.Schema) -> pa.Table:
+    plain = pa.schema([(f.name, pa.large_string() if f.type == FEW else f.type) for f in schema])
+    table = pa.Table.from_pandas(frame[schema.names], plain, preserve_index=False)
+    return pa.Table.from_arrays([c.dictionary_encode() if f.type == FEW else c for c, f in zip(table.columns, schema)], schema=schema)
+
+
+class Packed:
+    """Rows of a key as Arrow columns, and their order by partition and offset; rows without come last, equal ones stay as they came."""
+
+    def __init__(self, tables: Iterator[pa.Table], schema: pa.Schema) -> None:
+        chunks: list[list[pa.Array]] = [[] for _ in schema]
+        for table in tables:
+            for held, column in zip(chunks, table.columns):
+                held.extend(column.chunks)
+        columns = []
+        for k, field in enumerate(schema):  # one column after the other, so none but it is there twice
+            columns.append(pa.chunked_array(chunks[k], field.type).unify_dictionaries().combine_chunks())
+            chunks[k] = []
+        self.rows = pa.Table.from_arrays(columns, schema=schema).combine_chunks()
+        order = [("partition", "ascending"), ("offset", "ascending")]
+        self.order = pc.sort_indices(self.rows, order).cast(pa.int32() if self.rows.num_rows < 2**31 else pa.int64())
+
+    def taken(self, which: pa.Array) -> pd.DataFrame:
+        some = self.rows.take(which).to_pandas(integer_object_nulls=True)
+        few = {c: some[c].astype(object) for c in some.columns if isinstance(some[c].dtype, pd.CategoricalDtype)}
+        return some.assign(**{c: x.where(x.notna(), None) for c, x in few.items()})
+
+    def slices(self) -> Iterator[pd.DataFrame]:
+        for start in range(0, len(self.order), SLICE):
+            yield self.taken(self.order.slice(start, SLICE))
+
+
 class TriggerRunner(StatefulProcessor):
     """State per (product, stage): the run executed last and until when the runner is busy."""
 
@@ -33,36 +77,36 @@ class TriggerRunner(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         last, busy = self._state.get() if self._state.exists() else (None, None)
-        batch = pd.concat(rows).sort_values(["partition", "offset"])
-        decisions, errors = [], []
-        for run, mode, start, took in zip(
-            batch["run_id"], batch["mode"], batch["start_us"], batch["duration_us"]
-        ):
-            error = None
-            if busy is not None and start < busy:
-                decision, error = "failed", BUSY
-            elif run == last:
-                decision = "completed"
-            elif mode == "manual":
-                decision = "skipped"
-            else:
-                decision, last, busy = "execute", run, int(start + took)
-            decisions.append(decision)
-            errors.append(error)
+        for batch in Packed((arrow_of(r, TRIGGERS) for r in rows), TRIGGERS).slices():
+            decisions, errors = [], []
+            for run, mode, start, took in zip(
+                batch["run_id"], batch["mode"], batch["start_us"], batch["duration_us"]
+            ):
+                error = None
+                if busy is not None and start < busy:
+                    decision, error = "failed", BUSY
+                elif run == last:
+                    decision = "completed"
+                elif mode == "manual":
+                    decision = "skipped"
+                else:
+                    decision, last, busy = "execute", run, int(start + took)
+                decisions.append(decision)
+                errors.append(error)
+            yield pd.DataFrame(
+                {
+                    "product": key[0],
+                    "stage": key[1],
+                    "partition": batch["partition"].astype("int32"),
+                    "offset": batch["offset"],
+                    "run_id": batch["run_id"],
+                    "mode": batch["mode"],
+                    "decision": decisions,
+                    "error": errors,
+                }
+            )
         if busy is not None:
             self._state.update((last, busy))
-        yield pd.DataFrame(
-            {
-                "product": key[0],
-                "stage": key[1],
-                "partition": batch["partition"].astype("int32"),
-                "offset": batch["offset"],
-                "run_id": batch["run_id"],
-                "mode": batch["mode"],
-                "decision": decisions,
-                "error": errors,
-            }
-        )
 
     def close(self) -> None:
         pass
