@@ -105,3 +105,13 @@ def test_runs_are_settled_some_at_a_time(monkeypatch, remember, cut):
     seen = sorted(map(str, told.where(told.notna(), None)[["product", "stage", "partition", "offset", "run_id", "decision", "status", "error", "duration_ms"]].itertuples(index=False, name=None)))
     assert seen == sorted(map(str, plain_runs(triggers, results, remember, 900).elements()))
     assert biggest <= 7
+
+
+@pytest.mark.parametrize("kind", ["trigger", "result"])
+def test_one_side_alone(kind):
+    row = dict(kind=kind, partition=0, offset=1, run_id="r", mode="automatic", run_status="completed", run_error=None, duration_us=5, at_us=7)
+    runner = ControlledRunner(900 * 10**6, True)
+    handle = begun(runner)
+    out = list(runner.handleInputRows(("p", "s"), iter([pd.DataFrame([row])]), None))
+    assert [len(handle.states[n].value or []) for n in ("open", "early")] == ([1, 0] if kind == "trigger" else [0, 1])
+    assert sum(map(len, out)) == (kind == "trigger")

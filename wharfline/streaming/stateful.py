@@ -53,9 +53,13 @@ class Packed:
                 held.extend(column.chunks)
         columns = []
         for k, field in enumerate(schema):  # one column after the other, so none but it is there twice
-            columns.append(pa.chunked_array(chunks[k], field.type).unify_dictionaries().combine_chunks())
+            if chunks[k]:
+                columns.append(pa.chunked_array(chunks[k], field.type).unify_dictionaries().combine_chunks())
+            else:
+                none = pa.array([], pa.large_string() if field.type == FEW else field.type)
+                columns.append(none.dictionary_encode() if field.type == FEW else none)
             chunks[k] = []
-        self.rows = pa.Table.from_arrays(columns, schema=schema).combine_chunks()
+        self.rows = pa.Table.from_arrays(columns, schema=schema)
         order = [("partition", "ascending"), ("offset", "ascending")]
         self.order = pc.sort_indices(self.rows, order).cast(pa.int32() if self.rows.num_rows < 2**31 else pa.int64())
 
