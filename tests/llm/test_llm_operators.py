@@ -572,6 +572,27 @@ def test_repeated_runs_of_a_host_by_plain_search(spark):
     assert found == {k: plain(k) for k in streams} and any(len(t) < len("\n".join(streams[k][2])) for k, t in found.items())
 
 
+def test_frames_of_a_host_leave_main_parts(spark):
+    """Blocks in three of four main texts of a host go, but no quotation, first block, or block of a small host, and copies of a text count once."""
+    letter, quote = "Write to us and get our letter", "The old bridge was built in a year of war"
+
+    def page(k, host, more, head="News"):
+        blocks = [head, f"text {k} of {host} stands on no other page of this host", *more]
+        return (f"<nav>{letter}</nav><article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article>", "\n".join(blocks))
+
+    made = []
+    for k in range(16):
+        html, text = page(k, "a", [quote] * (k < 11) + [letter] * (k > 3))
+        made.append((k, f"http://a.x/{k}", html, text.replace(f"\n{letter}", "")))
+        made.append((100 + k, f"http://b.x/{k}", *page(k, "b", [letter] * (k > 4))))  # too few texts have it
+        made += [(200 + 20 * c + k, f"http://b.x/{k}?c={c}", *page(k, "b", [letter])) for c in range(3) if k == 5]
+    made += [(300 + k, f"http://c.x/{k}", *page(k, "c", [letter])) for k in range(11)]  # too few texts
+    short = f"<article><p>B</p><p>A</p><p>{letter}</p></article>"
+    made.append((400, "http://a.x/letter", short, f"B\nA\n{letter}"))
+    pages = spark.createDataFrame([m[:3] for m in made], "page_id long, url string, html string").repartition(3)
+    assert {r.page_id: r.text for r in html_text.html_text(pages).collect()} == {m[0]: m[3] for m in made}
+
+
 def test_empty_tables(none, labels):
     assert ngram_join.ngram_join(none).count() == ngram_join.deduplicated(none).count() == 0
     assert exact_dedup.exact_dedup(none).count() == exact_dedup.deduplicated(none).count() == 0
