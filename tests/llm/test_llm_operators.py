@@ -24,6 +24,7 @@ from wharfline.llm import (
     toxicity,
 )
 from wharfline.llm.labels import held_out
+from wharfline.llm.words import words_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -431,6 +432,39 @@ def test_words_get_the_ids_of_whole_texts(monkeypatch):
             assert [flat[a:b].tolist() for a, b in zip(edges[:-1], edges[1:])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_words_of_one_line_get_their_own_ids():
+    """Also where no id tells the end of a word, one by one."""
+    import pyarrow as pa
+
+    tokenizer, words = plain_ids(), ["word", "über", "...", "incomprehensibilities", "--", "çé"] * 3
+    known = packing.WordIds(packing.tokenizer_path())
+    each = [np.array(tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+    assert known._of_one_line([w.encode() for w in words]) == each
+    assert known._of_one_line([b"a b", b"c"]) is None
+    known.final[:] = False
+    flat, edges = known.encode(pa.array(["word über...", None, "--çé"]))
+    assert [flat[a:b].tolist() for a, b in zip(edges[:-1], edges[1:])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in ("word über...", "", "--çé")]
+
+
+def test_packing_hands_texts_to_python_once(docs):
+    """Dealing by ranges runs its input twice, so that must be read from what was written: ids, not texts."""
+    plan = packing.pack(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "text" not in plan
+
+
+def test_places_are_means_over_words():
+    import pyarrow as pa
+
+    texts = [None, "", " \n\x0b", "one", "ONE one\ttwo", "\x1ca\u00a0b  c\r", "Über é É " * 9]
+    points = []
+    for text in texts:
+        words = WORD.findall((text or "").translate(LOWER))
+        hashes = words_of(pa.array([" ".join(words)]), lower=False).hashes().tolist()
+        mean = [sum(1 - 2 * (h >> (11 * k + 5) & 1) for h in hashes) / max(len(hashes), 1) for k in range(packing.DIMENSIONS)]
+        points.append([min(max((2 * m + 1) / 2, 0), 1) * 255 for m in mean])
+    assert packing.SplitTexts(pa.array(texts)).places().tolist() == packing.hilbert(np.array(points).astype(np.uint64), packing.BITS).tolist()
+
+
 def test_hilbert_curve_visits_neighbours():
     side = 8
     points = np.array([(x, y, z) for x in range(side) for y in range(side) for z in range(side)])
