@@ -112,3 +112,32 @@ def test_held_out_texts_score_above_base(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [r for r in lm_score.lm_score(docs).collect() if r.held_out]
     assert rows and sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_first_pass_sends_training_words_once_a_slice():
+    import pyarrow as pa
+
+    from wharfline.llm.grams import decoded
+
+    rows = [("a B a", False), ("c\x0ba  ", False), (" ", False), ("never sent", True)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], ["text", "held_out"])
+    found = Counter()
+    for out in lm_score._unigrams(3)(iter([batch])):
+        for row in out.to_pylist():
+            words, codes, counts = decoded(row, 1)
+            names = {lm_score.END: None, **{k + lm_score.FIRST: w.decode() for k, w in enumerate(words.to_pylist())}}
+            found.update({names[c]: n for c, n in zip(codes[0].tolist(), counts.tolist())})
+    assert found == {"a": 3, "b": 1, "c": 1, None: 3}
+
+
+def test_words_of_odd_and_sliced_texts():
+    import pyarrow as pa
+
+    from wharfline.llm.words import split_lower
+
+    texts = ["no", None, "", "\t\n\x0b\x0c\r ", " ÀÉ É x\x1cy\x85 z Z", "A" * 9 + "\r\nb", "a\x00B c", "  x"]
+    for kind in (pa.string(), pa.large_string()):
+        words, first = split_lower(pa.array(texts, kind).slice(1))
+        got = [[w.decode() for w in words[a:b].to_pylist()] for a, b in zip(first[:-1], first[1:])]
+        assert got == [WORD.findall((t or "").translate(LOWER)) for t in texts[1:]]
+    assert len(split_lower(pa.array([], pa.string()))[0]) == 0

@@ -76,16 +76,20 @@ def encoded(vocabulary: pa.Array, columns: list[np.ndarray], counts: np.ndarray,
     Codes below ``special`` stand for no word, the others for the word at code - special.
     """
     size = len(columns) * len(counts)
-    if size < len(vocabulary):
+    if 16 * size < len(vocabulary):
         used = np.unique(np.concatenate(columns))
+        used = used[used >= special]
+        codes = np.stack([np.where(c < special, c, np.searchsorted(used, c) + special) for c in columns]).astype("<u4")
     else:
         mark = np.zeros(len(vocabulary) + special, bool)
         for c in columns:
             mark[c] = True
+        mark[:special] = False
         used = np.flatnonzero(mark)
-    used = used[used >= special]
+        new = np.empty(len(mark), "<u4")
+        new[:special], new[used] = np.arange(special), np.arange(special, special + len(used))
+        codes = np.stack([new[c] for c in columns])
     words = joined_words(vocabulary.take(pa.array(used - special)))
-    codes = np.stack([np.where(c < special, c, np.searchsorted(used, c) + special) for c in columns]).astype("<u4")
     codes[0, 1:] -= codes[0, :-1].copy()  # the first word is in order
     planes = np.ascontiguousarray(codes.view(np.uint8).reshape(len(columns), -1, 4).transpose(0, 2, 1))
     packer = zstandard.ZstdCompressor(level=3)

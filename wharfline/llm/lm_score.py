@@ -21,8 +21,8 @@ The work. No table of the model is broadcast or held whole anywhere; what moves
 3.  A fragment adds up equal n-grams, compared by their words, and answers each block with a row of totals.
 4.  The slice, met with its answers, builds the states and arcs its own texts can use and walks over each document.
 
-The totals of the base score (T, distinct tokens, tokens found once) come from a first pass over single words. It brings
-three numbers to the driver.
+The totals of the base score (T, distinct tokens, tokens found once) come from a first pass over the words of training documents.
+It brings three numbers to the driver. What depends on a word alone, like its hash, is worked out once for each slice.
 
 Defined results: null and empty texts have one token, the end; a null id is the empty text, so it is held out; of an empty
 training set only the unknown event is left, with probability one; repeated rows train and are scored each; extra columns don't matter.
@@ -38,9 +38,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .grams import decoded, encoded, packed_numbers, ranked, unpacked_numbers, word_array
+from .grams import decoded, encoded, packed_numbers, ranked, unpacked_numbers
 from .tables import column
-from .words import factors, mix, slices, words_of
+from .words import Words, factors, mix, slices, split_lower, text_bytes
 
 #: Words of the longest n-grams, and the weight of the shorter context beside the counts of the longer one. On held-out
 #: texts of 25 MB a prior of 50 gives -3.33 for a token, 8 gives -3.47, 2 gives -3.64, the base score -4.25.
@@ -54,6 +54,8 @@ SLICE_BYTES = 6 << 20
 END, START, FIRST = 0, 1, 2
 
 BLOCK = "part long, m int, slice long, words binary, codes binary, counts binary"
+NAMES = ["part", "m", "slice", "words", "codes", "counts"]
+KINDS = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
 ANSWER = "slice long, m int, part long, totals binary"
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
@@ -71,19 +73,18 @@ class Grams:
     """
 
     def __init__(self, texts: pa.Array, order: int, parts: int) -> None:
-        w = words_of(texts, lower=True)
+        words, first = split_lower(texts)
         rows = len(texts)
-        self.vocabulary, code = ranked(word_array(w.data, w.starts, w.ends))
-        row = np.repeat(np.arange(rows), np.diff(w.first))
+        self.vocabulary, code = ranked(words)
+        row = np.repeat(np.arange(rows), np.diff(first))
         # start, words and end of every document, end to end
-        self.first = w.first + 2 * np.arange(rows + 1)
+        self.first = first + 2 * np.arange(rows + 1)
         self.sequence = np.full(self.first[-1], END, np.int64)
         self.sequence[self.first[:-1]] = START
         self.sequence[np.arange(len(code)) + 2 * row + 1] = code + FIRST
         self.doc = np.repeat(np.arange(rows), np.diff(self.first))
         self.base = len(self.vocabulary) + FIRST
-        named = np.concatenate((factors(FIRST, seed=7), np.zeros(len(self.vocabulary), np.uint64)))
-        named[code + FIRST] = w.hashes()
+        named = _names(self.vocabulary)
         self.columns: list[list[np.ndarray]] = []
         self.part: list[np.ndarray] = []
         self.of: list[np.ndarray] = []
@@ -93,8 +94,11 @@ class Grams:
         for m in range(1, order + 1):
             place = np.arange(max(n - m + 1, 0))
             place = place[self.doc[place] == self.doc[place + m - 1]]
-            key = whole[place] * self.base + self.sequence[place + m - 1]
-            distinct, inverse = _distinct(key)
+            if m == 1 and n:  # the codes of single words are dense already
+                distinct, inverse = np.empty(self.base, np.int64), self.sequence
+                distinct[self.sequence] = place
+            else:
+                distinct, inverse = _distinct(whole[place] * self.base + self.sequence[place + m - 1])
             whole[place] = inverse
             own = [self.sequence[place[distinct] + k] for k in range(m)]
             name = mix(sum((named[c] * f for c, f in zip(own, factors(m, seed=8))), np.uint64(m)))
@@ -110,6 +114,12 @@ class Grams:
             self.place.append(place[distinct][dealt])
 
 
+def _names(vocabulary: pa.Array) -> np.ndarray:
+    """A hash for each code: start and end, then the words."""
+    data, at = text_bytes(vocabulary)
+    return np.concatenate((factors(FIRST, seed=7), Words(data[at[0] : at[-1]], at[:-1] - at[0], at[1:] - at[0], at).hashes()))
+
+
 def _distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A place of each distinct number, in order, and which of them each place has."""
     order = np.argsort(key)
@@ -126,7 +136,7 @@ def _edges(part: np.ndarray) -> np.ndarray:
 
 def _blocks(grams: Grams, train: np.ndarray, own: int) -> pa.Table:
     """What a slice sends: one block for each level and part, with the counts in training documents."""
-    out: dict[str, list] = {k: [] for k in ("part", "m", "slice", "words", "codes", "counts")}
+    out: dict[str, list] = {k: [] for k in NAMES}
     learns = train[grams.doc]
     for level, (columns, part, of) in enumerate(zip(grams.columns, grams.part, grams.of)):
         counts = np.bincount(of[(of >= 0) & learns], minlength=len(part))
@@ -135,8 +145,7 @@ def _blocks(grams: Grams, train: np.ndarray, own: int) -> pa.Table:
             row = (int(part[i]), level + 1, own, *encoded(grams.vocabulary, [c[i:j] for c in columns], counts[i:j], FIRST))
             for held, value in zip(out.values(), row):
                 held.append(value)
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-    return pa.table([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
+    return pa.table([pa.array(v, k) for v, k in zip(out.values(), KINDS)], NAMES)
 
 
 def _sent(order: int, parts: int):
@@ -189,38 +198,32 @@ def _answered(rows: pa.Table) -> pa.Table:
 
 
 def _summed(rows: pa.Table) -> pa.Table:
-    """Training tokens of a fragment, distinct ones and those found once; the start mark is no token."""
+    """Training tokens of a fragment, distinct ones and those found once."""
     blocks = rows.to_pylist()
     tokens = distinct = once = 0
-    seen = False
     for _, totals, _ in _added(blocks, 1) if blocks else ():
-        if not seen:
-            seen, own = True, totals
-    if seen:
-        starts = _starts(blocks)
-        own = own[own > 0]
-        tokens, distinct, once = int(own.sum()) - starts, len(own) - (starts > 0), int((own == 1).sum()) - (starts == 1)
+        tokens, distinct, once = int(totals.sum()), len(totals), int((totals == 1).sum())
+        break  # the totals come with each block
     return pa.table([pa.array([x], pa.int64()) for x in (tokens, distinct, once)], ["tokens", "distinct", "once"])
 
 
-def _starts(blocks: list[dict]) -> int:
-    """How often the start mark is counted in these blocks."""
-    total = 0
-    for row in blocks:
-        _, codes, counts = decoded(row, 1)
-        total += int(counts[codes[0] == START].sum())
-    return total
-
-
 def _unigrams(parts: int):
-    """Blocks of single words, of slices of a batch."""
+    """Blocks of the training tokens, of slices of a batch: the words, and the end once for each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flags = ~batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-            for begin, end in slices(batch.column("text"), SLICE_BYTES):
-                grams = Grams(batch.column("text").slice(begin, end - begin), 1, parts)
-                yield from _blocks(grams, flags[begin:end], 0).to_batches()
+            held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+            texts = batch.column("text").filter(pa.array(~held))
+            for begin, end in slices(texts, SLICE_BYTES):
+                vocabulary, code = ranked(split_lower(texts.slice(begin, end - begin))[0])
+                counts = np.bincount(code + FIRST, minlength=len(vocabulary) + FIRST)
+                counts[END] = end - begin
+                part = (mix(_names(vocabulary)) % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                order = order[counts[order] > 0]
+                edges = _edges(part[order])
+                rows = [(int(part[order[i]]), 1, 0, *encoded(vocabulary, [order[i:j]], counts[order[i:j]], FIRST)) for i, j in zip(edges[:-1], edges[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows), KINDS)], NAMES)
 
     return run
 
