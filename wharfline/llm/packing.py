@@ -35,12 +35,12 @@ LENGTH = 2048
 CLOSING = 1
 DIMENSIONS, BITS = 4, 8
 #: Bytes of words and ids that a worker keeps, counting so many for an entry besides its word; the older half goes beyond that.
-KEPT_BYTES = 64 << 20
+KEPT_BYTES = 96 << 20
 ENTRY = 160
 #: Words that are learnt in one call.
 TOGETHER = 2000
 #: Bytes of text that are split into words at once.
-SPLIT_BYTES = 6 << 20
+SPLIT_BYTES = 8 << 20
 #: Bytes of ASCII letters and the lead byte of U+00C0 to U+00FF are 1, those of ASCII punctuation 2, all others 0. An apostrophe may join letters,
 #: and "<" may begin the name of a special token; both keep their word whole.
 KIND = np.zeros(256, np.uint8)
@@ -184,10 +184,12 @@ class WordIds:
         cuttable = np.zeros(len(distinct), bool)
         cuttable[of] = inside[begins]
         self._make_room()
-        new = [(w, c) for w, c in zip(distinct, cuttable.tolist()) if w not in self.held]
+        held = list(map(self.held.get, distinct))
+        new = [k for k, ids in enumerate(held) if ids is None]
         for together in (True, False):
-            self._learn([w for w, c in new if c is together], together)
-        held = [self.held[w] for w in distinct]
+            self._learn([distinct[k] for k in new if cuttable[k] == together], together)
+        for k in new:
+            held[k] = self.held[distinct[k]]
         ids = _binary(np.concatenate(([0], np.cumsum(np.fromiter(map(len, held), np.int64, len(held))))), np.frombuffer(b"".join(held), np.uint8)).take(pa.array(of))
         flat, at = text_bytes(ids)
         size[solid + 1] = np.diff(at[np.searchsorted(begins, np.append(head, len(own)))])
@@ -295,6 +297,7 @@ def _encoded(path: str):
                 ids = _binary(edges * known.kind.itemsize, flat.astype(known.kind).view(np.uint8)).cast(pa.binary())
                 place = (words.places() << 31) | salt[begin:end]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(begin, end - begin), pa.array(place), ids], ["doc_id", "place", "ids"])
+            pa.default_memory_pool().release_unused()  # a worker process lives on beside later stages
 
     return run
 
