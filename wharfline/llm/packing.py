@@ -40,7 +40,7 @@ ENTRY = 160
 #: Words that are learnt in one call.
 TOGETHER = 2000
 #: Bytes of text that are split into words at once.
-SPLIT_BYTES = 8 << 20
+SPLIT_BYTES = 16 << 20
 #: Bytes of ASCII letters and the lead byte of U+00C0 to U+00FF are 1, those of ASCII punctuation 2, all others 0. An apostrophe may join letters,
 #: and "<" may begin the name of a special token; both keep their word whole.
 KIND = np.zeros(256, np.uint8)
@@ -179,7 +179,10 @@ class WordIds:
         begins = np.flatnonzero(cut)
         pieces = _binary(np.append(begins, len(own)), own)
         coded = pieces.dictionary_encode()
-        distinct, of = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        of = coded.indices.to_numpy(zero_copy_only=False)
+        names, at = text_bytes(coded.dictionary)
+        names, at = names.tobytes(), at.tolist()
+        distinct = [names[i:j] for i, j in zip(at, at[1:])]
         # the same bytes are always of one kind, as their kind is told by them alone
         cuttable = np.zeros(len(distinct), bool)
         cuttable[of] = inside[begins]
