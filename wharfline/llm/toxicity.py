@@ -10,7 +10,8 @@ threshold lets at most ``ALLOWED`` of the ordinary calibration rows through to t
 The ordinary dictionary is zstandard's own training. Trained alike on toxic documents it would mostly hold ordinary wording,
 so the toxic one is a cover: runs of a few bytes (``GRAMS``) that toxic documents have far more often than ordinary ones mark the
 words, and the most frequent ones that hold all marked runs are its content. All learning is on bounded samples of labelled rows
-that aren't held out (``TRAIN``, ``CALIBRATE``, ``SAMPLE_CHARS``); everything else is over whole texts.
+that aren't held out (``TRAIN``, ``CALIBRATE``, ``SAMPLE_CHARS``); everything else is over whole texts. The sample is one
+group of one task, and the driver gets the model alone: dictionaries and weights.
 
 Defined results: a null, empty or blank text has no windows and gets the curve's lowest figures; without toxic
 labels every score is 0; repeated rows score alike; null ids aren't held out (the empty text's crc32 is 0). Extra
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,8 @@ WINDOW = 8
 ORDINARY_BYTES, TOXIC_BYTES, LEVEL, MATCH = 8192, 2048, 9, 3
 #: Runs of so many bytes mark toxic wording if so large a share and number of toxic documents have them, so many times the ordinary share.
 GRAMS, LEAST_SHARE, LEAST_TEXTS, TIMES = (4, 5, 6, 8), 0.02, 6, 10
+#: Texts whose runs are counted together.
+TOGETHER = 64
 #: Savings in bytes whose windows are counted.
 STEPS = (2, 4, 6)
 FIGURES = 3 + len(STEPS)
@@ -50,6 +54,8 @@ THRESHOLD = 0.7
 ALLOWED = 0.005
 
 SCORE_SCHEMA = "doc_id long, figures array<double>"
+MODEL_SCHEMA = "ordinary binary, toxic binary, weights array<double>"
+_MODEL = pa.schema([("ordinary", pa.binary()), ("toxic", pa.binary()), ("weights", pa.list_(pa.float64()))])
 
 
 @dataclass
@@ -59,16 +65,20 @@ class Model:
     weights: list[float]
 
 
-def _joined_words(texts: list[str]) -> list[list[bytes]]:
-    words = words_of(pa.array(texts, pa.large_string()), lower=True)
-    data = words.data.tobytes()
-    cut = [data[a:b] for a, b in zip(words.starts.tolist(), words.ends.tolist())]
-    return [cut[a:b] for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist())]
+def _joined(texts: pa.Array) -> list[bytes]:
+    """Each text's words, A-Z lowered, with one blank between them."""
+    out: list[bytes] = []
+    for begin, end in slices(texts, 1 << 20):
+        words = words_of(texts.slice(begin, end - begin), lower=True)
+        data = words.data.tobytes()
+        cut = [data[a:b] for a, b in zip(words.starts.tolist(), words.ends.tolist())]
+        out += [b" ".join(cut[a:b]) for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist())]
+    return out
 
 
-def _grams(words: list[bytes], size: int) -> np.ndarray:
+def _grams(text: bytes, size: int) -> np.ndarray:
     """The run of that many bytes that begins at each place of a text, as a number."""
-    data = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.uint64)
+    data = np.frombuffer(b" " + text + b" ", np.uint8).astype(np.uint64)
     n = max(len(data) - size + 1, 0)
     out = np.zeros(n, np.uint64)
     for k in range(size):
@@ -76,28 +86,40 @@ def _grams(words: list[bytes], size: int) -> np.ndarray:
     return out if size > 4 else out.astype(np.uint32)
 
 
-def _shares(texts: list[list[bytes]], size: int) -> tuple[np.ndarray, np.ndarray]:
+def _shares(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     """Every run of some texts, and the share of the texts that has it."""
-    grams = [np.unique(_grams(w, size)) for w in texts]
-    found, n = np.unique(np.concatenate(grams), return_counts=True)
+    found, n = _grams(b"", size)[:0], np.zeros(0)
+    for begin in range(0, len(texts), TOGETHER):  # some texts at a time: what is held are the distinct runs
+        own = [np.unique(_grams(t, size)) for t in texts[begin : begin + TOGETHER]]
+        found, at = np.unique(np.concatenate([found, *own]), return_inverse=True)
+        n = np.bincount(at, np.concatenate([n, np.ones(len(at) - len(n))]), len(found))
     return found, n / len(texts)
 
 
-def _marks(bad: list[list[bytes]], good: list[list[bytes]], size: int) -> np.ndarray:
+def _shares_of(grams: np.ndarray, texts: list[bytes], size: int) -> np.ndarray:
+    """The share of some texts that has each of the runs, which are sorted."""
+    n = np.zeros(len(grams))
+    for text in texts if len(grams) else []:
+        own = _grams(text, size)
+        at = np.minimum(np.searchsorted(grams, own), len(grams) - 1)
+        n[np.unique(at[grams[at] == own])] += 1
+    return n / len(texts)
+
+
+def _marks(bad: list[bytes], good: list[bytes], size: int) -> np.ndarray:
     """The runs that mark toxic wording, sorted."""
     grams, share = _shares(bad, size)
-    other, ordinary = _shares(good, size)
-    at = np.minimum(np.searchsorted(other, grams), len(other) - 1)
-    there = np.where(other[at] == grams, ordinary[at], 0.0)
-    return grams[(share >= LEAST_SHARE) & (share * len(bad) >= LEAST_TEXTS) & (share >= TIMES * (there + 0.5 / len(good)))]
+    often = (share >= LEAST_SHARE) & (share * len(bad) >= LEAST_TEXTS)
+    grams, share = grams[often], share[often]
+    return grams[share >= TIMES * (_shares_of(grams, good, size) + 0.5 / len(good))]
 
 
-def _marked_words(words: list[bytes], marks: dict[int, np.ndarray]) -> dict[int, set[tuple[int, int]]]:
+def _marked_words(text: bytes, words: list[bytes], marks: dict[int, np.ndarray]) -> dict[int, set[tuple[int, int]]]:
     """The places of words that hold marked runs, with these runs."""
     found: dict[int, set[tuple[int, int]]] = {}
     ends = np.cumsum([len(w) + 1 for w in words])  # a word with the blank before it ends here
     for size, known in marks.items():
-        grams = _grams(words, size)
+        grams = _grams(text, size)
         if not len(known) or not len(grams):
             continue
         at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
@@ -108,6 +130,14 @@ def _marked_words(words: list[bytes], marks: dict[int, np.ndarray]) -> dict[int,
     return found
 
 
+def _spans(texts: list[bytes]) -> Iterator[bytes]:
+    """The texts in runs of eight words."""
+    for text in texts:
+        words = text.split()
+        for i in range(0, len(words), 8):
+            yield b" ".join(words[i : i + 8])
+
+
 def _ordinary_dictionary(samples: list[bytes]) -> bytes:
     """zstandard's own training, or, of too little text for that, the text itself."""
     try:
@@ -116,7 +146,7 @@ def _ordinary_dictionary(samples: list[bytes]) -> bytes:
         return b" ".join(samples)[:ORDINARY_BYTES].ljust(8)
 
 
-def _cover(texts: list[list[bytes]], marks: dict[int, np.ndarray]) -> bytes:
+def _cover(texts: list[bytes], marks: dict[int, np.ndarray]) -> bytes:
     """Words in the order of how many others they follow, each if it adds a run no word before it had.
 
     A run counts if it follows enough different words: one that always follows the same comes from copies of a text.
@@ -125,8 +155,9 @@ def _cover(texts: list[list[bytes]], marks: dict[int, np.ndarray]) -> bytes:
     follows: dict[bytes, set[bytes]] = {}
     runs: dict[bytes, set[tuple[int, int]]] = {}
     contexts: dict[tuple[int, int], set[bytes]] = {}
-    for words in texts:
-        for place, own in _marked_words(words, marks).items():
+    for text in texts:
+        words = text.split()
+        for place, own in _marked_words(text, words, marks).items():
             word, before = words[place], words[place - 1] if place else b""
             follows.setdefault(word, set()).add(before)
             runs.setdefault(word, set()).update(own)
@@ -144,11 +175,11 @@ def _cover(texts: list[list[bytes]], marks: dict[int, np.ndarray]) -> bytes:
     return held.ljust(8)
 
 
-def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
+def train_dictionaries(toxic: pa.Array, ordinary: pa.Array) -> tuple[bytes, bytes]:
     """The ordinary and the toxic dictionary."""
-    bad, good = _joined_words(toxic), _joined_words(ordinary)
-    spans = [b" ".join(w[i : i + 8]) for w in good for i in range(0, len(w), 8)]
-    ordinary_dictionary = _ordinary_dictionary(spans[:: max(1, len(spans) // 20_000)])
+    bad, good = _joined(toxic), _joined(ordinary)
+    spans = sum(-(-(t.count(b" ") + 1) // 8) for t in good if t)
+    ordinary_dictionary = _ordinary_dictionary(list(islice(_spans(good), 0, None, max(1, spans // 20_000))))
     marks = {size: _marks(bad, good, size) for size in GRAMS}
     return ordinary_dictionary, _cover(bad, marks)
 
@@ -217,28 +248,48 @@ def _moved(weights: list[float], x: np.ndarray, y: np.ndarray) -> list[float]:
     return [weights[0] - float(cut) + float(np.log(THRESHOLD / (1 - THRESHOLD))), *weights[1:]]
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """Dictionaries and curve from bounded samples of labelled rows that aren't held out; None without toxic ones."""
+def _learner(share: float):
+    """share: of toxic ones among all labelled rows that aren't held out."""
     most = {k: TRAIN[k] + CALIBRATE[k] for k in TRAIN}
-    rows = labelled_sample(docs, labels, "toxic", most, SAMPLE_CHARS).select("text", "label", "order", "doc_id").toPandas()
-    rows = rows.sort_values(["order", "doc_id"], kind="stable")
-    parts = {}
-    for label in (0, 1):
-        own = rows[rows["label"] == label]["text"].tolist()
-        cut = TRAIN[label] * len(own) // max(most[label], 1) if len(own) < most[label] else TRAIN[label]
-        parts[label] = (own[:cut], own[cut:])
-    if not parts[1][0] or not parts[1][1] or not parts[0][1]:
-        return None
-    ordinary, toxic = train_dictionaries(parts[1][0], parts[0][0])
-    held = parts[1][1] + parts[0][1]
-    pair = _compressor(ordinary), _compressor(toxic + ordinary)
-    x = np.array(list(figures(pa.array(held, pa.large_string()), *pair)))
-    y = np.array([1.0] * len(parts[1][1]) + [0.0] * len(parts[0][1]))
-    # the classes weigh as they occur among all labelled rows that aren't held out
+
+    def learnt(rows: pa.Table) -> list[Model]:
+        rows = rows.take(pa.array(np.lexsort([rows.column(c).to_numpy() for c in ("at", "doc_id", "order")])))
+        label, parts = rows.column("label").to_numpy(), {}
+        for value in (0, 1):
+            own = pa.concat_arrays([c.cast(pa.large_string()) for c in rows.column("text").filter(pa.array(label == value)).chunks] or [pa.array([], pa.large_string())])
+            cut = TRAIN[value] * len(own) // max(most[value], 1) if len(own) < most[value] else TRAIN[value]
+            parts[value] = (own[:cut], own[cut:])
+        if not len(parts[1][0]) or not len(parts[1][1]) or not len(parts[0][1]):
+            return []
+        ordinary, toxic = train_dictionaries(parts[1][0], parts[0][0])
+        pair = _compressor(ordinary), _compressor(toxic + ordinary)
+        x = np.array([f for value in (1, 0) for f in figures(parts[value][1], *pair)])
+        y = np.repeat([1.0, 0.0], [len(parts[1][1]), len(parts[0][1])])
+        # the classes weigh as they occur among all labelled rows that aren't held out
+        weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
+        return [Model(ordinary, toxic, _moved(_curve(x, y, weight), x, y))]
+
+    def run(rows: pa.Table) -> pa.Table:
+        out = pa.Table.from_pylist([vars(m) for m in learnt(rows)], _MODEL)
+        pa.default_memory_pool().release_unused()  # a worker process lives on beside later stages
+        return out
+
+    return run
+
+
+def train(docs: DataFrame, labels: DataFrame) -> Model | None:
+    """Dictionaries and curve from bounded samples of labelled rows that aren't held out; None without toxic ones.
+
+    The rows of the sample are learnt from by one task; of equal ids the earlier row comes first.
+    """
     known = labels.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    share = float(known.agg(F.avg(F.col("toxic").cast("double"))).first()[0])
-    weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
-    return Model(ordinary, toxic, _moved(_curve(x, y, weight), x, y))
+    share = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
+    if share is None:
+        return None
+    rows = labelled_sample(docs, labels, "toxic", {k: TRAIN[k] + CALIBRATE[k] for k in TRAIN}, SAMPLE_CHARS)
+    rows = rows.select("text", "label", "order", "doc_id", F.monotonically_increasing_id().alias("at"))
+    found = rows.groupBy().applyInArrow(_learner(float(share)), MODEL_SCHEMA).first()
+    return Model(bytes(found.ordinary), bytes(found.toxic), list(found.weights)) if found else None
 
 
 def _score(model: Model):
