@@ -20,6 +20,7 @@ from wharfline.llm import (
     packing,
     quality_model,
     quality_rules,
+    sharing,
     substring_dedup,
     toxicity,
 )
@@ -606,6 +607,25 @@ def test_repeated_runs_of_a_host_by_plain_search(spark):
     assert found == {k: plain(k) for k in streams} and any(len(t) < len("\n".join(streams[k][2])) for k, t in found.items())
 
 
+@pytest.mark.parametrize("n_open", [0, 1])
+def test_suffixes_of_all_hosts_are_sorted(spark, monkeypatch, n_open):
+    """All pages with blocks outside main parts are in the array, those of hosts without an open page too."""
+    block = "<div>eight words that every page of this host repeats</div>"
+    rows = [(k, f"http://h{k % 3}.x/{k}", f"<article><p>text {k}</p></article>{block}") for k in range(9)]
+    rows += [(9 + k, "http://h0.x/open", f"<p>one page of its own</p>{block}") for k in range(n_open)]
+    sent = []
+
+    def kept(docs, sets, verdict, text):
+        sent.extend((r.host, r.page, tuple(r.others)) for r in docs.select("host", "page", "others").collect())
+        return sharing.shared(docs, sets, verdict, text)
+
+    monkeypatch.setattr(html_text, "shared", kept)
+    found = {r.page_id: r.text for r in html_text.html_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert found == {k: f"text {k}" for k in range(9)} | {9 + k: "one page of its own" for k in range(n_open)}
+    assert len(set(sent)) == len(rows) and len({host for host, _, _ in sent}) == 3
+    assert all("eight words that every page of this host repeats" in others for _, _, others in sent)
+
+
 def test_frames_of_a_host_leave_main_parts(spark):
     """Blocks in three of four main texts of a host go, but no quotation, first block, or block of a small host, and copies of a text count once."""
     letter, quote = "Write to us and get our letter", "The old bridge was built in a year of war"
