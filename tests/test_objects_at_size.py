@@ -1,8 +1,11 @@
 """Object steps whose cost must follow the objects: batches handed over, files opened by the scan, cycles of a stream."""
 
 import os
+import shutil
+import time
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from wharfline.sources import objects as ob
@@ -71,3 +74,59 @@ def test_one_cycle_takes_all_batches_of_files(spark, root, tmp_path):
     assert (tmp_path / "dst/new").read_bytes() == b"n"
     done = spark.read.parquet(f"{out}/query=*/cycle=*/results").where("copied")
     assert done.count() == 14 and done.where("object_key = 'd/07.txt'").count() == 2
+
+
+def test_the_driver_names_no_noticed_file(spark, root, tmp_path):
+    """The stream's own source, and so the driver, kept every object; now it keeps one file for a batch of them."""
+    src, seen, checkpoint = str(root), str(tmp_path / "checkpoint/noticed"), tmp_path / "checkpoint"
+    (root / "d/.hidden").write_bytes(b"h")
+    (root / "_p/x").mkdir(parents=True)
+    (root / "_p/x/y").write_bytes(b"h")
+    got = []
+
+    def drain():
+        writer = file_ready_stream(spark, src, str(tmp_path / "dst"), str(tmp_path / "out"), str(checkpoint), container="t", files_per_batch=4)
+        batches = []
+        writer.foreachBatch(lambda batch, n: batches.append(batch.collect()))
+        run_drain(writer)
+        got.append(batches)
+
+    for _ in range(2):
+        drain()
+    plain = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(src).select(ob.object_key(src).alias("object_key"), F.col("modificationTime").alias("modified"), "length")
+    assert sorted(r for batch in got[0] for r in batch) == sorted(plain.collect())
+    assert max(map(len, got[0])) <= 4 and len(got[0]) >= 3 and not got[1]
+    logs = "".join(f.read_text() for f in (checkpoint / "sources/0").iterdir() if f.is_file() and not f.name.startswith("."))
+    assert seen in logs and src + "/" not in logs
+    (root / "d/03.txt").unlink()
+    for n in (20, 21):
+        (root / f"d/{n}.txt").write_bytes(b"x")
+    assert ob.notice_objects(spark, src, seen) == 2
+    (root / "d/20.txt").unlink()  # what is gone again is no news
+    drain()
+    assert [r.object_key for batch in got[2] for r in batch] == ["d/21.txt"]
+
+
+def test_a_stream_that_goes_on_looks_again(spark, root, tmp_path):
+    src, out = str(root), tmp_path / "out"
+    writer = file_ready_stream(spark, src, str(tmp_path / "dst"), str(out), str(tmp_path / "checkpoint"), container="t")
+    query = writer.trigger(processingTime="1 second").start()
+
+    def until(done):
+        for _ in range(600):
+            if done() or not query.isActive:
+                break
+            time.sleep(0.1)
+        assert done()
+
+    try:
+        until((tmp_path / "dst/d/11.txt").exists)
+        (root / "late").write_bytes(b"late")
+        until((tmp_path / "dst/late").exists)
+        shutil.move(root, tmp_path / "away")
+        with pytest.raises(StreamingQueryException):
+            query.awaitTermination(60)
+    finally:
+        query.stop()
+    with pytest.raises(FileNotFoundError):
+        file_ready_stream(spark, src, str(tmp_path / "dst"), str(out), str(tmp_path / "checkpoint"), container="t")

@@ -104,7 +104,12 @@ def list_objects(
     nothing = spark.createDataFrame([], LISTING)
     if container(root, provider) is None or (may_be_absent and not exists(spark, root)):
         return nothing
-    where, out = qualified(spark, root), run_folder(spark, "listing")
+    return _listed(spark, root, run_folder(spark, "listing"))
+
+
+def _listed(spark: SparkSession, root: str, out: str) -> DataFrame:
+    """The objects of a container, from a listing written to the folder ``out``."""
+    where = qualified(spark, root)
     schema = f"{LISTING}, is_prefix boolean"
     prefixes, level = spark.range(1, numPartitions=1).select(F.lit("").alias("object_key")), 0
     while True:
@@ -131,17 +136,50 @@ def list_data_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def stream_objects(spark: SparkSession, root: str, files_per_batch: int = 100_000) -> DataFrame:
-    """New data files as a stream: each comes once, in the batch it is noticed in."""
-    return (
-        spark.readStream.format("binaryFile")
-        .schema(FILES)
-        .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("ignoreMissingFiles", "true")  # what is gone again is no news
-        .load(root)
-        .select(object_key(root).alias("object_key"), F.col("modificationTime").alias("modified"), "length")
-    )
+def notice_objects(spark: SparkSession, root: str, noticed: str, files_per_batch: int = 100_000) -> int:
+    """Write the data files that the folder ``noticed`` doesn't name yet to it, at most so many in one file; how many they are.
+
+    The executors list the container and compare the names; the driver holds no list of files.
+    """
+    make_folder(spark, noticed)
+    listing = run_folder(spark, "noticing")
+    try:
+        found = _listed(spark, root, listing).where(_is_data(F.col("object_key")))
+        news = found.join(spark.read.schema(LISTING).parquet(noticed).select("object_key"), "object_key", "left_anti")
+        n = news.count()
+        if n:
+            dealt = news.select("object_key", "modified", "length").repartition(-(-n // files_per_batch))
+            dealt.write.mode("append").option("maxRecordsPerFile", files_per_batch).parquet(noticed)
+        return n
+    finally:
+        remove(spark, listing)
+
+
+def stream_objects(spark: SparkSession, root: str, noticed: str, files_per_batch: int = 100_000) -> DataFrame:
+    """New data files as a stream: each comes once, in the batch it is noticed in, as :func:`notice_objects` wrote them to ``noticed``.
+
+    The tasks look each of them up again, so a file comes with the time and length it has by then; what is gone again is no news.
+    The stream's own source knows the files of ``noticed`` alone, one for ``files_per_batch`` objects. Files that were noticed at once come in no given order.
+    """
+    if not exists(spark, root):
+        raise FileNotFoundError(f"no container to watch: {root}")
+    make_folder(spark, noticed)
+    named = spark.readStream.schema(LISTING).option("maxFilesPerTrigger", 1).parquet(noticed).select("object_key")
+    return named.repartition(-(-files_per_batch // TASK_OBJECTS)).mapInArrow(_look_up(qualified(spark, root)), LISTING)
+
+
+def _look_up(root: str):
+    """Task function: time, in whole milliseconds, and length of the given objects; none of those that are gone or empty."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = _open(root)
+        schema = pa.schema([LISTED.field(n) for n in ("object_key", "modified", "length")])
+        for batch in batches:
+            keys = batch.column("object_key").to_pylist()
+            seen = [(k, i.mtime_ns // 1_000_000 * 1000 if i.mtime_ns else None, i.size) for k, i in zip(keys, store.get_file_info([f"{base}/{k}" for k in keys])) if i.size]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*seen) if seen else ((), (), ()), schema)], schema=schema)
+
+    return rows
 
 
 def _is_data(key: Column) -> Column:

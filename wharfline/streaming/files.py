@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import threading
+import time
+from collections import defaultdict
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators.copies import copy_plan_of_listing
 from ..plans.file_flow import announce
-from ..sources.objects import execute_copy, exists, list_objects, stream_objects
+from ..sources.objects import LISTING, execute_copy, exists, list_objects, notice_objects, stream_objects
 from ..sources.topics import event_messages
 from .sinks import query_id
 
@@ -52,6 +57,61 @@ def has_news(noticed: DataFrame, cycle_folder: str) -> bool:
     return not noticed.join(seen, known, "left_anti").isEmpty()
 
 
+#: Seconds between two looks at a container, at least.
+LEAST_PAUSE = 1.0
+_LOOKING: dict[str, threading.Lock] = defaultdict(threading.Lock)  # by folder: a look that outlives its stream is waited for
+
+
+class NoticingWriter(DataStreamWriter):
+    """Looks for new files before the stream starts and, unless that ends with what is there, at every interval of its trigger.
+
+    A look that fails fails the stream: it is woken by a file without rows and raises what ``failed`` holds.
+    """
+
+    def __init__(self, stream: DataFrame, look: Callable[[], object], wake: Callable[[], object], failed: list[Exception]) -> None:
+        super().__init__(stream)
+        self._look, self._wake, self._failed = look, wake, failed
+        self._pause: float | None = LEAST_PAUSE  # none: one look is all
+
+    def trigger(self, **kind) -> NoticingWriter:
+        super().trigger(**kind)
+        self._pause = None
+        if every := kind.get("processingTime"):
+            interval = self._spark._jvm.org.apache.spark.sql.streaming.Trigger.ProcessingTime(every.strip())
+            self._pause = max(LEAST_PAUSE, interval.intervalMs() / 1000)
+        return self
+
+    def start(self, *args, **options) -> StreamingQuery:
+        fine = self._looked()
+        query = super().start(*args, **options)
+        if fine and self._pause is not None:
+            threading.Thread(target=self._go_on, args=(query,), daemon=True).start()
+        return query
+
+    def _looked(self) -> bool:
+        try:
+            self._look()
+        except Exception as exc:  # noqa: BLE001 - the stream raises it
+            self._failed.append(exc)
+            self._wake()
+            return False
+        return True
+
+    def _go_on(self, query: StreamingQuery) -> None:
+        due = time.monotonic() + self._pause
+        while query.isActive:
+            time.sleep(max(0.0, min(0.1, due - time.monotonic())))
+            if time.monotonic() < due or not query.isActive:
+                continue
+            due = time.monotonic() + self._pause
+            try:
+                if not self._looked():
+                    return
+            except Exception:  # noqa: BLE001 - not even that can be told, so the stream ends
+                query.stop()
+                raise
+
+
 def file_ready_stream(
     spark: SparkSession,
     src_root: str,
@@ -69,16 +129,28 @@ def file_ready_stream(
     The stream only says when; the cycle compares the whole containers, so it
     also finds objects that were changed in place or that the stream overlooks. Many files come in many batches, though
     the first cycle takes them all: a batch whose files the run's last cycle saw as they are needs no cycle of its own. Cycles are kept
-    by the stream's own id and batch: another stream, or a new checkpoint, makes plans of its own.
+    by the stream's own id and batch: another stream, or a new checkpoint, makes plans of its own. What was noticed is kept beside
+    the checkpoint's logs, in tables; the driver holds none of it.
     """
     last: list[str] = []  # folder of this run's last cycle
+    failed: list[Exception] = []  # what a look at the container raised
+    seen = f"{checkpoint.rstrip('/')}/noticed"
+
+    def look() -> None:
+        with _LOOKING[seen]:
+            notice_objects(spark, src_root, seen, files_per_batch)
+
+    def wake() -> None:
+        spark.createDataFrame([], LISTING).coalesce(1).write.mode("append").parquet(seen)
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        if failed:
+            raise failed.pop()
         own = f"{out}/query={query_id(batch.sparkSession, checkpoint)}"
         if last and not has_news(batch, last[0]):
             return
         file_cycle(batch.sparkSession, src_root, dst_root, own, str(batch_id), container=container, provider=provider, tasks=tasks)
         last[:] = [f"{own}/cycle={batch_id}"]
 
-    noticed = stream_objects(spark, src_root, files_per_batch)
-    return noticed.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    noticed = stream_objects(spark, src_root, seen, files_per_batch)
+    return NoticingWriter(noticed, look, wake, failed).foreachBatch(run).option("checkpointLocation", checkpoint)
