@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -626,6 +627,37 @@ def test_suffixes_of_all_hosts_are_sorted(spark, monkeypatch, n_open):
     assert all("eight words that every page of this host repeats" in others for _, _, others in sent)
 
 
+@pytest.mark.parametrize("slice_hashes", [1, 7, 1_000_000])
+def test_pages_that_ask_nothing_prove_repeats_by_two(monkeypatch, slice_hashes):
+    """However many pages have a suffix, each open one and two others of a slice go out, and what is found to be repeated is the same."""
+    rng = random.Random(31)
+    pool = [prose(rng, 9, 100_000) for _ in range(12)]
+    rows = [(rng.randrange(2), k % 50, rng.sample(pool, rng.randrange(4)), k % 50 % 9 == 0) for k in range(60)]
+    batch = pa.RecordBatch.from_pylist([{"host": h, "page": p, "others": o, "is_open": a} for h, p, o, a in rows])
+    monkeypatch.setattr(html_text, "SLICE_HASHES", slice_hashes)
+    sent, want = defaultdict(set), defaultdict(set)
+    for name, own in html_text._host_suffixes(iter([batch.slice(0, 25), batch.slice(25)])):
+        for suffix in own.tolist():
+            sent[suffix].add((int(name["a"][0]), int(name["b"][0])))
+    for host, page, texts, asks in rows:
+        for own in html_text._suffixes(texts, [host] * len(texts)) if texts else []:
+            for suffix in own.tolist():
+                want[suffix].add((page, int(asks)))
+    assert sent.keys() == want.keys()
+    for suffix, pages in want.items():
+        assert sent[suffix] <= pages and {p for p in pages if p[1]} <= sent[suffix]
+        assert (len(sent[suffix]) > 1) == (len(pages) > 1)
+        if slice_hashes > 1000:
+            assert len([p for p in sent[suffix] if not p[1]]) <= 2
+
+
+def test_sets_of_one_name_that_begin_alike_all_go_out():
+    name = html_text._name(7, 0)
+    sets = [np.array(s, np.uint64) for s in ([1, 2], [1, 3], [1, 2])]
+    rows = [r for b in sharing._sender(lambda _: ((name, s) for s in sets), 2)(iter([])) for r in b.to_pylist()]
+    assert [np.frombuffer(r["hashes"], "<u8").tolist() for r in rows] == [[1, 2, 1, 3]]
+
+
 def test_frames_of_a_host_leave_main_parts(spark):
     """Blocks in three of four main texts of a host go, but no quotation, first block, or block of a small host, and copies of a text count once."""
     letter, quote = "Write to us and get our letter", "The old bridge was built in a year of war"
