@@ -9,6 +9,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from wharfline.sources import objects as ob
+from wharfline.streaming import files
 from wharfline.streaming.files import file_ready_stream
 from wharfline.streaming.runs import run_drain
 
@@ -107,7 +108,7 @@ def test_the_driver_names_no_noticed_file(spark, root, tmp_path):
     assert [r.object_key for batch in got[2] for r in batch] == ["d/21.txt"]
 
 
-def test_a_stream_that_goes_on_looks_again(spark, root, tmp_path):
+def test_a_stream_that_goes_on_looks_again(spark, root, tmp_path, monkeypatch):
     src, out = str(root), tmp_path / "out"
     writer = file_ready_stream(spark, src, str(tmp_path / "dst"), str(out), str(tmp_path / "checkpoint"), container="t")
     query = writer.trigger(processingTime="1 second").start()
@@ -123,10 +124,20 @@ def test_a_stream_that_goes_on_looks_again(spark, root, tmp_path):
         until((tmp_path / "dst/d/11.txt").exists)
         (root / "late").write_bytes(b"late")
         until((tmp_path / "dst/late").exists)
-        shutil.move(root, tmp_path / "away")
-        with pytest.raises(StreamingQueryException):
+        shutil.move(root, tmp_path / "away")  # gone for a while, it holds no news
+        assert not query.awaitTermination(4)
+        shutil.move(tmp_path / "away", root)
+        (root / "later").write_bytes(b"later")
+        until((tmp_path / "dst/later").exists)
+
+        def broken(*_):
+            raise OSError("no answer")
+
+        monkeypatch.setattr(files, "notice_objects", broken)
+        with pytest.raises(StreamingQueryException, match="no answer"):
             query.awaitTermination(60)
     finally:
         query.stop()
+    shutil.move(root, tmp_path / "away")
     with pytest.raises(FileNotFoundError):
         file_ready_stream(spark, src, str(tmp_path / "dst"), str(out), str(tmp_path / "checkpoint"), container="t")

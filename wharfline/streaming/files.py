@@ -138,7 +138,8 @@ def file_ready_stream(
 
     def look() -> None:
         with _LOOKING[seen]:
-            notice_objects(spark, src_root, seen, files_per_batch)
+            if exists(spark, src_root):  # a container that is gone for a while holds no news
+                notice_objects(spark, src_root, seen, files_per_batch)
 
     def wake() -> None:
         spark.createDataFrame([], LISTING).coalesce(1).write.mode("append").parquet(seen)
